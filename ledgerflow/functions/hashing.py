@@ -24,4 +24,4 @@ def poly_hash(s: str | Column, seed: int = HASH_SEED, cap: int = BITMAP_BITS) ->
     chars = F.transform(F.split(col, ""), lambda c: F.ascii(c).cast("bigint"))
     mask = F.lit(cap - 1).cast("bigint")
     return F.aggregate(chars, F.lit(0).cast("bigint"),
-                       lambda h, c: F.bitwise_and(h * F.lit(seed).cast("bigint") + c, mask))
+                       lambda h, c: (h * F.lit(seed).cast("bigint") + c).bitwiseAND(mask))

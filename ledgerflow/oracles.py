@@ -120,3 +120,234 @@ ORACLES["fc_anti"] = FC + "SELECT seq, act_nbr, ccy_cod, amt, dir FROM fc_kept"
 ORACLES["fc_sum"] = FC + """
 SELECT act_nbr, ccy_cod, dir, CAST(sum(amt) AS DECIMAL(38,2)) AS amt FROM fc_kept GROUP BY ALL
 """
+
+# ---------------------------------------------------------------- behaviour
+MARKS = """
+WITH m AS (
+  SELECT CAST(user_id AS VARCHAR) AS name, event_id AS seq,
+         CAST(CAST(value AS DECIMAL(18,2)) AS DECIMAL(38,2)) AS mark FROM events),
+r0 AS (
+  SELECT name, seq, sum(mark) OVER w AS run_sum, count(mark) OVER w AS cnt FROM m
+  WINDOW w AS (PARTITION BY name ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+r AS (
+  SELECT name, seq, CAST(run_sum AS DECIMAL(38,2)) AS run_sum, cnt AS count,
+         -- average rounded half up to 6 places, in exact integer arithmetic
+         CAST((2 * CAST(run_sum * 100 AS BIGINT) * 10000 + cnt) // (2 * cnt) AS DECIMAL(38,0))
+           * CAST(0.000001 AS DECIMAL(7,6)) AS avg_mark
+  FROM r0)
+"""
+
+ORACLES["running_avg"] = MARKS + "SELECT * FROM r"
+
+ORACLES["purge_segments"] = MARKS + """,
+f AS (SELECT *, CASE WHEN run_sum > 80 * count THEN 1 ELSE 0 END AS fire FROM r),
+s AS (SELECT *, coalesce(sum(fire) OVER (PARTITION BY name ORDER BY seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS segment FROM f),
+g AS (SELECT *, max(fire) OVER (PARTITION BY name, segment) AS closed,
+             row_number() OVER (PARTITION BY name, segment ORDER BY avg_mark DESC, seq) AS rn
+      FROM s)
+SELECT name, CAST(segment AS BIGINT) AS segment, seq, avg_mark, count FROM g
+WHERE closed = 1 AND rn = 1
+"""
+
+VIEWS = """
+WITH v AS (SELECT ts, user_id, event_id AS seq,
+                  time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+                  time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end
+           FROM events WHERE event_type = 'view')
+"""
+
+POLY_HASH = ("list_reduce(list_transform(str_split(CAST(user_id AS VARCHAR), ''), "
+             "lambda c: CAST(ascii(c) AS BIGINT)), lambda h, c: (h * 61 + c) & 536870911, "
+             "CAST(0 AS BIGINT))")
+
+ORACLES["uv_hourly"] = VIEWS + """
+SELECT window_start, window_end, count(DISTINCT user_id) AS uv FROM v GROUP BY ALL
+"""
+
+ORACLES["poly_hash"] = f"SELECT event_id, user_id, {POLY_HASH} AS h FROM events"
+
+ORACLES["uv_bitmap"] = VIEWS + f"""
+SELECT window_start, window_end, CAST(count(DISTINCT {POLY_HASH}) AS BIGINT) AS uv FROM v GROUP BY ALL
+"""
+
+ORACLES["uv_running"] = VIEWS + """,
+f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY window_start, user_id ORDER BY seq) = 1
+                     THEN 1 ELSE 0 END AS new FROM v)
+SELECT window_start, window_end, seq, user_id,
+       CAST(sum(new) OVER (PARTITION BY window_start ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS uv
+FROM f
+"""
+
+ORACLES["marketing_sliding"] = """
+WITH m AS (
+  SELECT event_type AS behavior,
+         ['wechat', 'weibo', 'appstore', 'huaweistore'][user_id % 4 + 1] AS channel,
+         time_bucket(INTERVAL 10 MINUTE, ts) AS pane
+  FROM events WHERE event_type <> 'error')
+SELECT pane - k * INTERVAL 10 MINUTE AS window_start,
+       pane - k * INTERVAL 10 MINUTE + INTERVAL 1 HOUR AS window_end,
+       channel, behavior, count(*) AS count
+FROM m, range(0, 6) AS r(k)
+GROUP BY ALL
+"""
+
+DEVICES = """
+WITH d AS (SELECT CAST(user_id AS VARCHAR) AS id, CAST(value AS DECIMAL(18,2)) AS value, ts,
+                  event_id AS seq,
+                  time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+                  time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end
+           FROM events)
+"""
+
+ORACLES["device_max_by"] = DEVICES + """
+SELECT id, window_start, window_end, seq, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, window_start ORDER BY value DESC, seq) AS rn FROM d)
+WHERE rn = 1
+"""
+
+ORACLES["device_collect"] = DEVICES + """
+SELECT id, window_start, window_end,
+       row_number() OVER (PARTITION BY id, window_start ORDER BY ts, seq) AS pos, seq, ts, value
+FROM d
+"""
+
+ORACLES["count_trigger"] = DEVICES + """,
+p AS (SELECT *, (row_number() OVER (PARTITION BY id, window_start ORDER BY ts, seq) - 1) // 2 + 1
+                  AS fire_no FROM d),
+g AS (SELECT id, window_start, window_end, fire_no, count(*) AS k, sum(value) AS s, max(value) AS m
+      FROM p GROUP BY ALL)
+SELECT id, window_start, window_end, CAST(fire_no AS BIGINT) AS fire_no,
+       CAST(fire_no * 2 AS BIGINT) AS cum_count,
+       CAST(sum(s) OVER w AS DECIMAL(38,2)) AS cum_sum, max(m) OVER w AS cum_max
+FROM g WHERE k = 2
+WINDOW w AS (PARTITION BY id, window_start ORDER BY fire_no ROWS UNBOUNDED PRECEDING)
+"""
+
+ORACLES["early_fire"] = DEVICES + """,
+t AS (SELECT id, window_start, window_end,
+             least(time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR, window_end) AS fire_time,
+             count(*) AS n, sum(value) AS s, max(value) AS m
+      FROM d GROUP BY ALL),
+c AS (SELECT id, window_start, window_end, fire_time, sum(n) OVER w AS cum_count,
+             sum(s) OVER w AS cum_sum, max(m) OVER w AS cum_max FROM t
+      WINDOW w AS (PARTITION BY id, window_start ORDER BY fire_time ROWS UNBOUNDED PRECEDING))
+SELECT id, window_start, window_end, fire_time, 'early' AS fire_kind,
+       CAST(cum_count AS BIGINT) AS cum_count, CAST(cum_sum AS DECIMAL(38,2)) AS cum_sum, cum_max
+FROM c WHERE fire_time < window_end
+UNION ALL
+SELECT id, window_start, window_end, window_end, 'final', CAST(sum(n) AS BIGINT),
+       CAST(sum(s) AS DECIMAL(38,2)), max(m)
+FROM t GROUP BY id, window_start, window_end
+"""
+
+# ---------------------------------------------------------------- joins
+ORACLES["interval_join"] = """
+SELECT l.user_id, l.ts AS l_ts, l.event_id AS l_event_id, r.ts AS r_ts, r.event_id AS r_event_id
+FROM events l JOIN events r
+  ON l.user_id = r.user_id AND r.ts BETWEEN l.ts - INTERVAL 90 MINUTE AND l.ts
+WHERE l.event_type = 'click' AND r.event_type = 'view'
+"""
+
+ORACLES["window_join"] = """
+SELECT l.user_id, time_bucket(INTERVAL 1 DAY, l.ts) AS window_start,
+       time_bucket(INTERVAL 1 DAY, l.ts) + INTERVAL 1 DAY AS window_end,
+       l.ts AS l_ts, l.event_id AS l_event_id, r.ts AS r_ts, r.event_id AS r_event_id
+FROM events l JOIN events r
+  ON l.user_id = r.user_id AND time_bucket(INTERVAL 1 DAY, l.ts) = time_bucket(INTERVAL 1 DAY, r.ts)
+WHERE l.event_type = 'click' AND r.event_type = 'view'
+"""
+
+# ---------------------------------------------------------------- patterns
+ORDERS = """
+WITH o AS (SELECT user_id AS order_id,
+                  CASE WHEN event_type = 'signup' THEN 'create' ELSE 'pay' END AS et,
+                  ts, event_id AS seq
+           FROM events WHERE event_type IN ('signup', 'purchase')),
+n AS (SELECT *,
+        first_value(CASE WHEN et = 'pay' THEN ts END IGNORE NULLS) OVER w AS next_ts,
+        first_value(CASE WHEN et = 'pay' THEN seq END IGNORE NULLS) OVER w AS next_seq
+      FROM o
+      WINDOW w AS (PARTITION BY order_id ORDER BY ts, seq
+                   ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+c AS (SELECT *, coalesce(next_ts < ts + INTERVAL 12 HOUR, false) AS matched FROM n WHERE et = 'create')
+"""
+
+ORACLES["order_pay_match"] = ORDERS + """
+SELECT order_id, seq AS first_seq, ts AS first_ts, next_seq, next_ts,
+       'payed successfully' AS result FROM c WHERE matched
+"""
+
+ORACLES["order_pay_timeout"] = ORDERS + """
+SELECT order_id, seq AS first_seq, ts AS first_ts, 'timeout' AS result FROM c WHERE NOT matched
+"""
+
+# ---------------------------------------------------------------- late data
+LATE = """
+WITH d AS (SELECT event_id, user_id, event_type,
+                  CASE WHEN event_id % 4 = 0 THEN ts - INTERVAL 2 HOUR ELSE ts END AS ets
+           FROM events),
+f AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ets) + INTERVAL 1 HOUR AS window_end,
+             max(ets) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
+      FROM d),
+g AS (SELECT *, coalesce(window_end <= wm, false) AS is_late FROM f)
+"""
+
+ORACLES["late_split"] = LATE + """
+SELECT event_id, user_id, event_type, ets, window_end FROM g WHERE is_late
+"""
+
+ORACLES["on_time_counts"] = LATE + """
+SELECT time_bucket(INTERVAL 1 HOUR, ets) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ets) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS count
+FROM g WHERE NOT is_late GROUP BY ALL
+"""
+
+# ---------------------------------------------------------------- routing
+ACT = """
+WITH a AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE l_returnflag WHEN 'A' THEN 'kpp' WHEN 'N' THEN 'kqp' WHEN 'R' THEN 'kxp' END AS typ,
+         CAST(l_orderkey AS VARCHAR) AS act_nbr, CAST(l_partkey % 5 AS VARCHAR) AS ccy_nbr,
+         epoch_ms(l_shipdate) AS reg_tim,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,2)) AS amt,
+         CASE l_linestatus WHEN 'O' THEN 'C' WHEN 'F' THEN 'D' END AS dir,
+         ['95100', '95500', '99800'][l_suppkey % 3 + 1] AS cod,
+         ['20', '22', '33', '44'][l_linenumber % 4 + 1] AS sts,
+         ['95100033', '95101233', '95101033'][l_partkey % 3 + 1] AS rcv
+  FROM lineitem),
+r AS (
+  SELECT *, CASE WHEN (typ = 'kpp' AND dir = 'D' AND sts = '22' AND cod = '95100')
+                   OR (typ = 'kqp' AND dir = 'C' AND cod = '95100' AND sts = '20')
+                 THEN 'keep' ELSE 'del' END AS decision
+  FROM a WHERE typ IN ('kpp', 'kqp'))
+"""
+
+ORACLES["act_split"] = ACT + """
+SELECT l_orderkey, l_linenumber, typ,
+       CASE WHEN typ = 'kpp' THEN 'kpp' WHEN typ = 'kqp' THEN 'kqp' ELSE 'other' END AS branch
+FROM a
+"""
+
+ORACLES["act_rules"] = ACT + """
+SELECT l_orderkey, l_linenumber, typ, dir, sts, cod, decision,
+       CASE WHEN decision = 'keep' THEN typ ELSE 'del' END AS out_typ
+FROM r
+"""
+
+ORACLES["act_accepted_union"] = ACT + """
+SELECT l_orderkey, l_linenumber, typ, act_nbr, ccy_nbr, reg_tim, amt, dir, cod, sts, rcv
+FROM r WHERE decision = 'keep'
+"""
+
+ORACLES["act_rejected_union"] = ACT + """
+SELECT l_orderkey, l_linenumber, 'del' AS typ, act_nbr, ccy_nbr, reg_tim, amt, dir, cod, sts, rcv
+FROM r WHERE decision = 'del'
+"""
+
+# ---------------------------------------------------------------- offset ledger
+ORACLES["offset_ledger"] = """
+SELECT 'events' AS topic, CAST(user_id % 8 AS INTEGER) AS partition, max(event_id) + 1 AS next_offset
+FROM events GROUP BY ALL
+"""

@@ -111,3 +111,207 @@ def q_fc_anti(spark, sf_dir):
 @query("fc_sum")
 def q_fc_sum(spark, sf_dir):
     return flows.fc_sum(q_fc_anti(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- behaviour
+from .operators import behavior, joins, lateness, ledger, patterns, routing, triggers  # noqa: E402
+from .functions.hashing import poly_hash  # noqa: E402
+
+
+def _marks(spark, sf_dir):
+    return tb.events_as_marks(_events(spark, sf_dir))
+
+
+@query("running_avg")
+def q_running_avg(spark, sf_dir):
+    return behavior.running_average(_marks(spark, sf_dir))
+
+
+@query("purge_segments")
+def q_purge_segments(spark, sf_dir):
+    return behavior.purge_segments(behavior.running_average(_marks(spark, sf_dir)), threshold=80)
+
+
+def _views(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return e.where(F.col("event_type") == "view").select(
+        "ts", "user_id", F.col("event_id").alias("seq"))
+
+
+@query("uv_hourly")
+def q_uv_hourly(spark, sf_dir):
+    return behavior.uv_exact(_views(spark, sf_dir), "ts", "user_id", "1 hour")
+
+
+@query("poly_hash")
+def q_poly_hash(spark, sf_dir):
+    return _events(spark, sf_dir).select(
+        "event_id", "user_id", poly_hash(F.col("user_id").cast("string")).alias("h"))
+
+
+@query("uv_bitmap")
+def q_uv_bitmap(spark, sf_dir):
+    return behavior.uv_bitmap(_views(spark, sf_dir), "ts", "user_id", "1 hour")
+
+
+@query("uv_approx")
+def q_uv_approx(spark, sf_dir):
+    return behavior.uv_approx(_views(spark, sf_dir), "ts", "user_id", "1 hour")
+
+
+@query("uv_running")
+def q_uv_running(spark, sf_dir):
+    return behavior.uv_running(_views(spark, sf_dir), "ts", "user_id", "1 hour")
+
+
+MARKETING_SIZE, MARKETING_SLIDE = "1 hour", "10 minutes"
+
+
+@query("marketing_sliding")
+def q_marketing_sliding(spark, sf_dir, size=MARKETING_SIZE, slide=MARKETING_SLIDE):
+    m = tb.events_as_marketing(_events(spark, sf_dir)).where(F.col("behavior") != "error")
+    return behavior.sliding_counts(m, "ts", size, slide, ["channel", "behavior"])
+
+
+def _devices(spark, sf_dir):
+    return tb.events_as_devices(_events(spark, sf_dir))
+
+
+@query("device_max_by")
+def q_device_max_by(spark, sf_dir):
+    return behavior.window_max_by(_devices(spark, sf_dir), "id", "ts", "1 day")
+
+
+@query("device_collect")
+def q_device_collect(spark, sf_dir):
+    return behavior.window_contents(_devices(spark, sf_dir), "id", "ts", "1 day")
+
+
+@query("count_trigger")
+def q_count_trigger(spark, sf_dir):
+    return triggers.count_firing(_devices(spark, sf_dir), "id", "ts", "1 day", n=2)
+
+
+@query("early_fire")
+def q_early_fire(spark, sf_dir):
+    return triggers.early_firing(_devices(spark, sf_dir), "id", "ts", "1 day", "6 hours")
+
+
+# ---------------------------------------------------------------- joins
+def _typed(spark, sf_dir, t):
+    return _events(spark, sf_dir).where(F.col("event_type") == t).select(
+        "user_id", "ts", "event_id")
+
+
+@query("interval_join")
+def q_interval_join(spark, sf_dir):
+    return joins.interval_join(_typed(spark, sf_dir, "click"), _typed(spark, sf_dir, "view"),
+                               "user_id", "-90 minutes", "0 seconds",
+                               lcols=["event_id"], rcols=["event_id"])
+
+
+@query("window_join")
+def q_window_join(spark, sf_dir):
+    return joins.window_join(_typed(spark, sf_dir, "click"), _typed(spark, sf_dir, "view"),
+                             "user_id", "1 day", lcols=["event_id"], rcols=["event_id"])
+
+
+# ---------------------------------------------------------------- patterns
+ORDER_LIMIT = "12 hours"
+
+
+def _order_pattern(spark, sf_dir):
+    o = tb.events_as_orders(_events(spark, sf_dir))
+    return patterns.followed_by(o, "order_id", "event_type", "create", "pay", ORDER_LIMIT)
+
+
+@query("order_pay_match")
+def q_order_pay_match(spark, sf_dir):
+    return _order_pattern(spark, sf_dir)[0]
+
+
+@query("order_pay_timeout")
+def q_order_pay_timeout(spark, sf_dir):
+    return _order_pattern(spark, sf_dir)[1]
+
+
+# ---------------------------------------------------------------- late data
+def _delayed(spark, sf_dir):
+    """Every 4th arrival carries an event time 2 h in the past (the simulator's delayed rows)."""
+    e = _events(spark, sf_dir)
+    ets = F.when(F.col("event_id") % 4 == 0, F.col("ts") - F.expr("INTERVAL 2 HOURS")) \
+        .otherwise(F.col("ts"))
+    return e.select("event_id", "user_id", "event_type", ets.alias("ets"))
+
+
+@query("late_split")
+def q_late_split(spark, sf_dir):
+    _, late = lateness.late_split(_delayed(spark, sf_dir), "ets", "event_id", "1 hour")
+    return late
+
+
+@query("on_time_counts")
+def q_on_time_counts(spark, sf_dir):
+    on_time, _ = lateness.late_split(_delayed(spark, sf_dir), "ets", "event_id", "1 hour")
+    g = on_time.groupBy(F.window("ets", "1 hour").alias("w"), "event_type").agg(
+        F.count(F.lit(1)).alias("count"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "event_type", "count")
+
+
+# ---------------------------------------------------------------- routing
+ACT_COLS = ("l_orderkey", "l_linenumber", "typ", "act_nbr", "ccy_nbr", "reg_tim", "amt", "dir",
+            "cod", "sts", "rcv")
+
+
+def _act(spark, sf_dir):
+    return tb.lineitem_as_act(tb.load_table(spark, sf_dir, "lineitem"))
+
+
+def _act_branches():
+    return {"kpp": F.col("typ") == "kpp", "kqp": F.col("typ") == "kqp"}
+
+
+@query("act_split")
+def q_act_split(spark, sf_dir):
+    return routing.route(_act(spark, sf_dir), _act_branches()).select(
+        "l_orderkey", "l_linenumber", "typ", "branch")
+
+
+def _act_decided(spark, sf_dir):
+    parts = routing.split(_act(spark, sf_dir), _act_branches())
+    return routing.merge(routing.rule_decision(parts["kpp"]), routing.rule_decision(parts["kqp"]))
+
+
+@query("act_rules")
+def q_act_rules(spark, sf_dir):
+    return _act_decided(spark, sf_dir).select("l_orderkey", "l_linenumber", "typ", "dir", "sts",
+                                              "cod", "decision", "out_typ")
+
+
+@query("act_accepted_union")
+def q_act_accepted_union(spark, sf_dir):
+    d = _act_decided(spark, sf_dir)
+    return d.where(F.col("decision") == "keep").select(*ACT_COLS)
+
+
+@query("act_rejected_union")
+def q_act_rejected_union(spark, sf_dir):
+    d = _act_decided(spark, sf_dir)
+    return d.where(F.col("out_typ") == routing.REJECTED).select(
+        *[F.col("out_typ").alias("typ") if c == "typ" else F.col(c) for c in ACT_COLS])
+
+
+# ---------------------------------------------------------------- offset ledger
+@query("offset_ledger")
+def q_offset_ledger(spark, sf_dir):
+    """Two batches of event offsets (partition = user % 8) plus a replay of part of the first."""
+    e = _events(spark, sf_dir).select(F.lit("events").alias("topic"),
+                                      (F.col("user_id") % 8).cast("int").alias("partition"),
+                                      F.col("event_id").alias("offset"), "ts")
+    cut, replay_from = F.lit("2024-01-16").cast("timestamp_ntz"), \
+        F.lit("2024-01-10").cast("timestamp_ntz")
+    first = e.where(F.col("ts") < cut)
+    second = e.where(F.col("ts") >= cut).unionByName(
+        e.where((F.col("ts") >= replay_from) & (F.col("ts") < cut)))
+    return ledger.advance(ledger.advance(None, first), second)
