@@ -131,3 +131,45 @@ def with_rejects(df: DataFrame, required: Iterable[str]) -> tuple[DataFrame, Dat
     for c in required:
         ok = ok & F.col(c).isNotNull()
     return df.where(ok), df.where(~ok)
+
+
+# ------------------------------------------------------------------ feed parsers
+DC_RENAME = {"BTSACTNBR": "act_nbr", "BTSCCYNBR": "ccy_cod", "BTSBRNGLG": "brn",
+             "BTSREGTIM": "reg_tim", "BTSTRSAMT": "trs_amt", "BTSONLBAL": "onl_bal",
+             "BTSTXTC2G": "code", "BTSTRSDIR": "trs_dir", "BTSRCDVER": "rcd_ver"}
+FC_RENAME = {"ACT_NBR": "act_nbr", "CCY_NBR": "ccy_cod", "TRX_AMT": "trx_amt", "BOK_DIR": "dir"}
+ACT_RENAME = {"type": "typ", "ACTNBR": "act_nbr", "CCYNBR": "ccy_nbr", "BRNGLG": "brn",
+              "REGTIM": "reg_tim", "TRSAMT": "trs_amt", "TRSDIR": "dir", "PRDCOD": "cod",
+              "RCVEAC": "rcv", "PRCSTS": "sts"}
+
+
+def parse_dc(lines: DataFrame, value_col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """DC message lines -> DC records (all text, as on the wire)."""
+    from ..schemas import DC_DATA
+    return parse_envelope(lines, value_col, DC_DATA, DC_RENAME, keep)
+
+
+def parse_fc(lines: DataFrame, value_col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """FC message lines -> ``(act_nbr, ccy_cod, amt, dir)``; amount as DECIMAL(38,2)."""
+    from ..schemas import FC_DATA
+    p = parse_envelope(lines, value_col, FC_DATA, FC_RENAME, keep)
+    return p.select(*keep, "act_nbr", "ccy_cod", to_money("trx_amt").alias("amt"), "dir")
+
+
+def parse_act(lines: DataFrame, value_col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """ACT message lines -> ACT records; ``reg_tim`` epoch ms as long, amount as decimal."""
+    from ..schemas import ACT_DATA
+    p = parse_envelope(lines, value_col, ACT_DATA, ACT_RENAME, keep)
+    return p.select(*keep, "typ", "act_nbr", "ccy_nbr", "brn",
+                    F.col("reg_tim").try_cast("bigint").alias("reg_tim"),
+                    to_money("trs_amt").alias("amt"), "dir", "cod", "sts", "rcv")
+
+
+def parse_csv_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
+                    trim: bool = True) -> DataFrame:
+    """Comma-separated text lines -> typed columns by position (``from_csv``, permissive)."""
+    opts = {"ignoreLeadingWhiteSpace": str(trim).lower(),
+            "ignoreTrailingWhiteSpace": str(trim).lower(), "mode": "PERMISSIVE"}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return lines.select(F.from_csv(F.col(value_col), ddl, opts)
+                        .alias("_r")).select("_r.*")

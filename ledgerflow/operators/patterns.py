@@ -48,14 +48,26 @@ def next_follow(df: DataFrame, key: str, kind: str, first: str, then: str, withi
     return r.withColumn("matched", F.coalesce(ok, F.lit(False)))
 
 
+def drop_late_rows(df: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame:
+    """Drop rows behind an ascending watermark: event time earlier than the largest event time
+    that arrived before them (what an event-time pattern operator discards as late)."""
+    from .lateness import with_watermark_before
+    w = with_watermark_before(df, ts, seq)
+    keep = F.col("max_ts_before").isNull() | (F.col(ts) >= F.col("max_ts_before"))
+    return w.where(keep).drop("max_ts_before")
+
+
 def followed_by(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", bucket: str | None = None
-                ) -> tuple[DataFrame, DataFrame]:
+                ts: str = "ts", seq: str = "seq", bucket: str | None = None,
+                strict_late: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(matches, timeouts)``.
 
     matches: ``key, first_seq, first_ts, next_seq, next_ts, result``; timeouts: ``key, first_seq,
-    first_ts, result``.
+    first_ts, result``. ``strict_late=True`` first drops rows that arrive behind an ascending
+    watermark (see :func:`drop_late_rows`); by default every row takes part.
     """
+    if strict_late:
+        df = drop_late_rows(df, ts, seq)
     n = next_follow(df, key, kind, first, then, within, ts, seq, bucket)
     matches = n.where("matched").select(
         key, F.col(seq).alias("first_seq"), F.col(ts).alias("first_ts"), "next_seq", "next_ts",

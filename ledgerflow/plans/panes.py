@@ -44,10 +44,18 @@ def sliding_aggregate(df: DataFrame, ts: str, size: str, slide: str, keys: Seque
     pane_aggs = ([F.count(F.lit(1)).alias("_pane_n")] if count_name else []) + \
                 [F.sum(c).alias(f"_pane_{n}") for n, c in sums.items()]
     panes = (df.groupBy(F.window(ts, slide).start.alias("pane_start"), *keys).agg(*pane_aggs))
-    # Each pane lies in exactly size/slide windows; Spark's window() on the pane start expands
-    # the (few) pane rows into them.
+    # Each pane lies in exactly n = size/slide windows, starting at pane_start - k*slide for
+    # k in [0, n). Only the (few) pane rows are copied. An explicit generator is used rather than
+    # window(pane_start, size, slide): for large n that one expands into n projections whose
+    # generated code exceeds the JVM method limits and falls back to interpretation.
+    n = int(round(ratio))
+    slide_us = int(round(slide_s * 1_000_000))
+    k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k")
+    expanded = panes.select("*", k)
+    start = F.col("pane_start") - F.expr(f"INTERVAL {slide_us} MICROSECONDS") * F.col("_k")
     win_aggs = ([F.sum("_pane_n").alias(count_name)] if count_name else []) + \
-               [F.sum(f"_pane_{n}").alias(n) for n in sums]
-    g = panes.groupBy(F.window("pane_start", size, slide).alias("w"), *keys).agg(*win_aggs)
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+               [F.sum(f"_pane_{n_}").alias(n_) for n_ in sums]
+    g = expanded.groupBy(start.alias("window_start"), *keys).agg(*win_aggs)
+    end = F.col("window_start") + F.expr(f"INTERVAL {int(round(size_s * 1_000_000))} MICROSECONDS")
+    return g.select("window_start", end.alias("window_end"),
                     *keys, *([count_name] if count_name else []), *sums.keys())
