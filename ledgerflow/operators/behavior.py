@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import BITMAP_BITS, HASH_SEED, poly_hash
 from ..plans.panes import sliding_aggregate
-from ..plans.prefix import running
+from ..plans.prefix import GROUP, running
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 
@@ -26,17 +26,21 @@ def _window_cols(w: str = "w") -> list[Column]:
 
 # ------------------------------------------------------------------ A7 / A13
 def running_average(marks: DataFrame, name: str = "name", mark: str = "mark", seq: str = "seq",
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                    block_rows: int = DEFAULT_BLOCK_ROWS, with_block: bool = False) -> DataFrame:
     """Per-name running sum and count in arrival order; ``avg_mark`` = sum / count.
 
     Exact decimals: ``mark`` is cast to DECIMAL(38,2), the average is DECIMAL(38,6) rounded half up.
+    ``with_block=True`` keeps the arrival-block column ``blk`` for a chained scan.
     """
-    m = marks.select(name, seq, F.col(mark).cast("decimal(38,2)").alias("mark"))
-    r = running(m, [name], [F.col(seq)], seq_block(seq, block_rows),
-                {"run_sum": ("sum", F.col("mark")), "run_cnt": ("count", F.col("mark"))})
+    m = marks.select(name, seq, F.col(mark).cast("decimal(38,2)").alias("mark"),
+                     seq_block(seq, block_rows).alias("blk"))
+    r = running(m, [name], [F.col(seq)], "blk",
+                {"run_sum": ("sum", F.col("mark")), "run_cnt": ("count", F.col("mark"))},
+                keep_keys=with_block)
     return r.select(name, seq, F.col("run_sum").cast("decimal(38,2)").alias("run_sum"),
                     F.col("run_cnt").alias("count"),
-                    (F.col("run_sum") / F.col("run_cnt")).cast("decimal(38,6)").alias("avg_mark"))
+                    (F.col("run_sum") / F.col("run_cnt")).cast("decimal(38,6)").alias("avg_mark"),
+                    *(["blk", GROUP] if with_block else []))
 
 
 def purge_segments(avgs: DataFrame, threshold: float = 80, name: str = "name", seq: str = "seq",
@@ -50,7 +54,9 @@ def purge_segments(avgs: DataFrame, threshold: float = 80, name: str = "name", s
     """
     fire = (F.col("run_sum") > F.lit(threshold) * F.col("count")).cast("int")
     f = avgs.withColumn("fire", fire)
-    seg = running(f, [name], [F.col(seq)], seq_block(seq, block_rows),
+    # reuse the block column of running_average(with_block=True): same (name, block) partitioning
+    blk = "blk" if "blk" in avgs.columns else seq_block(seq, block_rows)
+    seg = running(f, [name], [F.col(seq)], blk,
                   {"segment": ("sum", F.col("fire"))}, inclusive=False)
     seg = seg.withColumn("segment", F.coalesce(F.col("segment"), F.lit(0)).cast("bigint"))
     best = F.max_by(F.struct(seq, "avg_mark", "count"), F.struct(F.col("avg_mark"), -F.col(seq)))

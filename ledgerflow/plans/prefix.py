@@ -10,7 +10,10 @@ column that never decreases with the order inside a group, e.g. ``floor(seq / B)
    (itself blocked again when ``fanout`` is set, so even a global order stays spread out);
 4. join 3 back on ``(group, block)`` and combine.
 
-Supported kinds are the ones with an associative combine: ``sum``, ``count``, ``max``, ``min``.
+The group is carried as one struct column (never null; null fields compare equal, like a window's
+null group), so the join in step 4 is a plain equi-join on ``(group, block)`` that keeps the
+partitioning of step 1. Supported kinds have an associative combine: ``sum``, ``count``, ``max``,
+``min``.
 """
 
 from __future__ import annotations
@@ -23,44 +26,68 @@ from pyspark.sql import functions as F
 _RUN = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 # How block totals are combined along the blocks.
 _COMBINE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+GROUP = "_lf_g"
 
 
-def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], block: Column,
+def _col(c):
+    return F.col(c) if isinstance(c, str) else c
+
+
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], block: Column | str,
             specs: dict[str, tuple[str, Column | str]], inclusive: bool = True,
-            fanout: int | None = None, _depth: int = 0) -> DataFrame:
+            fanout: int | None = None, keep_keys: bool = False, _depth: int = 0) -> DataFrame:
     """Add one column per ``specs`` item: ``name -> (kind, column)``.
 
     ``inclusive=True`` is the frame *unbounded preceding .. current row*; ``False`` stops at the
     row before (the value "as of just before this row"). ``order`` must be a total order inside
     a group (add a unique tie-breaker) for a deterministic result.
+
+    ``block`` may name an existing column, and with ``keep_keys=True`` the output keeps the block
+    and group-key columns: a chained scan over the same ``by`` and block then reuses the first
+    scan's partitioning, and its window needs no shuffle of the data.
     """
     by = list(by)
-    blk = f"_lf_blk{_depth}"
-    d = df.withColumn(blk, block)
-    w = (Window.partitionBy(*by, blk).orderBy(*order)
+    d = df
+    if isinstance(block, str):
+        blk = block
+    else:
+        blk = f"_lf_blk{_depth}"
+        d = d.withColumn(blk, block)
+    keys = [blk]
+    if by:
+        if GROUP not in d.columns:
+            d = d.withColumn(GROUP, F.struct(*by))
+        keys = [GROUP, blk]
+
+    w = (Window.partitionBy(*keys).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
-    inner = d.select("*", *[_RUN[k](F.col(c) if isinstance(c, str) else c).over(w).alias(f"_lf_in_{n}")
+    inner = d.select("*", *[_RUN[k](_col(c)).over(w).alias(f"_lf_in_{n}")
                             for n, (k, c) in specs.items()])
 
-    totals = d.groupBy(*by, blk).agg(*[
-        _RUN[k](F.col(c) if isinstance(c, str) else c).alias(f"_lf_t_{n}")
-        for n, (k, c) in specs.items()])
-    tspecs = {n: ("sum" if k == "count" else k, F.col(f"_lf_t_{n}")) for n, (k, _) in specs.items()}
+    totals = inner.groupBy(*keys).agg(*[_RUN[k](_col(c)).alias(f"_lf_t_{n}")
+                                       for n, (k, c) in specs.items()])
+    gkeys = keys[:-1]
     if fanout:
-        prior = running(totals, by, [F.col(blk)], F.floor(F.col(blk) / F.lit(fanout)), tspecs,
+        tspecs = {f"_lf_p_{n}": ("sum" if k == "count" else k, F.col(f"_lf_t_{n}"))
+                  for n, (k, _) in specs.items()}
+        prior = running(totals, gkeys, [F.col(blk)], F.floor(F.col(blk) / F.lit(fanout)), tspecs,
                         inclusive=False, _depth=_depth + 1)
-        prior = prior.select(*by, blk, *[F.col(n).alias(f"_lf_p_{n}") for n in specs])
     else:
-        wb = Window.partitionBy(*by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-        prior = totals.select(*by, blk, *[_COMBINE[k](F.col(f"_lf_t_{n}")).over(wb)
-                                          .alias(f"_lf_p_{n}") for n, (k, _) in specs.items()])
+        wb = Window.partitionBy(*gkeys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        prior = totals.select(*keys, *[_COMBINE[k](F.col(f"_lf_t_{n}")).over(wb)
+                                       .alias(f"_lf_p_{n}") for n, (k, _) in specs.items()])
 
-    cond = [inner[c].eqNullSafe(prior[c]) for c in [*by, blk]]
+    # ``prior`` derives from ``inner``: rename its keys so the self-join is unambiguous.
+    prior = prior.select(*[F.col(c).alias(f"_lf_k{j}") for j, c in enumerate(keys)],
+                         *[f"_lf_p_{n}" for n in specs])
+    cond = [F.col(c) == F.col(f"_lf_k{j}") for j, c in enumerate(keys)]
     joined = inner.join(prior, cond, "left")
-    out_cols = [inner[c] for c in df.columns]
+    keep = list(df.columns)
+    if keep_keys:
+        keep += [c for c in keys if c not in keep]
     merged = []
     for n, (k, _) in specs.items():
-        p, i = prior[f"_lf_p_{n}"], inner[f"_lf_in_{n}"]
+        p, i = F.col(f"_lf_p_{n}"), F.col(f"_lf_in_{n}")
         if k in ("sum", "count"):
             val = F.when(p.isNull(), i).when(i.isNull(), p).otherwise(p + i)
             if k == "count":
@@ -68,4 +95,4 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], blo
         else:
             val = (F.greatest if k == "max" else F.least)(p, i)
         merged.append(val.alias(n))
-    return joined.select(*out_cols, *merged)
+    return joined.select(*[F.col(c) for c in keep], *merged)

@@ -41,6 +41,11 @@ def _pick(values: tuple, idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
+def event_types_for(codes) -> list[str]:
+    """Event types whose transaction code is in ``codes`` (inverse of ``EVENT_CODE``)."""
+    return [t for t, c in EVENT_CODE.items() if c in set(codes)]
+
+
 def props_k(props: str | Column = "props") -> Column:
     """``props`` is a JSON object text like ``{"k": 87}``; extract ``k`` as int (null if absent)."""
     col = F.col(props) if isinstance(props, str) else props

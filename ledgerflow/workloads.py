@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.parse import classify_dc, parse_envelope
+from .functions.parse import IN_CODES, OUT_CODES, classify_dc, parse_envelope
 from .operators import cells, flows, lookup
 from .schemas import DC_DATA
 from .sources import tables as tb
@@ -31,9 +31,16 @@ def _events(spark, sf_dir):
     return tb.load_table(spark, sf_dir, "events")
 
 
-def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classified DC records from ``events`` (the ``tx`` view)."""
-    return classify_dc(tb.events_as_dc(_events(spark, sf_dir)))
+def tx(spark: SparkSession, sf_dir: str, recognised_only: bool = False) -> DataFrame:
+    """Classified DC records from ``events`` (the ``tx`` view).
+
+    ``recognised_only=True`` (for consumers that drop unrecognised codes anyway) filters on the
+    event types that map to a booked code, a predicate on a scan column that reaches parquet.
+    """
+    e = _events(spark, sf_dir)
+    if recognised_only:
+        e = e.where(F.col("event_type").isin(*tb.event_types_for(OUT_CODES + IN_CODES)))
+    return classify_dc(tb.events_as_dc(e))
 
 
 # ---------------------------------------------------------------- parsing
@@ -67,22 +74,22 @@ def q_tx_signed(spark, sf_dir):
 # ---------------------------------------------------------------- money flows
 @query("dc_direction_sum")
 def q_dc_direction_sum(spark, sf_dir):
-    return flows.dc_direction_sum(tx(spark, sf_dir))
+    return flows.dc_direction_sum(tx(spark, sf_dir, recognised_only=True))
 
 
 @query("dc_net_flow")
 def q_dc_net_flow(spark, sf_dir):
-    return flows.dc_net_flow(tx(spark, sf_dir))
+    return flows.dc_net_flow(tx(spark, sf_dir, recognised_only=True))
 
 
 @query("dc_cells")
 def q_dc_cells(spark, sf_dir):
-    return cells.to_cells(flows.dc_net_flow(tx(spark, sf_dir)), flows.NET_KEYS)
+    return cells.to_cells(flows.dc_net_flow(tx(spark, sf_dir, recognised_only=True)), flows.NET_KEYS)
 
 
 @query("dc_tumbling_sum")
 def q_dc_tumbling_sum(spark, sf_dir):
-    return flows.dc_tumbling_sum(tx(spark, sf_dir), "1 hour", time_col="ts")
+    return flows.dc_tumbling_sum(tx(spark, sf_dir, recognised_only=True), "1 hour", time_col="ts")
 
 
 WINDOW_ACCOUNT_KEYS = ("act_nbr", "ccy_cod", "brn")
@@ -90,13 +97,13 @@ WINDOW_ACCOUNT_KEYS = ("act_nbr", "ccy_cod", "brn")
 
 @query("dc_window_inout")
 def q_dc_window_inout(spark, sf_dir):
-    return flows.dc_window_inout(tx(spark, sf_dir), "1 hour", time_col="ts",
+    return flows.dc_window_inout(tx(spark, sf_dir, recognised_only=True), "1 hour", time_col="ts",
                                  keys=WINDOW_ACCOUNT_KEYS)
 
 
 @query("dc_running_total")
 def q_dc_running_total(spark, sf_dir):
-    win = flows.dc_window_inout(tx(spark, sf_dir), "1 hour", time_col="ts",
+    win = flows.dc_window_inout(tx(spark, sf_dir, recognised_only=True), "1 hour", time_col="ts",
                                 keys=WINDOW_ACCOUNT_KEYS)
     return flows.dc_running_total(win, keys=WINDOW_ACCOUNT_KEYS)
 
@@ -129,7 +136,8 @@ def q_running_avg(spark, sf_dir):
 
 @query("purge_segments")
 def q_purge_segments(spark, sf_dir):
-    return behavior.purge_segments(behavior.running_average(_marks(spark, sf_dir)), threshold=80)
+    avgs = behavior.running_average(_marks(spark, sf_dir), with_block=True)
+    return behavior.purge_segments(avgs, threshold=80)
 
 
 def _views(spark, sf_dir):
@@ -279,8 +287,13 @@ def q_act_split(spark, sf_dir):
 
 
 def _act_decided(spark, sf_dir):
-    parts = routing.split(_act(spark, sf_dir), _act_branches())
-    return routing.merge(routing.rule_decision(parts["kpp"]), routing.rule_decision(parts["kqp"]))
+    """kpp and kqp side outputs, each through its type's rules, merged again.
+
+    Written as one pass (route, keep the two branches, rules keyed by type) rather than two
+    filtered copies of the scan that are unioned: same rows, one read of ``lineitem``.
+    """
+    routed = routing.route(_act(spark, sf_dir), _act_branches())
+    return routing.rule_decision(routed.where(F.col("branch") != "other"))
 
 
 @query("act_rules")
