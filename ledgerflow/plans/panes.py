@@ -1,10 +1,18 @@
 """Sliding-window aggregation through panes.
 
 ``groupBy(window(ts, size, slide))`` copies every input row into ``size/slide`` windows before the
-aggregate (an ``Expand`` of 360x for 1 h / 10 s). When ``size`` is a multiple of ``slide`` each
-window is the union of ``size/slide`` consecutive panes of length ``slide``, so we aggregate rows
-into panes first (one pass, partial aggregation, no copies) and copy only the pane rows into their
-windows. Only associative aggregates qualify: counts and sums (kept as partial sums).
+aggregate (an ``Expand`` of 360x for 1 h / 10 s, whose generated code is even too large to compile).
+When ``size`` is a multiple of ``slide`` each window is the union of ``size/slide`` consecutive
+panes of length ``slide``, so rows are first aggregated into panes (one pass with map-side partial
+aggregation) and only pane rows are taken further:
+
+* ``deltas`` (counts and exact sums): a pane contributes ``+n`` at the start of the first window
+  holding it and ``-n`` at the start of the first window past it. A blocked prefix sum over these
+  change points per key gives the window value, constant up to the next change point; each such
+  run is expanded into its window starts. Work is proportional to panes plus output windows, with
+  no per-window re-aggregation.
+* ``explode`` (any sum, e.g. floating point): each pane row is copied into its ``size/slide``
+  windows and re-aggregated.
 """
 
 from __future__ import annotations
@@ -13,6 +21,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .prefix import running
 
 _UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
           "day": 86400, "days": 86400, "millisecond": 0.001, "milliseconds": 0.001}
@@ -23,15 +34,22 @@ def interval_seconds(text: str) -> float:
     return float(n) * _UNITS[unit.lower()]
 
 
+def _iv(us: int) -> Column:
+    return F.expr(f"INTERVAL {us} MICROSECONDS")
+
+
 def sliding_aggregate(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
                       sums: dict[str, Column] | None = None, count_name: str | None = "count",
-                      use_panes: bool = True) -> DataFrame:
+                      use_panes: bool = True, method: str = "auto") -> DataFrame:
     """Sliding-window ``count(*)`` and ``sum(col)`` per ``keys``.
 
-    Output: ``window_start, window_end, *keys, <count_name>, *sums``. Falls back to the plain
-    ``F.window`` form when ``size`` is not a multiple of ``slide`` or ``use_panes`` is False.
+    Output: ``window_start, window_end, *keys, <count_name>, *sums`` for every window holding at
+    least one row. ``method``: ``'auto'`` (deltas when all sums are exact types, else explode),
+    ``'deltas'``, ``'explode'``; ``use_panes=False`` or a size that is not a multiple of the slide
+    uses the plain ``F.window`` form.
     """
     sums = sums or {}
+    keys = list(keys)
     size_s, slide_s = interval_seconds(size), interval_seconds(slide)
     ratio = size_s / slide_s
     if not use_panes or abs(ratio - round(ratio)) > 1e-9:
@@ -41,21 +59,45 @@ def sliding_aggregate(df: DataFrame, ts: str, size: str, slide: str, keys: Seque
         return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                         *keys, *([count_name] if count_name else []), *sums.keys())
 
-    pane_aggs = ([F.count(F.lit(1)).alias("_pane_n")] if count_name else []) + \
-                [F.sum(c).alias(f"_pane_{n}") for n, c in sums.items()]
-    panes = (df.groupBy(F.window(ts, slide).start.alias("pane_start"), *keys).agg(*pane_aggs))
-    # Each pane lies in exactly n = size/slide windows, starting at pane_start - k*slide for
-    # k in [0, n). Only the (few) pane rows are copied. An explicit generator is used rather than
-    # window(pane_start, size, slide): for large n that one expands into n projections whose
-    # generated code exceeds the JVM method limits and falls back to interpretation.
-    n = int(round(ratio))
-    slide_us = int(round(slide_s * 1_000_000))
+    panes = (df.groupBy(F.window(ts, slide).start.alias("pane_start"), *keys)
+             .agg(F.count(F.lit(1)).alias("_pane_n"),
+                  *[F.sum(c).alias(f"_pane_{n}") for n, c in sums.items()]))
+    exact = all(isinstance(panes.schema[f"_pane_{n}"].dataType,
+                           (T.IntegralType, T.DecimalType)) for n in sums)
+    if method == "auto":
+        method = "deltas" if exact else "explode"
+    size_us, slide_us = int(round(size_s * 1e6)), int(round(slide_s * 1e6))
+    if method == "deltas":
+        out = _by_deltas(panes, keys, list(sums), size_us, slide_us)
+    else:
+        out = _by_explode(panes, keys, list(sums), int(round(ratio)), size_us, slide_us)
+    cols = ["window_start", F.col("window_start") + _iv(size_us), *keys]
+    return out.select(cols[0], cols[1].alias("window_end"), *keys,
+                      *([F.col("_n").alias(count_name)] if count_name else []),
+                      *[F.col(f"_s_{n}").alias(n) for n in sums])
+
+
+def _by_explode(panes, keys, sums, n, size_us, slide_us):
+    # window(pane_start, size, slide) would expand into n projections (too much generated code
+    # for large n): an explicit generator instead.
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k")
-    expanded = panes.select("*", k)
-    start = F.col("pane_start") - F.expr(f"INTERVAL {slide_us} MICROSECONDS") * F.col("_k")
-    win_aggs = ([F.sum("_pane_n").alias(count_name)] if count_name else []) + \
-               [F.sum(f"_pane_{n_}").alias(n_) for n_ in sums]
-    g = expanded.groupBy(start.alias("window_start"), *keys).agg(*win_aggs)
-    end = F.col("window_start") + F.expr(f"INTERVAL {int(round(size_s * 1_000_000))} MICROSECONDS")
-    return g.select("window_start", end.alias("window_end"),
-                    *keys, *([count_name] if count_name else []), *sums.keys())
+    start = F.col("pane_start") - _iv(slide_us) * F.col("_k")
+    return (panes.select("*", k).groupBy(start.alias("window_start"), *keys)
+            .agg(F.sum("_pane_n").alias("_n"), *[F.sum(f"_pane_{s}").alias(f"_s_{s}") for s in sums]))
+
+
+def _by_deltas(panes, keys, sums, size_us, slide_us):
+    vals = ["_pane_n", *[f"_pane_{s}" for s in sums]]
+    enter = panes.select(*keys, (F.col("pane_start") - _iv(size_us - slide_us)).alias("pos"),
+                         *[F.col(v) for v in vals])
+    leave = panes.select(*keys, (F.col("pane_start") + _iv(slide_us)).alias("pos"),
+                         *[(-F.col(v)).alias(v) for v in vals])
+    deltas = enter.unionByName(leave).groupBy(*keys, "pos").agg(*[F.sum(v).alias(v) for v in vals])
+    day = F.datediff(F.to_date("pos"), F.lit("1970-01-01").cast("date"))
+    level = running(deltas, keys, [F.col("pos")], day,
+                    {"_n": ("sum", "_pane_n"), **{f"_s_{s}": ("sum", f"_pane_{s}") for s in sums}})
+    nxt = running(level, keys, [F.col("pos").desc()], -day,
+                  {"_next": ("min", F.col("pos"))}, inclusive=False)
+    starts = F.explode(F.sequence(F.col("pos"), F.col("_next") - _iv(slide_us), _iv(slide_us)))
+    return nxt.where(F.col("_n") > 0).select(starts.alias("window_start"), *keys, "_n",
+                                            *[f"_s_{s}" for s in sums])

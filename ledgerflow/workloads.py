@@ -7,6 +7,7 @@ result independently; column names are aliased identically on both sides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,15 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
+    """Register ``fn(spark, sf_dir)``. The session time zone is pinned to UTC first: the tables'
+    event times are TIMESTAMP_NTZ and a few operators convert them to instants for bucketing."""
     def deco(fn):
-        REGISTRY[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir, *args, **kwargs):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir, *args, **kwargs)
+        REGISTRY[name] = run
+        return run
     return deco
 
 

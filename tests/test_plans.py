@@ -43,15 +43,30 @@ def test_global_prefix_max_multilevel(spark):
 
 
 def test_panes_equal_plain_window(spark):
-    e = tb.load_table(spark, SF_SMALL, "events")
-    for size, slide in (("1 hour", "10 minutes"), ("30 minutes", "30 minutes"),
-                        ("2 hours", "45 minutes")):
-        a = sliding_aggregate(e, "ts", size, slide, ["event_type"], sums={"v": F.col("value")})
-        b = sliding_aggregate(e, "ts", size, slide, ["event_type"], sums={"v": F.col("value")},
-                              use_panes=False)
-        ra = sorted((r.window_start, r.event_type, r["count"], round(r.v, 6)) for r in a.collect())
-        rb = sorted((r.window_start, r.event_type, r["count"], round(r.v, 6)) for r in b.collect())
-        assert ra == rb, (size, slide)
+    e = tb.load_table(spark, SF_SMALL, "events").withColumn(
+        "cents", F.col("value").cast("decimal(18,2)"))
+    # a null key must form its own group, as in groupBy
+    e = e.withColumn("event_type", F.when(F.col("event_id") % 7 == 0, F.lit(None))
+                     .otherwise(F.col("event_type")))
+    cases = [("1 hour", "10 minutes"), ("30 minutes", "30 minutes"), ("2 hours", "45 minutes"),
+             ("1 hour", "10 seconds")]
+    for size, slide in cases:
+        want = sliding_aggregate(e, "ts", size, slide, ["event_type"],
+                                 sums={"v": F.col("value"), "c": F.col("cents")}, use_panes=False)
+        rw = sorted((r.window_start, r.window_end, r.event_type or "", r["count"], round(r.v, 6), r.c)
+                    for r in want.collect())
+        for method in ("deltas", "explode", "auto"):
+            sums = {"c": F.col("cents")} if method == "deltas" else \
+                {"v": F.col("value"), "c": F.col("cents")}
+            got = sliding_aggregate(e, "ts", size, slide, ["event_type"], sums=sums, method=method)
+            if method == "deltas":
+                rg = sorted((r.window_start, r.window_end, r.event_type or "", r["count"], r.c)
+                            for r in got.collect())
+                assert rg == [(a, b, c, d, f) for a, b, c, d, _, f in rw], (size, slide, method)
+            else:
+                rg = sorted((r.window_start, r.window_end, r.event_type or "", r["count"],
+                             round(r.v, 6), r.c) for r in got.collect())
+                assert rg == rw, (size, slide, method)
 
 
 def test_broadcast_guard(spark):
