@@ -65,6 +65,13 @@ SELECT seq, 'DigitCurrency' AS msg_type, strftime(ts, '%Y-%m-%d %H.%M.%S') AS se
 FROM tx
 """
 
+ORACLES["src_csv_lines"] = """
+SELECT user_id, event_id AS item_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS category_id,
+       event_type AS behavior, epoch(date_trunc('second', ts))::BIGINT AS "timestamp",
+       date_trunc('second', ts) AS ts
+FROM events
+"""
+
 ORACLES["tx_signed"] = TX + """
 SELECT seq, act_nbr, ccy_cod, brn, date, time, code, direction, amt, signed_amt FROM tx
 """
@@ -104,6 +111,13 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
 FROM tx WHERE direction IS NOT NULL GROUP BY ALL
 """
 
+ORACLES["dc_tumbling_unmatched"] = TX + """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+       date, time, ccy_cod, brn, direction, CAST(sum(signed_amt) AS DECIMAL(38,2)) AS amt
+FROM tx GROUP BY ALL
+"""
+
 ORACLES["dc_window_inout"] = WINDOW_INOUT + "SELECT * FROM win"
 
 ORACLES["dc_running_total"] = WINDOW_INOUT + """

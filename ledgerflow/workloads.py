@@ -72,6 +72,22 @@ def q_src_json_lines(spark, sf_dir):
     return parsed
 
 
+@query("src_csv_lines")
+def q_src_csv_lines(spark, sf_dir):
+    """events -> padded CSV lines of the user-behaviour feed -> parsed back by position.
+
+    user = user_id, item = event_id, category = props.k, behaviour = event type, time = epoch s.
+    """
+    from .functions.parse import epoch_to_ts, parse_csv_lines
+    from .schemas import USER_BEHAVIOR
+    e = _events(spark, sf_dir)
+    line = F.concat_ws(",", *[F.concat(F.lit(" "), c.cast("string"), F.lit(" ")) for c in (
+        F.col("user_id"), F.col("event_id"), tb.props_k(), F.col("event_type"),
+        F.unix_seconds(F.col("ts").cast("timestamp")))])
+    ub = parse_csv_lines(e.select(line.alias("value")), USER_BEHAVIOR)
+    return ub.withColumn("ts", epoch_to_ts("timestamp", "s").cast("timestamp_ntz"))
+
+
 @query("tx_signed")
 def q_tx_signed(spark, sf_dir):
     return tx(spark, sf_dir).select("seq", "act_nbr", "ccy_cod", "brn", "date", "time", "code",
@@ -99,6 +115,12 @@ def q_dc_tumbling_sum(spark, sf_dir):
     return flows.dc_tumbling_sum(tx(spark, sf_dir, recognised_only=True), "1 hour", time_col="ts")
 
 
+@query("dc_tumbling_unmatched")
+def q_dc_tumbling_unmatched(spark, sf_dir):
+    """As dc_tumbling_sum, keeping unrecognised codes as one null-direction group with sum 0."""
+    return flows.dc_tumbling_sum(tx(spark, sf_dir), "1 hour", time_col="ts", keep_unmatched=True)
+
+
 WINDOW_ACCOUNT_KEYS = ("act_nbr", "ccy_cod", "brn")
 
 

@@ -11,4 +11,4 @@ def test_every_query_has_an_oracle_except_approximate():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"uv_approx"}
-    assert len(q) >= 35
+    assert len(q) >= 36
