@@ -4,18 +4,17 @@ Each A pairs with the first B after it on the same key -- "after" in (event time
 and matches when ``B.ts - A.ts < within``; otherwise it times out (at the end of a bounded input
 every open A times out). Several A's may share one B.
 
-Plan: no self-join. Time is cut into buckets of width ``>= within``; A rows stay in their bucket and
-B rows are copied into their own and the previous bucket, so every B an A could match is in A's
-(key, bucket) partition. A reverse running minimum over that partition gives each A its next B.
-A hot key is thereby spread over its time buckets.
+Plan: no self-join. A blocked reverse running minimum of the B events' (time, arrival) gives each
+A its next B; the key's rows are cut into time blocks, so a hot key is spread over many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.panes import interval_seconds
+from ..plans.prefix import running
 
 # Result labels of the order-pay pattern.
 PAID = "payed successfully"
@@ -23,25 +22,23 @@ TIMEOUT = "timeout"
 
 
 def next_follow(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", bucket: str | None = None) -> DataFrame:
+                ts: str = "ts", seq: str = "seq", block: str = "1 hour") -> DataFrame:
     """One row per ``first`` event with the time and arrival of the next ``then`` event
-    (``next_ts``/``next_seq``, null when none is within reach) and ``matched``."""
+    (``next_ts``/``next_seq``, null when there is none) and ``matched`` (next within the limit).
+
+    The next ``then`` is a running minimum of ``(ts, seq)`` over the key's later rows: a blocked
+    prefix scan in descending order (``plans.prefix.running``) with time blocks of ``block``, so
+    a hot key is spread over its blocks and no pairs are formed. The block length does not change
+    the result.
+    """
     lim_us = int(interval_seconds(within) * 1_000_000)
-    width = int(interval_seconds(bucket) * 1_000_000) if bucket else max(lim_us, 1_000_000)
-    if width < lim_us:
-        raise ValueError("bucket must be at least the time limit")
+    blk_us = int(interval_seconds(block) * 1_000_000)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    b = F.floor(us / width)
     d = df.select(key, kind, ts, seq)
-    starts = d.where(F.col(kind) == first).withColumn("_b", b)
-    follows = (d.where(F.col(kind) == then)
-               .withColumn("_b", F.explode(F.array(b - 1, b))))
-    u = starts.unionByName(follows)
-    w = (Window.partitionBy(key, "_b").orderBy(F.col(ts).desc(), F.col(seq).desc())
-         .rowsBetween(Window.unboundedPreceding, -1))
-    nxt = F.min(F.when(F.col(kind) == then, F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))
-                ).over(w)
-    r = (u.select("*", nxt.alias("_n")).where(F.col(kind) == first)
+    cand = F.when(F.col(kind) == then, F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))
+    r = running(d, [key], [F.col(ts).desc(), F.col(seq).desc()], -F.floor(us / blk_us),
+                {"_n": ("min", cand)}, inclusive=False)
+    r = (r.where(F.col(kind) == first)
          .select(key, ts, seq, F.col("_n.t").alias("next_ts"), F.col("_n.s").alias("next_seq")))
     ok = F.col("next_ts").isNotNull() & (
         F.col("next_ts") < F.col(ts) + F.expr(f"INTERVAL {lim_us} MICROSECONDS"))
@@ -58,7 +55,7 @@ def drop_late_rows(df: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame
 
 
 def followed_by(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", bucket: str | None = None,
+                ts: str = "ts", seq: str = "seq", block: str = "1 hour",
                 strict_late: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(matches, timeouts)``.
 
@@ -68,7 +65,7 @@ def followed_by(df: DataFrame, key: str, kind: str, first: str, then: str, withi
     """
     if strict_late:
         df = drop_late_rows(df, ts, seq)
-    n = next_follow(df, key, kind, first, then, within, ts, seq, bucket)
+    n = next_follow(df, key, kind, first, then, within, ts, seq, block)
     matches = n.where("matched").select(
         key, F.col(seq).alias("first_seq"), F.col(ts).alias("first_ts"), "next_seq", "next_ts",
         F.lit(PAID).alias("result"))

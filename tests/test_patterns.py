@@ -27,9 +27,9 @@ def test_order_log_strict_late(order_log):
     assert sorted(r.order_id for r in t) == [34747, 34756, 34767]
 
 
-def test_bucket_width_does_not_change_result(order_log):
+def test_block_length_does_not_change_result(order_log):
     a = run(order_log)
-    b = run(order_log, bucket="1 hour")
+    b = run(order_log, block="10 seconds")
     assert sorted(map(tuple, a[0])) == sorted(map(tuple, b[0]))
     assert sorted(map(tuple, a[1])) == sorted(map(tuple, b[1]))
 
