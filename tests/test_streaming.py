@@ -177,3 +177,52 @@ def test_running_total_stream_final_state(spark, scratch):
         F.max_by("cum_net", "window_end").alias("n"))
     want = {tuple(r[k] for k in keys): r.n for r in fin.collect()}
     assert got == want
+
+
+def test_fc_statistics_rereads_exclusions_each_batch_and_restarts(spark, scratch):
+    """The exclusion list is read inside every micro-batch: a change between runs is seen by the
+    next batch, and the second run resumes from the checkpoint (only the new file is processed)."""
+    def fc_line(act, ccy, amt, d):
+        return ('{"type":"FCData","send_time":"2021-06-03","data":{"ACT_NBR":"%s","CCY_NBR":"%s",'
+                '"TRX_AMT":"%s","BOK_DIR":"%s"}}' % (act, ccy, amt, d))
+    src, excl_path = os.path.join(scratch, "fc"), os.path.join(scratch, "excl")
+    out, ck = os.path.join(scratch, "fc_out"), os.path.join(scratch, "ck")
+    lines = [fc_line("a1", "10", "5", "+"), fc_line("a2", "10", "7", "+"), fc_line("a2", "10", "1", "-")]
+    _write_files([spark.createDataFrame([(x,) for x in lines], "value string")], src, "text")
+    spark.createDataFrame([("a1", "10")], "act_nbr string, ccy_cod string").write.mode(
+        "overwrite").parquet(excl_path)
+
+    def run():
+        q = S.fc_statistics(read_lines(spark, src, streaming=True, max_files_per_trigger=1),
+                            lambda s: s.read.parquet(excl_path), out, checkpoint=ck,
+                            trigger="availableNow")
+        q.awaitTermination()
+
+    run()
+    b0 = {(r.act_nbr, r.dir): r.amt for r in spark.read.parquet(out).where("batch_id = 0").collect()}
+    assert ("a1", "+") not in b0 and b0[("a2", "+")] == 7
+
+    spark.createDataFrame([("a2", "10")], "act_nbr string, ccy_cod string").write.mode(
+        "overwrite").parquet(excl_path)
+    _write_files([spark.createDataFrame([(x,) for x in lines], "value string")], src, "text")
+    run()
+    res = spark.read.parquet(out)
+    assert sorted(r.batch_id for r in res.select("batch_id").distinct().collect()) == [0, 1]
+    b1 = {(r.act_nbr, r.dir): r.amt for r in res.where("batch_id = 1").collect()}
+    assert b1 == {("a1", "+"): 5}
+
+
+def test_window_apply_extension_point(spark):
+    from ledgerflow.operators.custom import window_apply
+    e = tb.load_table(spark, SF_SMALL, "events").select("user_id", "ts", "value")
+
+    def spread(pdf):
+        return pdf.groupby(["user_id", "window_start"], as_index=False).agg(
+            spread=("value", lambda s: float(s.max() - s.min())))
+
+    got = window_apply(e, ["user_id"], "ts", "1 day", spread,
+                       "user_id long, window_start timestamp_ntz, spread double")
+    want = e.groupBy("user_id", F.window("ts", "1 day").start.alias("window_start")).agg(
+        (F.max("value") - F.min("value")).alias("spread"))
+    assert sorted((r.user_id, r.window_start, round(r.spread, 6)) for r in got.collect()) == \
+        sorted((r.user_id, r.window_start, round(r.spread, 6)) for r in want.collect())
