@@ -194,6 +194,24 @@ def uv_distinct_stream(views: DataFrame, ts: str, user: str, size: str,
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
 
 
+def sliding_count_stream(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
+                         delay: str = "0 seconds") -> DataFrame:
+    """Sliding-window counts on a stream, in append mode, through panes.
+
+    Two chained stateful aggregations: rows -> tumbling panes of ``slide`` (state per pane), then
+    panes -> sliding windows, using the pane's event time (``window_time``, its last instant: a
+    slide-aligned window holds the pane iff it holds that instant). Only pane rows are expanded
+    into their windows.
+    """
+    d = event_time(df, ts).withWatermark(ts, delay)
+    panes = d.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    pt = panes.select(F.window_time("pane").alias("pane_time"), *keys, "n")
+    g = pt.groupBy(F.window("pane_time", size, slide).alias("w"), *keys).agg(
+        F.sum("n").alias("count"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    *keys, "count")
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, key: str, lo: str, hi: str,
                          lts: str = "ts", rts: str = "ts", delay: str = "0 seconds",
                          lcols: Sequence[str] = (), rcols: Sequence[str] = ()) -> DataFrame:

@@ -226,3 +226,24 @@ def test_window_apply_extension_point(spark):
         (F.max("value") - F.min("value")).alias("spread"))
     assert sorted((r.user_id, r.window_start, round(r.spread, 6)) for r in got.collect()) == \
         sorted((r.user_id, r.window_start, round(r.spread, 6)) for r in want.collect())
+
+
+def test_sliding_count_stream_matches_batch_on_closed_windows(spark, scratch):
+    m = tb.events_as_marketing(tb.load_table(spark, SF_SMALL, "events")).where(
+        "behavior <> 'error'").select("ts", "channel", "behavior", "seq")
+    src = os.path.join(scratch, "mk")
+    _write_files(_chunks(m, "seq", 3), src)
+    sentinel = spark.createDataFrame([(10 ** 9,)], "seq long").select(
+        F.lit("2030-01-01").cast("timestamp_ntz").alias("ts"), F.lit("x").alias("channel"),
+        F.lit("x").alias("behavior"), "seq")
+    _write_files([sentinel], src)
+    stream = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.sliding_count_stream(stream, "ts", "1 hour", "10 minutes", ["channel", "behavior"]),
+                "mk_stream", checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql(
+        "SELECT window_start, channel, behavior, count FROM mk_stream WHERE channel <> 'x'").collect())
+    want = sorted(tuple(r) for r in behavior.sliding_counts(
+        S.event_time(m), "ts", "1 hour", "10 minutes", ["channel", "behavior"]).select(
+        "window_start", "channel", "behavior", "count").collect())
+    assert got == want and len(want) > 0
