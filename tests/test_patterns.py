@@ -1,5 +1,4 @@
 import pandas as pd
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerflow.operators import patterns

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import FIXTURES, SF_SMALL
 from ledgerflow import streaming as S
 from ledgerflow.functions.parse import classify_dc
-from ledgerflow.operators import behavior, flows, joins, lateness, patterns
+from ledgerflow.operators import behavior, flows, joins, lateness
 from ledgerflow.schemas import ORDER_EVENT
 from ledgerflow.sources import tables as tb
 from ledgerflow.sources.feeds import read_csv_feed, read_lines
