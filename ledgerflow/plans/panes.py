@@ -11,15 +11,20 @@ aggregation) and only pane rows are taken further:
   change points per key gives the window value, constant up to the next change point; each such
   run is expanded into its window starts. Work is proportional to panes plus output windows, with
   no per-window re-aggregation.
-* ``explode`` (any sum, e.g. floating point): each pane row is copied into its ``size/slide``
-  windows and re-aggregated.
+* ``ranges`` (default): the same change points, but the value of a window is *local* -- the sum
+  of the panes in ``[start, start + size)`` -- so no global prefix is needed. Per key, time is cut
+  into blocks of at least ``size``; every pane and change point is copied into the (at most two)
+  blocks whose change points can reach it, and two bounded ``RANGE`` frames over
+  ``(key, block)`` give each change point its window value and the next change point. One
+  shuffle after the pane aggregate, no joins, nothing re-read.
+* ``explode``: each pane row is copied into its ``size/slide`` windows and re-aggregated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +45,15 @@ def _iv(us: int) -> Column:
 
 def sliding_aggregate(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
                       sums: dict[str, Column] | None = None, count_name: str | None = "count",
-                      use_panes: bool = True, method: str = "auto") -> DataFrame:
+                      use_panes: bool = True, method: str = "auto",
+                      block: str | None = None) -> DataFrame:
     """Sliding-window ``count(*)`` and ``sum(col)`` per ``keys``.
 
     Output: ``window_start, window_end, *keys, <count_name>, *sums`` for every window holding at
-    least one row. ``method``: ``'auto'`` (deltas when all sums are exact types, else explode),
-    ``'deltas'``, ``'explode'``; ``use_panes=False`` or a size that is not a multiple of the slide
-    uses the plain ``F.window`` form.
+    least one row. ``method``: ``'ranges'`` (default), ``'deltas'`` (exact sum types only),
+    ``'explode'``; ``use_panes=False`` or a size that is not a multiple of the slide uses the plain
+    ``F.window`` form. ``block`` is the time block of the ``ranges`` method (default: the larger of
+    ``size`` and one day); it does not change the result.
     """
     sums = sums or {}
     keys = list(keys)
@@ -65,9 +72,14 @@ def sliding_aggregate(df: DataFrame, ts: str, size: str, slide: str, keys: Seque
     exact = all(isinstance(panes.schema[f"_pane_{n}"].dataType,
                            (T.IntegralType, T.DecimalType)) for n in sums)
     if method == "auto":
-        method = "deltas" if exact else "explode"
+        method = "ranges"
+    if method == "deltas" and not exact:
+        raise ValueError("method='deltas' needs integral or decimal sums")
     size_us, slide_us = int(round(size_s * 1e6)), int(round(slide_s * 1e6))
-    if method == "deltas":
+    if method == "ranges":
+        blk = int(interval_seconds(block) * 1e6) if block else None
+        out = _by_ranges(panes, keys, list(sums), size_us, slide_us, df.schema[ts].dataType, blk)
+    elif method == "deltas":
         out = _by_deltas(panes, keys, list(sums), size_us, slide_us)
     else:
         out = _by_explode(panes, keys, list(sums), int(round(ratio)), size_us, slide_us)
@@ -101,3 +113,46 @@ def _by_deltas(panes, keys, sums, size_us, slide_us):
     starts = F.explode(F.sequence(F.col("pos"), F.col("_next") - _iv(slide_us), _iv(slide_us)))
     return nxt.where(F.col("_n") > 0).select(starts.alias("window_start"), *keys, "_n",
                                             *[f"_s_{s}" for s in sums])
+
+
+def _by_ranges(panes, keys, sums, size_us, slide_us, ts_type, block_us=None):
+    from .prefix import GROUP
+    blk_us = block_us or max(size_us, 86_400_000_000)
+    p = F.unix_micros(F.col("pane_start").cast("timestamp"))
+    zero = [F.lit(0).cast(panes.schema[f"_pane_{x}"].dataType).alias(f"_pane_{x}") for x in sums]
+    vals = [F.col(f"_pane_{x}") for x in sums]
+    # a pane (kind 0) and its two change points (kind 1): first window holding it, first past it
+    items = F.array(
+        F.struct(p.alias("pos"), F.lit(0).alias("kind"), F.col("_pane_n").alias("n"), *vals),
+        F.struct((p - (size_us - slide_us)).alias("pos"), F.lit(1).alias("kind"),
+                 F.lit(0).cast("bigint").alias("n"), *zero),
+        F.struct((p + slide_us).alias("pos"), F.lit(1).alias("kind"),
+                 F.lit(0).cast("bigint").alias("n"), *zero))
+    rows = panes.select(F.struct(*keys).alias(GROUP), *keys, F.explode(items).alias("r")).select(
+        GROUP, *keys, "r.*")
+    pos = F.col("pos")
+    # blocks whose change points can reach the row: a pane at p is summed by change points in
+    # (p - size, p]; a change point at q is the "next" of change points in [q - size, q), and it
+    # is also needed in its own block, where it is emitted
+    lo = F.when(F.col("kind") == 0, pos - size_us + 1).otherwise(pos - size_us)
+    hi = pos
+    rows = rows.select("*", F.floor(pos / blk_us).alias("_home"),
+                       F.explode(F.sequence(F.floor(lo / blk_us), F.floor(hi / blk_us))).alias("_blk"))
+    rows = rows.repartition(GROUP, "_blk")
+    # same (key, block, position, kind) from several panes: merge (no shuffle: already clustered)
+    # (the key columns depend on the group struct; listing them keeps a hash aggregate)
+    merged = rows.groupBy(GROUP, "_blk", "pos", "kind", *keys).agg(
+        F.max((F.col("_home") == F.col("_blk")).cast("int")).alias("home"), F.sum("n").alias("n"),
+        *[F.sum(f"_pane_{x}").alias(f"_pane_{x}") for x in sums])
+    w = Window.partitionBy(GROUP, "_blk").orderBy("pos")
+    val = w.rangeBetween(0, size_us - 1)
+    ahead = w.rangeBetween(1, size_us)
+    cur = merged.select(
+        "*", F.sum("n").over(val).alias("_n"),
+        *[F.sum(f"_pane_{x}").over(val).alias(f"_s_{x}") for x in sums],
+        F.min(F.when(F.col("kind") == 1, pos)).over(ahead).alias("_next"))
+    live = cur.where((F.col("kind") == 1) & (F.col("home") == 1) & (F.col("_n") > 0))
+    starts = F.explode(F.sequence(pos, F.col("_next") - slide_us, F.lit(slide_us)))
+    out = live.select(starts.alias("_start_us"), *keys, "_n", *[f"_s_{x}" for x in sums])
+    return out.select(F.timestamp_micros("_start_us").cast(ts_type).alias("window_start"),
+                      *keys, "_n", *[f"_s_{x}" for x in sums])

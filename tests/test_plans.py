@@ -55,7 +55,7 @@ def test_panes_equal_plain_window(spark):
                                  sums={"v": F.col("value"), "c": F.col("cents")}, use_panes=False)
         rw = sorted((r.window_start, r.window_end, r.event_type or "", r["count"], round(r.v, 6), r.c)
                     for r in want.collect())
-        for method in ("deltas", "explode", "auto"):
+        for method in ("deltas", "explode", "ranges"):
             sums = {"c": F.col("cents")} if method == "deltas" else \
                 {"v": F.col("value"), "c": F.col("cents")}
             got = sliding_aggregate(e, "ts", size, slide, ["event_type"], sums=sums, method=method)
@@ -69,6 +69,16 @@ def test_panes_equal_plain_window(spark):
                 assert rg == rw, (size, slide, method)
 
 
+def test_ranges_block_length_does_not_change_result(spark):
+    e = tb.load_table(spark, SF_SMALL, "events")
+    base = sliding_aggregate(e, "ts", "1 hour", "5 minutes", ["event_type"], method="deltas")
+    want = sorted(tuple(r) for r in base.collect())
+    for block in ("7 minutes", "30 minutes", "1 hour", "3 hours"):
+        got = sliding_aggregate(e, "ts", "1 hour", "5 minutes", ["event_type"], method="ranges",
+                                block=block)
+        assert sorted(tuple(r) for r in got.collect()) == want, block
+
+
 def test_broadcast_guard(spark):
     small = spark.range(10)
     big = spark.range(100)
