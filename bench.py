@@ -30,7 +30,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(f"local[{cpus}]", app="ledgerflow-bench",
                         shuffle_partitions=int(cpus) * 2,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
+                               "ledgerflow.spreadSmallScans": os.environ.get("BENCH_SPREAD", "false")})
     names = sys.argv[1:] or HEADLINE
     # Warm-up (untimed): JVM JIT, parquet reader and codegen caches, on smaller tables, so the
     # timings below are steady-state per-query costs rather than one-off start-up.

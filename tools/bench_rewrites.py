@@ -42,7 +42,7 @@ def main():
     out[f"sliding_1h_{slide.replace(' ', '')}"] = {
         v: timed(sliding_aggregate(m, "ts", "1 hour", slide, ["channel", "behavior"], **kw))
         for v, kw in (("window_expand", {"use_panes": False}), ("panes_explode", {"method": "explode"}),
-                      ("panes_deltas", {"method": "deltas"}))}
+                      ("panes_deltas", {"method": "deltas"}), ("panes_ranges", {"method": "ranges"}))}
 
     o = tb.events_as_orders(e)
     creates = o.where("event_type = 'create'").alias("c")
