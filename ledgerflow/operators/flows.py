@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import DIR_IN, DIR_OUT, recognised
@@ -70,13 +70,19 @@ def dc_running_total(win: DataFrame, keys: Sequence[str] = WINDOW_KEYS,
                      block: Column | None = None) -> DataFrame:
     """Cumulative in, out and net per key across its windows, one row per window result.
 
-    Blocked prefix scan (``plans.prefix.running``): a key's windows are cut into blocks along time
-    (default: calendar day of the window end), so a key with very many windows is spread over tasks.
+    The input holds one row per (key, window), so a key has at most (time span / window size)
+    rows however much raw data it had: a per-key window over it is bounded by time, not by data
+    volume. ``block`` (e.g. the calendar day of ``window_end``) switches to the blocked prefix scan
+    of ``plans.prefix.running`` for keys with very long histories of very short windows.
     """
-    blk = block if block is not None else F.floor(F.unix_seconds(
-        F.col("window_end").cast("timestamp")) / F.lit(86400))
-    r = running(win, keys, [F.col("window_end")], blk,
-                {"cum_in": ("sum", F.col("in_amt")), "cum_out": ("sum", F.col("out_amt"))})
+    if block is None:
+        w = (Window.partitionBy(*keys).orderBy("window_end")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        r = win.select("*", F.sum("in_amt").over(w).alias("cum_in"),
+                       F.sum("out_amt").over(w).alias("cum_out"))
+    else:
+        r = running(win, keys, [F.col("window_end")], block,
+                    {"cum_in": ("sum", F.col("in_amt")), "cum_out": ("sum", F.col("out_amt"))})
     return r.select(*keys, "window_start", "window_end",
                     F.col("cum_in").cast(MONEY).alias("cum_in"),
                     F.col("cum_out").cast(MONEY).alias("cum_out"),

@@ -52,7 +52,7 @@ def early_firing(df: DataFrame, key: str, ts: str, size: str, interval: str,
 
 
 def count_firing(df: DataFrame, key: str, ts: str, size: str, n: int, value: str = "value",
-                 seq: str = "seq", block: str = "1 hour") -> DataFrame:
+                 seq: str = "seq", block: str = "1 hour", fire_block: int = 1 << 16) -> DataFrame:
     """Fire every ``n`` elements of a (key, tumbling window), accumulating (fire, no purge).
 
     Position in the window comes from a blocked prefix count; the k-th firing covers positions
@@ -67,9 +67,11 @@ def count_firing(df: DataFrame, key: str, ts: str, size: str, n: int, value: str
     seg = pos.withColumn("fire_no", F.floor((F.col("pos") - 1) / n) + 1)
     per_fire = seg.groupBy(key, "window_start", "window_end", "fire_no").agg(
         F.count(F.lit(1)).alias("k"), F.sum(value).alias("s"), F.max(value).alias("m"))
-    wf = (Window.partitionBy(key, "window_start").orderBy("fire_no")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (per_fire.where(F.col("k") == n)
-            .select(key, "window_start", "window_end", F.col("fire_no").cast("bigint"),
-                    (F.col("fire_no") * n).cast("bigint").alias("cum_count"),
-                    F.sum("s").over(wf).alias("cum_sum"), F.max("m").over(wf).alias("cum_max")))
+    # a busy window fires (rows / n) times: accumulate over firings with a blocked scan too
+    full = per_fire.where(F.col("k") == n)
+    cum = running(full, [key, "window_start"], [F.col("fire_no")],
+                  F.floor(F.col("fire_no") / F.lit(fire_block)),
+                  {"cum_sum": ("sum", F.col("s")), "cum_max": ("max", F.col("m"))})
+    return cum.select(key, "window_start", "window_end", F.col("fire_no").cast("bigint"),
+                      (F.col("fire_no") * n).cast("bigint").alias("cum_count"), "cum_sum",
+                      "cum_max")

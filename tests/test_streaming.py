@@ -247,3 +247,27 @@ def test_sliding_count_stream_matches_batch_on_closed_windows(spark, scratch):
         S.event_time(m), "ts", "1 hour", "10 minutes", ["channel", "behavior"]).select(
         "window_start", "channel", "behavior", "count").collect())
     assert got == want and len(want) > 0
+
+
+def test_window_inout_stream_matches_batch(spark, scratch):
+    tx = classify_dc(tb.events_as_dc(tb.load_table(spark, SF_SMALL, "events")))
+    keys = ["act_nbr", "ccy_cod", "brn"]
+    src = os.path.join(scratch, "tx")
+    cols = ["seq", "ts", "act_nbr", "ccy_cod", "brn", "direction", "signed_amt"]
+    _write_files([c.select(*cols) for c in _chunks(tx, "seq", 3)], src)
+    sentinel = tx.limit(1).select(F.lit(10 ** 9).cast("long").alias("seq"),
+                                  F.lit("2030-01-01").cast("timestamp_ntz").alias("ts"),
+                                  F.lit("x").alias("act_nbr"), "ccy_cod", "brn", "direction",
+                                  "signed_amt")
+    _write_files([sentinel], src)
+    stream = spark.readStream.schema(tx.select(*cols).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.window_inout_stream(stream, "1 hour", keys=keys), "win_stream",
+                checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql(
+        "SELECT window_start, act_nbr, ccy_cod, brn, in_amt, out_amt FROM win_stream "
+        "WHERE act_nbr <> 'x'").collect())
+    want = sorted(tuple(r) for r in flows.dc_window_inout(S.event_time(tx), "1 hour", time_col="ts",
+                                                          keys=keys).select(
+        "window_start", *keys, "in_amt", "out_amt").collect())
+    assert got == want and len(want) > 0
