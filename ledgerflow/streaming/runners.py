@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import classify_dc, parse_dc, parse_fc
+from ..functions.parse import classify_dc, parse_dc, parse_fc, recognised, with_rejects
 from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_seconds
@@ -60,14 +60,19 @@ def dc_statistics(lines: DataFrame, out_root: str, checkpoint: str | None = None
 
     Parsing and classification stay in the streaming plan (narrow); the aggregate and unpivot run
     on each micro-batch. Output of batch N goes to ``out_root/batch_id=N`` (overwrite: a replayed
-    batch rewrites its own folder, it never adds duplicates).
+    batch rewrites its own folder, it never adds duplicates); recognised rows whose date, time or
+    amount did not parse go to ``out_root/_rejects/batch_id=N``.
     """
     tx = classify_dc(parse_dc(lines))
 
     def per_batch(bdf: DataFrame, batch_id: int):
-        net = flows.dc_net_flow(bdf)
+        bdf = bdf.persist()
+        ok, bad = with_rejects(recognised(bdf), ["date", "time", "amt"])
+        net = flows.dc_net_flow(ok)
         out = cells.to_cells(net, flows.NET_KEYS) if as_cells else net
         out.write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
+        bad.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_root, "_rejects"), batch_id))
+        bdf.unpersist()
 
     return _foreach(tx, per_batch, "dc_statistics", checkpoint, trigger)
 
@@ -81,9 +86,13 @@ def fc_statistics(lines: DataFrame, exclusion: Callable[[SparkSession], DataFram
     fc = parse_fc(lines)
 
     def per_batch(bdf: DataFrame, batch_id: int):
+        bdf = bdf.persist()
+        ok, bad = with_rejects(bdf, ["act_nbr", "amt", "dir"])
         excl = exclusion(bdf.sparkSession)
-        kept = lookup.anti_filter(bdf, excl)
+        kept = lookup.anti_filter(ok, excl)
         flows.fc_sum(kept).write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
+        bad.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_root, "_rejects"), batch_id))
+        bdf.unpersist()
 
     return _foreach(fc, per_batch, "fc_statistics", checkpoint, trigger)
 

@@ -76,13 +76,19 @@ def test_dc_statistics_per_batch_sums_add_up(spark, scratch):
                                              data.alias("data"))).alias("value"))
     src = os.path.join(scratch, "dc")
     _write_files([c.select("value") for c in _chunks(js, "seq", 3)], src, "text")
+    bad = ('{"type":"DigitCurrency","data":{"BTSACTNBR":"1","BTSCCYNBR":"1","BTSBRNGLG":"1",'
+           '"BTSREGTIM":"not a time","BTSTRSAMT":"5","BTSTXTC2G":"N7CP"}}')
+    _write_files([spark.createDataFrame([(bad,), ("garbage",)], "value string")], src, "text")
     out = os.path.join(scratch, "dc_out")
     q = S.dc_statistics(read_lines(spark, src, streaming=True, max_files_per_trigger=1), out,
                         checkpoint=os.path.join(scratch, "ck"), trigger="availableNow",
                         as_cells=False)
     q.awaitTermination()
     per_batch = spark.read.parquet(out)
+    # the fourth batch holds only bad rows: its net flow is empty
     assert per_batch.select("batch_id").distinct().count() == 3
+    rejects = spark.read.parquet(os.path.join(out, "_rejects"))
+    assert rejects.count() == 1 and rejects.first().reg_tim == "not a time"
     got = per_batch.groupBy(*flows.NET_KEYS).agg(F.sum("sum_amt").alias("s"))
     want = flows.dc_net_flow(classify_dc(dc)).select(*flows.NET_KEYS, F.col("sum_amt").alias("s"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
