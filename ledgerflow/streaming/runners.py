@@ -242,6 +242,26 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key: str, lo: str, h
                     *[f"r_{c}" for c in (rts, *rcols)])
 
 
+def window_join_stream(left: DataFrame, right: DataFrame, key: str, size: str, lts: str = "ts",
+                       rts: str = "ts", delay: str = "0 seconds", lcols: Sequence[str] = (),
+                       rcols: Sequence[str] = ()) -> DataFrame:
+    """Stream-stream inner join on equal key and equal tumbling window; the window equality on
+    watermarked event times lets Spark drop a window's state once both watermarks pass it."""
+    l = event_time(left, lts).withWatermark(lts, delay)
+    r = event_time(right, rts).withWatermark(rts, delay)
+    # one event-time column per side: the window; the row time is passed on as plain data
+    l = l.select(F.col(key).alias("_lk"), F.window(lts, size).alias("_lw"),
+                 F.col(lts).cast("timestamp_ntz").alias(f"l_{lts}"),
+                 *[F.col(c).alias(f"l_{c}") for c in lcols])
+    r = r.select(F.col(key).alias("_rk"), F.window(rts, size).alias("_rw"),
+                 F.col(rts).cast("timestamp_ntz").alias(f"r_{rts}"),
+                 *[F.col(c).alias(f"r_{c}") for c in rcols])
+    j = l.join(r, (F.col("_lk") == F.col("_rk")) & (F.col("_lw") == F.col("_rw")))
+    return j.select(F.col("_lk").alias(key), F.col("_lw.start").alias("window_start"),
+                    F.col("_lw.end").alias("window_end"), *[f"l_{c}" for c in (lts, *lcols)],
+                    *[f"r_{c}" for c in (rts, *rcols)])
+
+
 def order_pattern_stream(orders: DataFrame, key: str = "order_id", kind: str = "event_type",
                          first: str = "create", then: str = "pay", within: str = "15 minutes",
                          ts: str = "ts", seq: str = "seq", delay: str = "0 seconds") -> DataFrame:

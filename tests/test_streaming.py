@@ -277,3 +277,22 @@ def test_window_inout_stream_matches_batch(spark, scratch):
                                                           keys=keys).select(
         "window_start", *keys, "in_amt", "out_amt").collect())
     assert got == want and len(want) > 0
+
+
+def test_window_join_stream_matches_batch(spark, scratch):
+    e = tb.load_table(spark, SF_SMALL, "events")
+    c = e.where("event_type = 'click'").select("user_id", "ts", "event_id")
+    v = e.where("event_type = 'view'").select("user_id", "ts", "event_id")
+    lsrc, rsrc = os.path.join(scratch, "l"), os.path.join(scratch, "r")
+    _write_files(_chunks(c, "event_id", 3), lsrc)
+    _write_files(_chunks(v, "event_id", 3), rsrc)
+    ls = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(lsrc)
+    rs = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(rsrc)
+    j = S.window_join_stream(ls, rs, "user_id", "1 day", delay="1 day", lcols=["event_id"],
+                             rcols=["event_id"])
+    q = S.start(j, "wj_stream", checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = sorted((r.l_event_id, r.r_event_id) for r in spark.sql("SELECT * FROM wj_stream").collect())
+    want = sorted((r.l_event_id, r.r_event_id) for r in joins.window_join(
+        c, v, "user_id", "1 day", lcols=["event_id"], rcols=["event_id"]).collect())
+    assert got == want and len(want) > 0
