@@ -97,16 +97,19 @@ def uv_approx(views: DataFrame, ts: str, user: str, size: str, rsd: float = 0.01
 
 
 def uv_running(views: DataFrame, ts: str, user: str, size: str, seq: str = "seq",
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+               block_rows: int = DEFAULT_BLOCK_ROWS, hashed: bool = False) -> DataFrame:
     """Fire-and-purge on every element: after each view, the distinct users of its window so far.
 
     A user's first view in a window adds one; the running count is a blocked prefix sum over the
-    window's arrivals, so a busy window is spread over tasks.
+    window's arrivals, so a busy window is spread over tasks. ``hashed=True`` counts distinct
+    ``poly_hash`` bit positions instead (the bitmap job's notion of a new user: its bit was unset).
     """
+    ident = poly_hash(F.col(user).cast("string")) if hashed else F.col(user)
     d = views.select(F.window(ts, size).start.alias("window_start"),
-                     F.window(ts, size).end.alias("window_end"), F.col(user).alias("user_id"), seq)
-    firsts = d.groupBy("window_start", "user_id").agg(F.min(seq).alias("_first"))
-    d = d.join(firsts, ["window_start", "user_id"]).withColumn(
+                     F.window(ts, size).end.alias("window_end"), F.col(user).alias("user_id"),
+                     ident.alias("_id"), seq)
+    firsts = d.groupBy("window_start", "_id").agg(F.min(seq).alias("_first"))
+    d = d.join(firsts, ["window_start", "_id"]).withColumn(
         "_new", (F.col(seq) == F.col("_first")).cast("int"))
     r = running(d, ["window_start"], [F.col(seq)], seq_block(seq, block_rows),
                 {"uv": ("sum", F.col("_new"))})

@@ -47,6 +47,14 @@ def test_uv_running_last_equals_exact(spark):
     assert sorted(map(tuple, last.collect())) == sorted((r.window_start, r.uv) for r in ex.collect())
 
 
+def test_uv_running_hashed_bounded_by_exact(spark):
+    v = tb.load_table(spark, SF_SMALL, "events").where("event_type = 'view'").withColumnRenamed(
+        "event_id", "seq")
+    a = {r.seq: r.uv for r in behavior.uv_running(v, "ts", "user_id", "1 hour").collect()}
+    b = {r.seq: r.uv for r in behavior.uv_running(v, "ts", "user_id", "1 hour", hashed=True).collect()}
+    assert a.keys() == b.keys() and all(b[k] <= a[k] for k in a)
+
+
 def _devices(spark):
     # The reference's device sample lines, plus a tie and an out-of-order row.
     rows = [("device-1", 1.0, 1622708520000, 0), ("device-1", 1.0, 1622708580000, 1),
