@@ -135,16 +135,30 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
     return _foreach(df, per_batch, "late_split", checkpoint, trigger)
 
 
-def _previous_hwm(spark: SparkSession, hwm_root: str, batch_id: int):
-    """Mark written by the latest batch before ``batch_id`` (None before the first)."""
+def _previous_output(spark: SparkSession, root: str, batch_id: int):
+    """Output written by the latest batch before ``batch_id`` (None before the first).
+
+    ``foreachBatch`` ids are consecutive and batch N runs only after N-1 committed, so
+    ``batch_id=N-1`` is read directly (one small folder, no listing of the history); the listing
+    is a fallback for a batch that wrote nothing.
+    """
     if batch_id == 0:
         return None
     try:
-        marks = spark.read.parquet(hwm_root)
-    except Exception:  # noqa: BLE001 - no earlier batch wrote a mark yet
+        return spark.read.parquet(_batch_dir(root, batch_id - 1))
+    except Exception:  # noqa: BLE001 - not there: fall back to the latest earlier one
+        pass
+    try:
+        marks = spark.read.parquet(root)
+    except Exception:  # noqa: BLE001 - no earlier batch wrote anything yet
         return None
-    row = (marks.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc())
-           .select("m").first())
+    last = marks.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+    return None if last is None else marks.where(F.col("batch_id") == last).drop("batch_id")
+
+
+def _previous_hwm(spark: SparkSession, hwm_root: str, batch_id: int):
+    prev = _previous_output(spark, hwm_root, batch_id)
+    row = prev.select("m").first() if prev is not None else None
     return row.m if row else None
 
 
@@ -156,16 +170,7 @@ def offset_ledger_sink(records: DataFrame, ledger_root: str, checkpoint: str | N
     latest earlier batch, so a replayed batch produces the same ledger and it never moves back.
     """
     def per_batch(bdf: DataFrame, batch_id: int):
-        spark = bdf.sparkSession
-        prev = None
-        if batch_id > 0:
-            try:
-                all_ = spark.read.parquet(ledger_root)
-                last = all_.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-                if last is not None:
-                    prev = all_.where(F.col("batch_id") == last).drop("batch_id")
-            except Exception:  # noqa: BLE001 - first batch
-                prev = None
+        prev = _previous_output(bdf.sparkSession, ledger_root, batch_id)
         ledger.advance(prev, bdf).write.mode("overwrite").parquet(_batch_dir(ledger_root, batch_id))
 
     return _foreach(records, per_batch, "offset_ledger", checkpoint, trigger)
