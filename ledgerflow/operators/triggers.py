@@ -22,6 +22,9 @@ def early_firing(df: DataFrame, key: str, ts: str, size: str, interval: str,
     the window end); early firings happen only at ticks that saw new data (the intended behaviour
     of the reference trigger). Output per firing: ``fire_time``, ``fire_kind`` ('early'/'final'),
     cumulative ``cum_count``, ``cum_sum`` and ``cum_max`` of ``value``.
+
+    One aggregate per (key, window, tick) and one window pass over the ticks (at most
+    size / interval per window, bounded by time) yield both the early rows and the final row.
     """
     iv = int(interval_seconds(interval))
     w = F.window(ts, size)
@@ -32,46 +35,39 @@ def early_firing(df: DataFrame, key: str, ts: str, size: str, interval: str,
     d = d.withColumn("fire_time", F.least(tick_free, F.col("window_end")))
     per_tick = d.groupBy(key, "window_start", "window_end", "fire_time").agg(
         F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.max(value).alias("m"))
-    # Ticks per window are few (size / interval): an ordinary window over the tick table.
-    wt = (Window.partitionBy(key, "window_start").orderBy("fire_time")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    part = Window.partitionBy(key, "window_start")
+    wt = part.orderBy("fire_time").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = per_tick.select(key, "window_start", "window_end", "fire_time",
                           F.sum("n").over(wt).alias("cum_count"),
                           F.sum("s").over(wt).alias("cum_sum"),
-                          F.max("m").over(wt).alias("cum_max"))
-    early = (cum.where(F.col("fire_time") < F.col("window_end"))
-             .withColumn("fire_kind", F.lit("early")))
-    final = (per_tick.groupBy(key, "window_start", "window_end")
-             .agg(F.sum("n").alias("cum_count"), F.sum("s").alias("cum_sum"),
-                  F.max("m").alias("cum_max"))
-             .select(key, "window_start", "window_end", F.col("window_end").alias("fire_time"),
-                     "cum_count", "cum_sum", "cum_max", F.lit("final").alias("fire_kind")))
-    cols = [key, "window_start", "window_end", "fire_time", "fire_kind", "cum_count", "cum_sum",
-            "cum_max"]
-    return early.select(*cols).unionByName(final.select(*cols))
+                          F.max("m").over(wt).alias("cum_max"),
+                          (F.col("fire_time") == F.max("fire_time").over(part)).alias("_last"))
+    kinds = F.array(
+        F.when(F.col("fire_time") < F.col("window_end"),
+               F.struct(F.col("fire_time").alias("t"), F.lit("early").alias("k"))),
+        F.when(F.col("_last"), F.struct(F.col("window_end").alias("t"), F.lit("final").alias("k"))))
+    out = cum.select("*", F.explode(kinds).alias("_f")).where(F.col("_f").isNotNull())
+    return out.select(key, "window_start", "window_end", F.col("_f.t").alias("fire_time"),
+                      F.col("_f.k").alias("fire_kind"), "cum_count", "cum_sum", "cum_max")
 
 
 def count_firing(df: DataFrame, key: str, ts: str, size: str, n: int, value: str = "value",
-                 seq: str = "seq", block: str = "1 hour", fire_block: int = 1 << 16) -> DataFrame:
+                 seq: str = "seq", block: str = "1 hour") -> DataFrame:
     """Fire every ``n`` elements of a (key, tumbling window), accumulating (fire, no purge).
 
-    Position in the window comes from a blocked prefix count; the k-th firing covers positions
-    1..k*n. A trailing partial group does not fire. Output: ``fire_no``, ``cum_count``,
-    ``cum_sum`` and ``cum_max`` of ``value``.
+    The k-th firing happens at the element in position k*n (time, then arrival order) and covers
+    positions 1..k*n; a trailing partial group does not fire. One blocked prefix scan gives every
+    element its position, running sum and running max; the firing rows are the elements whose
+    position is a multiple of ``n``. Output: ``fire_no``, ``cum_count``, ``cum_sum``,
+    ``cum_max`` of ``value``.
     """
     w = F.window(ts, size)
     d = df.select(key, w.start.alias("window_start"), w.end.alias("window_end"), ts, seq, value)
     blk = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(int(interval_seconds(block))))
-    pos = running(d, [key, "window_start"], [F.col(ts), F.col(seq)], blk,
-                  {"pos": ("count", F.lit(1))})
-    seg = pos.withColumn("fire_no", F.floor((F.col("pos") - 1) / n) + 1)
-    per_fire = seg.groupBy(key, "window_start", "window_end", "fire_no").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(value).alias("s"), F.max(value).alias("m"))
-    # a busy window fires (rows / n) times: accumulate over firings with a blocked scan too
-    full = per_fire.where(F.col("k") == n)
-    cum = running(full, [key, "window_start"], [F.col("fire_no")],
-                  F.floor(F.col("fire_no") / F.lit(fire_block)),
-                  {"cum_sum": ("sum", F.col("s")), "cum_max": ("max", F.col("m"))})
-    return cum.select(key, "window_start", "window_end", F.col("fire_no").cast("bigint"),
-                      (F.col("fire_no") * n).cast("bigint").alias("cum_count"), "cum_sum",
-                      "cum_max")
+    r = running(d, [key, "window_start"], [F.col(ts), F.col(seq)], blk,
+                {"pos": ("count", F.lit(1)), "cum_sum": ("sum", F.col(value)),
+                 "cum_max": ("max", F.col(value))})
+    return (r.where(F.col("pos") % n == 0)
+            .select(key, "window_start", "window_end",
+                    (F.col("pos") / n).cast("bigint").alias("fire_no"),
+                    F.col("pos").cast("bigint").alias("cum_count"), "cum_sum", "cum_max"))
