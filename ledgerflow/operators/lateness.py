@@ -48,7 +48,11 @@ def late_flag(df: DataFrame, ts: str, arrival: str, size: str, slide: str | None
 
 def late_split(df: DataFrame, ts: str, arrival: str, size: str, slide: str | None = None,
                delay: str = "0 seconds", **kw) -> tuple[DataFrame, DataFrame]:
-    """Return ``(on_time, late)``; together they hold every input row exactly once."""
+    """Return ``(on_time, late)``; together they hold every input row exactly once.
+
+    Both are filters over one flagged plan: when both are written, persist the input (as the
+    streaming runner does per micro-batch) or write ``late_flag`` once, partitioned by ``is_late``.
+    """
     flagged = late_flag(df, ts, arrival, size, slide, delay, **kw)
     cols = df.columns + ["window_end"]
     return (flagged.where(~F.col("is_late")).select(*cols),

@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.hashing import poly_hash
 from .functions.parse import IN_CODES, OUT_CODES, classify_dc, parse_envelope
-from .operators import cells, flows, lookup
+from .operators import (behavior, cells, flows, joins, lateness, ledger, lookup, patterns, routing,
+                        triggers)
 from .schemas import DC_DATA
 from .sources import tables as tb
 
@@ -150,9 +152,6 @@ def q_fc_sum(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- behaviour
-from .operators import behavior, joins, lateness, ledger, patterns, routing, triggers  # noqa: E402
-from .functions.hashing import poly_hash  # noqa: E402
-
 
 def _marks(spark, sf_dir):
     return tb.events_as_marks(_events(spark, sf_dir))
