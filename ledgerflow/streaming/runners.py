@@ -16,7 +16,8 @@ from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_seconds
 from ..session import scratch_path
-from .state import OUTPUT_SCHEMA, STATE_SCHEMA, pattern_state_fn
+from .state import (MARKS_OUTPUT, MARKS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, marks_state_fn,
+                    pattern_state_fn)
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -286,3 +287,23 @@ def order_pattern_stream(orders: DataFrame, key: str = "order_id", kind: str = "
     return out.select(F.col("key").alias(key), "first_seq",
                       F.timestamp_micros("first_us").alias("first_ts"), "next_seq",
                       F.timestamp_micros("next_us").alias("next_ts"), "result")
+
+
+def running_average_stream(marks: DataFrame, name: str = "name", mark: str = "mark",
+                           seq: str = "seq", threshold: float | None = None) -> DataFrame:
+    """Per-record running average per name on a stream (append mode, one row per record).
+
+    Output as :func:`operators.behavior.running_average` (``name, seq, run_sum, count,
+    avg_mark``) plus ``segment`` and ``fire`` when ``threshold`` is given: the records with
+    ``fire = 1`` are the purge-segment results of ``purge_segments`` (the firing record is its
+    segment's largest average). Records of a name must arrive in ``seq`` order.
+    """
+    d = marks.select(F.col(name).cast("string").alias("name"), F.col(seq).cast("long").alias("seq"),
+                     (F.col(mark).cast("decimal(38,2)") * 100).cast("long").alias("cents"))
+    thr = None if threshold is None else int(round(threshold * 100))
+    out = d.groupBy("name").applyInPandasWithState(marks_state_fn(thr), MARKS_OUTPUT, MARKS_STATE,
+                                                    "append", "NoTimeout")
+    run_sum = (F.col("sum_cents").cast("decimal(38,0)") / 100).cast("decimal(38,2)")
+    return out.select(F.col("name").alias(name), F.col("seq").alias(seq), run_sum.alias("run_sum"),
+                      "count", (run_sum / F.col("count")).cast("decimal(38,6)").alias("avg_mark"),
+                      "segment", "fire")

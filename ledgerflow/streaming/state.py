@@ -84,3 +84,39 @@ def pattern_state_fn(first: str, then: str, within_us: int, paid: str, timeout:
             yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields]).astype(
                 {"next_seq": "Int64", "next_us": "Int64"})
     return fn
+
+
+MARKS_OUTPUT = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("sum_cents", T.LongType()),
+    T.StructField("count", T.LongType()),
+    T.StructField("segment", T.LongType()),
+    T.StructField("fire", T.IntegerType()),
+])
+
+MARKS_STATE = T.StructType([
+    T.StructField("sum_cents", T.LongType()),
+    T.StructField("count", T.LongType()),
+    T.StructField("segment", T.LongType()),
+])
+
+
+def marks_state_fn(threshold_cents: int | None):
+    """Running sum and count per name, one output row per record (in arrival order); with a
+    threshold, ``fire`` marks records whose running average passes it and ``segment`` counts the
+    firings before the record (the purge segment it belongs to). Sums are exact integer cents."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        name = key[0]
+        total, count, seg = state.get if state.exists else (0, 0, 0)
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+        out = []
+        for seq, cents in zip(rows["seq"].tolist(), rows["cents"].tolist()):
+            total += int(cents)
+            count += 1
+            fire = int(threshold_cents is not None and total > threshold_cents * count)
+            out.append((name, int(seq), total, count, seg, fire))
+            seg += fire
+        state.update((total, count, seg))
+        yield pd.DataFrame(out, columns=[f.name for f in MARKS_OUTPUT.fields])
+    return fn

@@ -325,3 +325,20 @@ def test_replayed_batch_rewrites_its_output(spark, scratch):
     replayed = run()
     assert replayed > 0  # the last batch really ran again
     assert snapshot() == first and len(first) == d.count()
+
+
+def test_running_average_stream_matches_batch(spark, scratch):
+    marks = tb.events_as_marks(tb.load_table(spark, SF_SMALL, "events"))
+    src = os.path.join(scratch, "marks")
+    _write_files(_chunks(marks, "seq", 3), src)
+    stream = spark.readStream.schema(marks.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.running_average_stream(stream, threshold=80), "marks_stream",
+                checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = spark.sql("SELECT * FROM marks_stream")
+    avgs = behavior.running_average(marks)
+    assert sorted(tuple(r) for r in got.select("name", "seq", "run_sum", "count", "avg_mark")
+                  .collect()) == sorted(tuple(r) for r in avgs.collect())
+    fired = sorted((r.name, r.segment, r.seq) for r in got.where("fire = 1").collect())
+    want = sorted((r.name, r.segment, r.seq) for r in behavior.purge_segments(avgs).collect())
+    assert fired == want and len(want) > 0
