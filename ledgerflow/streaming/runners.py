@@ -307,3 +307,20 @@ def running_average_stream(marks: DataFrame, name: str = "name", mark: str = "ma
     return out.select(F.col("name").alias(name), F.col("seq").alias(seq), run_sum.alias("run_sum"),
                       "count", (run_sum / F.col("count")).cast("decimal(38,6)").alias("avg_mark"),
                       "segment", "fire")
+
+
+def window_aggregate_stream(df: DataFrame, key: str, ts: str, size: str, value: str = "value",
+                            delay: str = "0 seconds") -> DataFrame:
+    """Count, sum, max and max-by-value element per (key, tumbling window) on a stream.
+
+    Early firing (T10) is this query started with ``mode="update"`` and
+    ``trigger="<interval>"``: each trigger re-emits the windows that changed, accumulated so far.
+    The final firing at window end (T9) is the same query with ``mode="append"``: a window is
+    emitted once the watermark passes its end.
+    """
+    d = event_time(df, ts).withWatermark(ts, delay)
+    g = d.groupBy(F.window(ts, size).alias("w"), key).agg(
+        F.count(F.lit(1)).alias("cum_count"), F.sum(value).alias("cum_sum"),
+        F.max(value).alias("cum_max"))
+    return g.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "cum_count", "cum_sum", "cum_max")

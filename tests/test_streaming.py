@@ -342,3 +342,29 @@ def test_running_average_stream_matches_batch(spark, scratch):
     fired = sorted((r.name, r.segment, r.seq) for r in got.where("fire = 1").collect())
     want = sorted((r.name, r.segment, r.seq) for r in behavior.purge_segments(avgs).collect())
     assert fired == want and len(want) > 0
+
+
+def test_window_aggregate_stream_update_and_append(spark, scratch):
+    from ledgerflow.operators import triggers
+    dev = tb.events_as_devices(tb.load_table(spark, SF_SMALL, "events"))
+    src = os.path.join(scratch, "dev")
+    _write_files(_chunks(dev, "seq", 3), src)
+    sentinel = dev.limit(1).select(F.lit("x").alias("id"), "value",
+                                   F.lit("2030-01-01").cast("timestamp_ntz").alias("ts"),
+                                   F.lit(10 ** 9).cast("long").alias("seq"))
+    _write_files([sentinel], src)
+    final = triggers.early_firing(dev, "id", "ts", "1 day", "6 hours").where("fire_kind = 'final'")
+    want = sorted((r.id, r.window_start, r.cum_count, r.cum_sum, r.cum_max) for r in final.collect())
+    for mode in ("update", "append"):
+        stream = spark.readStream.schema(dev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        q = S.start(S.window_aggregate_stream(stream, "id", "ts", "1 day"), f"agg_{mode}",
+                    mode=mode, checkpoint=os.path.join(scratch, f"ck_{mode}"))
+        q.awaitTermination()
+        rows = spark.sql(f"SELECT * FROM agg_{mode} WHERE id <> 'x'").collect()
+        last = {}
+        for r in rows:  # update mode: the latest (largest) emission per window is the final one
+            k = (r.id, r.window_start)
+            if k not in last or r.cum_count >= last[k][0]:
+                last[k] = (r.cum_count, r.cum_sum, r.cum_max)
+        got = sorted((k[0], k[1], *v) for k, v in last.items())
+        assert got == want, mode
