@@ -17,3 +17,14 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_RO
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: a reliable checkpoint of ``df`` in the shared ``spark.checkpoint.dir``.
+
+    For multi-pass operators whose later passes would otherwise recompute the earlier ones (and,
+    after an executor loss, recompute a long lineage). Runs a job now.
+    """
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

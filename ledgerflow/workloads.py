@@ -17,6 +17,7 @@ from .functions.hashing import poly_hash
 from .functions.parse import IN_CODES, OUT_CODES, classify_dc, parse_envelope
 from .operators import (behavior, cells, flows, joins, lateness, ledger, lookup, patterns, routing,
                         triggers)
+from .plans.guards import materialize
 from .schemas import DC_DATA
 from .sources import tables as tb
 
@@ -164,7 +165,9 @@ def q_running_avg(spark, sf_dir):
 
 @query("purge_segments")
 def q_purge_segments(spark, sf_dir):
-    avgs = behavior.running_average(_marks(spark, sf_dir), with_block=True)
+    # two dependent prefix scans: checkpoint the first (shared checkpoint folder) so the second
+    # reads it instead of recomputing it for its block totals
+    avgs = materialize(behavior.running_average(_marks(spark, sf_dir), with_block=True))
     return behavior.purge_segments(avgs, threshold=80)
 
 
