@@ -38,7 +38,7 @@ def query(name: str):
 
 
 def _events(spark, sf_dir):
-    return tb.load_table(spark, sf_dir, "events")
+    return tb.read_only_table(spark, sf_dir, "events")
 
 
 def tx(spark: SparkSession, sf_dir: str, recognised_only: bool = False) -> DataFrame:
@@ -50,7 +50,8 @@ def tx(spark: SparkSession, sf_dir: str, recognised_only: bool = False) -> DataF
     e = _events(spark, sf_dir)
     if recognised_only:
         e = e.where(F.col("event_type").isin(*tb.event_types_for(OUT_CODES + IN_CODES)))
-    return classify_dc(tb.events_as_dc(e))
+    # string formatting and parsing per row: spread a single-split scan over the cores first
+    return classify_dc(tb.events_as_dc(tb.spread_small_scan(e)))
 
 
 # ---------------------------------------------------------------- parsing
@@ -62,7 +63,7 @@ def q_parse_props(spark, sf_dir):
 @query("src_json_lines")
 def q_src_json_lines(spark, sf_dir):
     """events -> DC envelope JSON lines -> parsed back with the envelope parser."""
-    dc = tb.events_as_dc(_events(spark, sf_dir))
+    dc = tb.events_as_dc(tb.spread_small_scan(_events(spark, sf_dir)))
     data = F.struct(F.col("act_nbr").alias("BTSACTNBR"), F.col("ccy_cod").alias("BTSCCYNBR"),
                     F.col("brn").alias("BTSBRNGLG"), F.col("reg_tim").alias("BTSREGTIM"),
                     F.col("trs_amt").alias("BTSTRSAMT"), F.col("code").alias("BTSTXTC2G"))
@@ -83,7 +84,7 @@ def q_src_csv_lines(spark, sf_dir):
     """
     from .functions.parse import epoch_to_ts, parse_csv_lines
     from .schemas import USER_BEHAVIOR
-    e = _events(spark, sf_dir)
+    e = tb.spread_small_scan(_events(spark, sf_dir))
     line = F.concat_ws(",", *[F.concat(F.lit(" "), c.cast("string"), F.lit(" ")) for c in (
         F.col("user_id"), F.col("event_id"), tb.props_k(), F.col("event_type"),
         F.unix_seconds(F.col("ts").cast("timestamp")))])
@@ -143,7 +144,7 @@ def q_dc_running_total(spark, sf_dir):
 @query("fc_anti")
 def q_fc_anti(spark, sf_dir):
     fc = tb.events_as_fc(_events(spark, sf_dir))
-    excl = tb.exclusion_list(tb.load_table(spark, sf_dir, "customer"))
+    excl = tb.exclusion_list(tb.read_only_table(spark, sf_dir, "customer"))
     return lookup.anti_filter(fc, excl)
 
 
@@ -304,7 +305,7 @@ ACT_COLS = ("l_orderkey", "l_linenumber", "typ", "act_nbr", "ccy_nbr", "reg_tim"
 
 
 def _act(spark, sf_dir):
-    return tb.lineitem_as_act(tb.load_table(spark, sf_dir, "lineitem"))
+    return tb.lineitem_as_act(tb.read_only_table(spark, sf_dir, "lineitem"))
 
 
 def _act_branches():
