@@ -324,3 +324,45 @@ def window_aggregate_stream(df: DataFrame, key: str, ts: str, size: str, value:
         F.max(value).alias("cum_max"))
     return g.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "cum_count", "cum_sum", "cum_max")
+
+
+def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
+                    out_root: str, checkpoint: str | None = None,
+                    trigger: str | None = "availableNow") -> StreamingQuery:
+    """Running totals per key over a stream of results, one output row per result (A6).
+
+    Each micro-batch: cumulative sums inside the batch per key (ordered by ``order``; a batch
+    holds few results per key) plus the key's totals after the previous batch, written to
+    ``out_root/emitted/batch_id=N``; the new totals go to ``out_root/_totals/batch_id=N``. The
+    previous totals are read from batch N-1's folder, so a replayed batch emits the same rows.
+    """
+    keys, sums = list(keys), list(sums)
+    totals_root = os.path.join(out_root, "_totals")
+
+    def per_batch(bdf: DataFrame, batch_id: int):
+        from pyspark.sql import Window
+        spark = bdf.sparkSession
+        bdf = bdf.persist()
+        prev = _previous_output(spark, totals_root, batch_id)
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        run = bdf.select("*", *[F.sum(c).over(w).alias(f"_r_{c}") for c in sums])
+        if prev is not None:
+            p = prev.select(*keys, *[F.col(f"cum_{c}").alias(f"_p_{c}") for c in sums])
+            run = run.join(p, keys, "left")
+        else:
+            run = run.select("*", *[F.lit(None).alias(f"_p_{c}") for c in sums])
+        emitted = run.select(*bdf.columns, *[
+            (F.coalesce(F.col(f"_p_{c}"), F.lit(0)) + F.col(f"_r_{c}")).alias(f"cum_{c}")
+            for c in sums])
+        emitted.write.mode("overwrite").parquet(os.path.join(out_root, "emitted", f"batch_id={batch_id}"))
+        batch_tot = bdf.groupBy(*keys).agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
+        if prev is not None:
+            t = prev.join(batch_tot, keys, "full_outer").select(*keys, *[
+                (F.coalesce(F.col(f"cum_{c}"), F.lit(0)) + F.coalesce(F.col(f"_b_{c}"), F.lit(0)))
+                .alias(f"cum_{c}") for c in sums])
+        else:
+            t = batch_tot.select(*keys, *[F.col(f"_b_{c}").alias(f"cum_{c}") for c in sums])
+        t.write.mode("overwrite").parquet(_batch_dir(totals_root, batch_id))
+        bdf.unpersist()
+
+    return _foreach(results, per_batch, "cumulative", checkpoint, trigger)

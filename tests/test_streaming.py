@@ -368,3 +368,49 @@ def test_window_aggregate_stream_update_and_append(spark, scratch):
                 last[k] = (r.cum_count, r.cum_sum, r.cum_max)
         got = sorted((k[0], k[1], *v) for k, v in last.items())
         assert got == want, mode
+
+
+def test_windowed_running_totals_as_one_streaming_job(spark, scratch):
+    """Windowed in/out on the stream, then per-key running totals per window result."""
+    tx = classify_dc(tb.events_as_dc(tb.load_table(spark, SF_SMALL, "events")))
+    keys = ["act_nbr", "ccy_cod", "brn"]
+    cols = ["seq", "ts", "act_nbr", "ccy_cod", "brn", "direction", "signed_amt"]
+    src = os.path.join(scratch, "tx")
+    _write_files([c.select(*cols) for c in _chunks(tx, "seq", 3)], src)
+    sentinel = tx.limit(1).select(F.lit(10 ** 9).cast("long").alias("seq"),
+                                  F.lit("2030-01-01").cast("timestamp_ntz").alias("ts"),
+                                  F.lit("x").alias("act_nbr"), "ccy_cod", "brn", "direction",
+                                  "signed_amt")
+    _write_files([sentinel], src)
+    stream = spark.readStream.schema(tx.select(*cols).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    win = S.window_inout_stream(stream, "1 hour", keys=keys)
+    out = os.path.join(scratch, "rt")
+    S.cumulative_sink(win, keys, "window_end", ["in_amt", "out_amt"], out,
+                      checkpoint=os.path.join(scratch, "ck")).awaitTermination()
+    got = sorted((r.act_nbr, r.ccy_cod, r.brn, r.window_end, r.cum_in_amt, r.cum_out_amt)
+                 for r in spark.read.parquet(os.path.join(out, "emitted")).collect()
+                 if r.act_nbr != "x")
+    bw = flows.dc_window_inout(S.event_time(tx), "1 hour", time_col="ts", keys=keys)
+    want = sorted((r.act_nbr, r.ccy_cod, r.brn, r.window_end, r.cum_in, r.cum_out)
+                  for r in flows.dc_running_total(bw, keys=keys).collect())
+    assert got == want and len(want) > 0
+
+
+def test_act_rules_on_a_stream(spark, scratch):
+    """Split by type, per-branch rules, merge of the rejected rows: stateless, runs as is."""
+    from ledgerflow.operators import routing
+    act = tb.lineitem_as_act(tb.load_table(spark, SF_SMALL, "lineitem"))
+    src = os.path.join(scratch, "act")
+    _write_files(_chunks(act, "l_orderkey", 2), src)
+    stream = spark.readStream.schema(act.schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+    def rejected(df):
+        routed = routing.route(df, {"kpp": F.col("typ") == "kpp", "kqp": F.col("typ") == "kqp"})
+        return routing.rule_decision(routed.where("branch <> 'other'")).where("out_typ = 'del'")
+
+    q = S.start(rejected(stream).select("l_orderkey", "l_linenumber"), "act_stream",
+                checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM act_stream").collect())
+    want = sorted(tuple(r) for r in rejected(act).select("l_orderkey", "l_linenumber").collect())
+    assert got == want and len(want) > 0
