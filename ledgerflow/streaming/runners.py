@@ -310,20 +310,25 @@ def running_average_stream(marks: DataFrame, name: str = "name", mark: str = "ma
 
 
 def window_aggregate_stream(df: DataFrame, key: str, ts: str, size: str, value: str = "value",
-                            delay: str = "0 seconds") -> DataFrame:
+                            delay: str = "0 seconds", seq: str | None = None) -> DataFrame:
     """Count, sum, max and max-by-value element per (key, tumbling window) on a stream.
 
+    With ``seq`` (arrival), ``max_seq`` is the arrival of the element with the largest value, the
+    earliest arrival winning a tie (A11).
+
     Early firing (T10) is this query started with ``mode="update"`` and
     ``trigger="<interval>"``: each trigger re-emits the windows that changed, accumulated so far.
     The final firing at window end (T9) is the same query with ``mode="append"``: a window is
     emitted once the watermark passes its end.
     """
     d = event_time(df, ts).withWatermark(ts, delay)
+    extra = [F.max_by(F.col(seq), F.struct(F.col(value), -F.col(seq))).alias("max_seq")] \
+        if seq else []
     g = d.groupBy(F.window(ts, size).alias("w"), key).agg(
         F.count(F.lit(1)).alias("cum_count"), F.sum(value).alias("cum_sum"),
-        F.max(value).alias("cum_max"))
+        F.max(value).alias("cum_max"), *extra)
     return g.select(key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "cum_count", "cum_sum", "cum_max")
+                    "cum_count", "cum_sum", "cum_max", *(["max_seq"] if seq else []))
 
 
 def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
