@@ -121,7 +121,8 @@ def exclusion_list(customer: DataFrame) -> DataFrame:
 
 
 def lineitem_as_act(lineitem: DataFrame) -> DataFrame:
-    """``lineitem`` -> ACT records (``WBActSumBalJson`` fields)."""
+    """``lineitem`` -> ACT records (type, account, currency, time, amount, direction, product,
+    status, receiver)."""
     return lineitem.select(
         F.col("l_orderkey"), F.col("l_linenumber"),
         _map(F.col("l_returnflag"), ACT_TYPE).alias("typ"),
