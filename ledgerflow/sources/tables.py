@@ -35,14 +35,16 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None
     return spread_small_scan(df) if spread else df
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, int, str, str], DataFrame] = {}
 
 
 def read_only_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``load_table`` for tables that never change while the session lives (the driver tables):
     the DataFrame, with its file listing and footer schema, is built once per session and reused.
     Its data is still scanned on every execution; nothing is cached in memory."""
-    key = (id(spark), os.path.abspath(sf_dir), name)
+    # the cached DataFrame holds its session, so id(spark) cannot be reused while cached; the
+    # application id separates sessions of a restarted context
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), name)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = load_table(spark, sf_dir, name)
