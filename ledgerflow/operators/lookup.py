@@ -20,8 +20,9 @@ def anti_filter(df: DataFrame, exclusion: DataFrame, keys: Sequence[str] = ("act
     """
     lk = [F.coalesce(F.col(k).cast("string"), F.lit("null")).alias(f"_x_{k}") for k in keys]
     left = df.select("*", *lk)
+    # no distinct(): an anti join only tests existence, duplicates on the right change nothing
     right = exclusion.select(*[F.coalesce(F.col(k).cast("string"), F.lit("null")).alias(f"_x_{k}")
-                               for k in keys]).distinct()
+                               for k in keys])
     right = broadcast_if_bounded(right, max_broadcast_rows)
     out = left.join(right, [f"_x_{k}" for k in keys], "left_anti")
     return out.select(*df.columns)

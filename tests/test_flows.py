@@ -36,3 +36,15 @@ def test_net_flow_equals_direction_sums(spark):
         o, i = d.get(tuple(r[:4]), (0, 0))
         d[tuple(r[:4])] = (o + r.amt, i) if r.direction == "OUT" else (o, i + r.amt)
     assert net == {k: (o, i, o + i) for k, (o, i) in d.items()}
+
+
+def test_anti_filter_null_parts_and_duplicates(spark):
+    from ledgerflow.operators.lookup import anti_filter
+    rows = spark.createDataFrame([("a", "10", 1), ("a", None, 2), ("b", "10", 3), (None, "20", 4)],
+                                 "act_nbr string, ccy_cod string, v int")
+    # a null part matches the text 'null' (keys were built by string concatenation)
+    excl = spark.createDataFrame([("a", "null"), ("b", "10"), ("b", "10")],
+                                 "act_nbr string, ccy_cod string")
+    for bound in (100, 1):  # broadcast and shuffle paths
+        kept = sorted(r.v for r in anti_filter(rows, excl, max_broadcast_rows=bound).collect())
+        assert kept == [1, 4], bound
