@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import BITMAP_BITS, HASH_SEED, poly_hash
@@ -108,9 +108,12 @@ def uv_running(views: DataFrame, ts: str, user: str, size: str, seq: str = "seq"
     d = views.select(F.window(ts, size).start.alias("window_start"),
                      F.window(ts, size).end.alias("window_end"), F.col(user).alias("user_id"),
                      ident.alias("_id"), seq)
-    # first sight of a user in a window: one row per (window, user) group, no join back
-    first = F.min(seq).over(Window.partitionBy("window_start", "_id"))
-    d = d.withColumn("_new", (F.col(seq) == first).cast("int"))
+    # first sight of a user in a window: a partially aggregated min per (window, user) joined
+    # back -- not a window over (window, user), which would put a hot user's hour in one task;
+    # a skewed join partition is split by AQE
+    firsts = d.groupBy("window_start", "_id").agg(F.min(seq).alias("_first"))
+    d = d.join(firsts, ["window_start", "_id"]).withColumn(
+        "_new", (F.col(seq) == F.col("_first")).cast("int"))
     r = running(d, ["window_start"], [F.col(seq)], seq_block(seq, block_rows),
                 {"uv": ("sum", F.col("_new"))})
     return r.select("window_start", "window_end", seq, "user_id", F.col("uv").cast("bigint"))
