@@ -140,7 +140,7 @@ def window_max_by(df: DataFrame, key: str, ts: str, size: str, value: str = "val
 
 
 def window_contents(df: DataFrame, key: str, ts: str, size: str, seq: str = "seq",
-                    block: str = "1 hour", cols: Sequence[str] = ("value",)) -> DataFrame:
+                    block: str = "1 minute", cols: Sequence[str] = ("value",)) -> DataFrame:
     """All elements of each (key, tumbling window), in (time, arrival) order, as positioned rows.
 
     The list is kept in long form (one row per element with its 1-based ``pos``) rather than

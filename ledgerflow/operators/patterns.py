@@ -22,7 +22,7 @@ TIMEOUT = "timeout"
 
 
 def next_follow(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", block: str = "1 hour") -> DataFrame:
+                ts: str = "ts", seq: str = "seq", block: str = "1 minute") -> DataFrame:
     """One row per ``first`` event with the time and arrival of the next ``then`` event
     (``next_ts``/``next_seq``, null when there is none) and ``matched`` (next within the limit).
 
@@ -55,7 +55,7 @@ def drop_late_rows(df: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame
 
 
 def followed_by(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", block: str = "1 hour",
+                ts: str = "ts", seq: str = "seq", block: str = "1 minute",
                 strict_late: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(matches, timeouts)``.
 

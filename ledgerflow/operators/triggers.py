@@ -52,7 +52,7 @@ def early_firing(df: DataFrame, key: str, ts: str, size: str, interval: str,
 
 
 def count_firing(df: DataFrame, key: str, ts: str, size: str, n: int, value: str = "value",
-                 seq: str = "seq", block: str = "1 hour") -> DataFrame:
+                 seq: str = "seq", block: str = "1 minute") -> DataFrame:
     """Fire every ``n`` elements of a (key, tumbling window), accumulating (fire, no purge).
 
     The k-th firing happens at the element in position k*n (time, then arrival order) and covers
