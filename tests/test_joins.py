@@ -47,3 +47,14 @@ def test_interval_join_against_brute_force(spark):
         g = sorted((r.l_event_id, r.r_event_id) for r in got.collect())
         w = sorted(tuple(r) for r in want.collect())
         assert g == w, (lo, hi, bucket)
+
+
+def test_interval_join_zero_width_range(spark):
+    rows = [("k", 1000), ("k", 2000), ("k", 2000), ("j", 2000)]
+    s = spark.createDataFrame(rows, "key string, ts_ms long").withColumn(
+        "ts", F.timestamp_millis("ts_ms"))
+    out = joins.interval_join(s, s, "key", "0 seconds", "0 seconds", lcols=["ts_ms"],
+                              rcols=["ts_ms"]).collect()
+    # equal key and equal time only: 1 pair at 1 s, 2 x 2 pairs at 2 s for k, 1 for j
+    assert len(out) == 1 + 4 + 1
+    assert all(r.l_ts_ms == r.r_ts_ms for r in out)
