@@ -115,9 +115,10 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
     def per_batch(bdf: DataFrame, batch_id: int):
         spark = bdf.sparkSession
         prev = _previous_hwm(spark, hwm_root, batch_id)
+        prev = None if prev is None else _ts_literal(prev, bdf.schema[ts].dataType)
         flagged = lateness.late_flag(bdf, ts, arrival, size, delay=delay)
         if prev is not None:
-            before = F.greatest(F.col("max_ts_before"), F.lit(prev).cast("timestamp"))
+            before = F.greatest(F.col("max_ts_before"), prev)
             wm = before if delay_us == 0 else \
                 before - F.expr(f"INTERVAL {delay_us - 1000} MICROSECONDS")
             flagged = flagged.withColumn("is_late", F.col("window_end") <= wm)
@@ -129,7 +130,7 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
             os.path.join(out_root, "late", f"batch_id={batch_id}"))
         top = bdf.agg(F.max(ts).alias("m"))
         if prev is not None:
-            top = top.select(F.greatest(F.col("m"), F.lit(prev).cast("timestamp")).alias("m"))
+            top = top.select(F.greatest(F.col("m"), prev).alias("m"))
         top.write.mode("overwrite").parquet(_batch_dir(hwm_root, batch_id))
         flagged.unpersist()
 
@@ -157,6 +158,19 @@ def _previous_output(spark: SparkSession, root: str, batch_id: int):
     return None if last is None else marks.where(F.col("batch_id") == last).drop("batch_id")
 
 
+def _ts_literal(value, dtype):
+    """A literal of the column's own timestamp type, independent of the session's and the Python
+    process's time zones (a naive ``datetime`` from ``collect`` is local time for TIMESTAMP and
+    wall-clock time for TIMESTAMP_NTZ)."""
+    from datetime import timezone
+
+    from pyspark.sql import types as T
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    aware = value.astimezone(timezone.utc) if value.tzinfo is None else value
+    return F.lit(aware.isoformat(sep=" ")).cast("timestamp")
+
+
 def _previous_hwm(spark: SparkSession, hwm_root: str, batch_id: int):
     prev = _previous_output(spark, hwm_root, batch_id)
     row = prev.select("m").first() if prev is not None else None

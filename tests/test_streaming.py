@@ -131,10 +131,15 @@ def test_interval_join_stream_matches_batch(spark, scratch):
     assert got == want and len(want) > 0
 
 
-def test_late_split_batches_replay_safe(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("ts_type", ["timestamp_ntz", "timestamp"])
+def test_late_split_batches_replay_safe(spark, scratch, ts_type):
     e = tb.load_table(spark, SF_SMALL, "events")
     d = e.select("event_id", "event_type", F.when(F.col("event_id") % 4 == 0,
-                 F.col("ts") - F.expr("INTERVAL 2 HOURS")).otherwise(F.col("ts")).alias("ets"))
+                 F.col("ts") - F.expr("INTERVAL 2 HOURS")).otherwise(F.col("ts"))
+                 .cast(ts_type).alias("ets"))
     src = os.path.join(scratch, "late_in")
     _write_files(_chunks(d, "event_id", 4), src)
     stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(src)
