@@ -4,6 +4,7 @@ event-time windows where needed (a finished ``availableNow`` run does not flush
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import FIXTURES, SF_SMALL
@@ -131,9 +132,6 @@ def test_interval_join_stream_matches_batch(spark, scratch):
     assert got == want and len(want) > 0
 
 
-import pytest  # noqa: E402
-
-
 @pytest.mark.parametrize("ts_type", ["timestamp_ntz", "timestamp"])
 def test_late_split_batches_replay_safe(spark, scratch, ts_type):
     e = tb.load_table(spark, SF_SMALL, "events")
