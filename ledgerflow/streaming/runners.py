@@ -241,6 +241,21 @@ def sliding_count_stream(df: DataFrame, ts: str, size: str, slide: str, keys: Se
                     *keys, "count")
 
 
+def uv_bitmap_stream(views: DataFrame, ts: str, user: str, size: str,
+                     delay: str = "0 seconds") -> DataFrame:
+    """Bitmap distinct users per tumbling window on a stream (append mode): a bitmap per
+    (window, bitmap bucket) of the users' ``poly_hash`` positions, then the set bits summed per
+    window -- two chained stateful aggregations, each group's state a fixed-size bitmap."""
+    from ..functions.hashing import poly_hash
+    v = event_time(views, ts).withWatermark(ts, delay)
+    h = poly_hash(F.col(user).cast("string"))
+    per_bucket = v.groupBy(F.window(ts, size).alias("w"),
+                           F.bitmap_bucket_number(h).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bm"))
+    g = per_bucket.groupBy("w").agg(F.sum(F.bitmap_count("bm")).alias("uv"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, key: str, lo: str, hi: str,
                          lts: str = "ts", rts: str = "ts", delay: str = "0 seconds",
                          lcols: Sequence[str] = (), rcols: Sequence[str] = ()) -> DataFrame:

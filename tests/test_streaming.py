@@ -111,6 +111,14 @@ def test_uv_stream_matches_batch_on_closed_windows(spark, scratch):
     want = {r.window_start: r.uv for r in behavior.uv_exact(S.event_time(v), "ts", "user_id",
                                                             "1 hour").collect()}
     assert got == want
+    stream = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.uv_bitmap_stream(stream, "ts", "user_id", "1 hour"), "uvb_stream",
+                checkpoint=os.path.join(scratch, "ck_bitmap"))
+    q.awaitTermination()
+    got = {r.window_start: r.uv for r in spark.sql("SELECT * FROM uvb_stream").collect()}
+    want = {r.window_start: r.uv for r in behavior.uv_bitmap(S.event_time(v), "ts", "user_id",
+                                                             "1 hour").collect()}
+    assert got == want
 
 
 def test_interval_join_stream_matches_batch(spark, scratch):
