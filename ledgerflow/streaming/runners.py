@@ -16,8 +16,8 @@ from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_seconds
 from ..session import scratch_path
-from .state import (MARKS_OUTPUT, MARKS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, marks_state_fn,
-                    pattern_state_fn)
+from .state import (COUNT_OUTPUT, COUNT_STATE, MARKS_OUTPUT, MARKS_STATE, OUTPUT_SCHEMA,
+                    STATE_SCHEMA, count_state_fn, marks_state_fn, pattern_state_fn)
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -400,3 +400,25 @@ def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: S
         bdf.unpersist()
 
     return _foreach(results, per_batch, "cumulative", checkpoint, trigger)
+
+
+def count_trigger_stream(df: DataFrame, key: str, ts: str, size: str, n: int,
+                         value: str = "value", seq: str = "seq",
+                         delay: str = "0 seconds") -> DataFrame:
+    """Count trigger (T13) on a stream: per (key, tumbling window), a row at every ``n``-th
+    element (in arrival order) with ``fire_no``, ``cum_count``, ``cum_sum`` and ``cum_max`` of
+    ``value`` (exact, as DECIMAL(38,2)). Append mode; window state is dropped after its end."""
+    size_us = int(interval_seconds(size) * 1_000_000)
+    d = event_time(df, ts).withWatermark(ts, delay)
+    d = d.select(F.col(key).cast("string").alias("key"),
+                 F.unix_micros(F.window(ts, size).start).alias("window_start_us"),
+                 F.col(seq).cast("long").alias("seq"), F.col(ts),
+                 (F.col(value).cast("decimal(38,2)") * 100).cast("long").alias("cents"))
+    out = d.groupBy("key", "window_start_us").applyInPandasWithState(
+        count_state_fn(n, size_us), COUNT_OUTPUT, COUNT_STATE, "append", "EventTimeTimeout")
+    money = lambda c: (F.col(c).cast("decimal(38,0)") / 100).cast("decimal(38,2)")
+    start = F.timestamp_micros("window_start_us")
+    return out.select(F.col("key").alias(key), start.alias("window_start"),
+                      (start + F.expr(f"INTERVAL {size_us} MICROSECONDS")).alias("window_end"),
+                      "fire_no", "cum_count", money("cum_cents").alias("cum_sum"),
+                      money("max_cents").alias("cum_max"))

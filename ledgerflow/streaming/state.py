@@ -120,3 +120,45 @@ def marks_state_fn(threshold_cents: int | None):
         state.update((total, count, seg))
         yield pd.DataFrame(out, columns=[f.name for f in MARKS_OUTPUT.fields])
     return fn
+
+
+COUNT_OUTPUT = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("window_start_us", T.LongType()),
+    T.StructField("fire_no", T.LongType()),
+    T.StructField("cum_count", T.LongType()),
+    T.StructField("cum_cents", T.LongType()),
+    T.StructField("max_cents", T.LongType()),
+])
+
+COUNT_STATE = T.StructType([
+    T.StructField("count", T.LongType()),
+    T.StructField("cents", T.LongType()),
+    T.StructField("max_cents", T.LongType()),
+])
+
+
+def count_state_fn(n: int, size_us: int):
+    """Count trigger per (key, window): fire (without purging) at every n-th element in arrival
+    order, with the running count, sum and max; the state is dropped once the watermark passes
+    the window's end (a partial last group does not fire)."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        k, start_us = key[0], int(key[1])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        count, cents, mx = state.get if state.exists else (0, 0, None)
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+        out = []
+        for c in rows["cents"].tolist():
+            count += 1
+            cents += int(c)
+            mx = int(c) if mx is None else max(mx, int(c))
+            if count % n == 0:
+                out.append((k, start_us, count // n, count, cents, mx))
+        state.update((count, cents, mx))
+        state.setTimeoutTimestamp(max((start_us + size_us) // 1000,
+                                      state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in COUNT_OUTPUT.fields])
+    return fn

@@ -450,3 +450,19 @@ def test_processing_time_tumbling_sum_stream(spark, scratch):
     want = tx.groupBy("date", "time", "ccy_cod", "brn", "direction").agg(
         F.sum("signed_amt").alias("s"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_count_trigger_stream_matches_batch(spark, scratch):
+    from ledgerflow.operators import triggers
+    dev = tb.events_as_devices(tb.load_table(spark, SF_SMALL, "events"))
+    src = os.path.join(scratch, "dev")
+    _write_files(_chunks(dev, "seq", 3), src)
+    stream = spark.readStream.schema(dev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.count_trigger_stream(stream, "id", "ts", "1 day", n=2), "ct_stream",
+                checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    cols = ["id", "fire_no", "cum_count", "cum_sum", "cum_max"]
+    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM ct_stream").select(*cols).collect())
+    want = sorted(tuple(r) for r in triggers.count_firing(dev, "id", "ts", "1 day", n=2)
+                  .select(*cols).collect())
+    assert got == want and len(want) > 0
