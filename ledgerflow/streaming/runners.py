@@ -16,8 +16,9 @@ from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_seconds
 from ..session import scratch_path
-from .state import (COUNT_OUTPUT, COUNT_STATE, MARKS_OUTPUT, MARKS_STATE, OUTPUT_SCHEMA,
-                    STATE_SCHEMA, count_state_fn, marks_state_fn, pattern_state_fn)
+from .state import (CONTENTS_OUTPUT, CONTENTS_STATE, COUNT_OUTPUT, COUNT_STATE, MARKS_OUTPUT,
+                    MARKS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, contents_state_fn, count_state_fn,
+                    marks_state_fn, pattern_state_fn)
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -422,3 +423,22 @@ def count_trigger_stream(df: DataFrame, key: str, ts: str, size: str, n: int,
                       (start + F.expr(f"INTERVAL {size_us} MICROSECONDS")).alias("window_end"),
                       "fire_no", "cum_count", money("cum_cents").alias("cum_sum"),
                       money("max_cents").alias("cum_max"))
+
+
+def window_contents_stream(df: DataFrame, key: str, ts: str, size: str, value: str = "value",
+                           seq: str = "seq", delay: str = "0 seconds") -> DataFrame:
+    """Window contents (A12) on a stream, long form: every element with its arrival position in
+    its (key, tumbling window), emitted as it arrives (append). ``value`` as DECIMAL(38,2)."""
+    size_us = int(interval_seconds(size) * 1_000_000)
+    d = event_time(df, ts).withWatermark(ts, delay)
+    d = d.select(F.col(key).cast("string").alias("key"),
+                 F.unix_micros(F.window(ts, size).start).alias("window_start_us"),
+                 F.col(seq).cast("long").alias("seq"), F.unix_micros(F.col(ts)).alias("us"), F.col(ts),
+                 (F.col(value).cast("decimal(38,2)") * 100).cast("long").alias("cents"))
+    out = d.groupBy("key", "window_start_us").applyInPandasWithState(
+        contents_state_fn(size_us), CONTENTS_OUTPUT, CONTENTS_STATE, "append", "EventTimeTimeout")
+    start = F.timestamp_micros("window_start_us")
+    return out.select(F.col("key").alias(key), start.alias("window_start"),
+                      (start + F.expr(f"INTERVAL {size_us} MICROSECONDS")).alias("window_end"),
+                      "pos", F.col("seq").alias(seq), F.timestamp_micros("us").alias(ts),
+                      (F.col("cents").cast("decimal(38,0)") / 100).cast("decimal(38,2)").alias(value))

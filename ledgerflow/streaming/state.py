@@ -162,3 +162,37 @@ def count_state_fn(n: int, size_us: int):
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in COUNT_OUTPUT.fields])
     return fn
+
+
+CONTENTS_OUTPUT = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("window_start_us", T.LongType()),
+    T.StructField("pos", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("us", T.LongType()),
+    T.StructField("cents", T.LongType()),
+])
+
+CONTENTS_STATE = T.StructType([T.StructField("count", T.LongType())])
+
+
+def contents_state_fn(size_us: int):
+    """Window contents in long form: each element with its 1-based arrival position in its
+    (key, window); the state is one counter, dropped after the window ends."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        k, start_us = key[0], int(key[1])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        (count,) = state.get if state.exists else (0,)
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+        out = []
+        for seq, us, c in zip(rows["seq"].tolist(), rows["us"].tolist(), rows["cents"].tolist()):
+            count += 1
+            out.append((k, start_us, count, int(seq), int(us), int(c)))
+        state.update((count,))
+        state.setTimeoutTimestamp(max((start_us + size_us) // 1000,
+                                      state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in CONTENTS_OUTPUT.fields])
+    return fn

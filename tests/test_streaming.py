@@ -466,3 +466,17 @@ def test_count_trigger_stream_matches_batch(spark, scratch):
     want = sorted(tuple(r) for r in triggers.count_firing(dev, "id", "ts", "1 day", n=2)
                   .select(*cols).collect())
     assert got == want and len(want) > 0
+
+
+def test_window_contents_stream_matches_batch(spark, scratch):
+    dev = tb.events_as_devices(tb.load_table(spark, SF_SMALL, "events"))
+    src = os.path.join(scratch, "dev")
+    _write_files(_chunks(dev, "seq", 3), src)
+    stream = spark.readStream.schema(dev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.window_contents_stream(stream, "id", "ts", "1 day"), "wc_stream",
+                checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in spark.sql("SELECT id, pos, seq, value FROM wc_stream").collect())
+    want = sorted(tuple(r) for r in behavior.window_contents(dev, "id", "ts", "1 day").select(
+        "id", "pos", "seq", "value").collect())
+    assert got == want and len(want) == dev.count()
