@@ -13,8 +13,9 @@ aggregation) and only pane rows are taken further:
   no per-window re-aggregation.
 * ``ranges`` (default): the same change points, but the value of a window is *local* -- the sum
   of the panes in ``[start, start + size)`` -- so no global prefix is needed. Per key, time is cut
-  into blocks of at least ``size``; every pane and change point is copied into the (at most two)
-  blocks whose change points can reach it, and two bounded ``RANGE`` frames over
+  into blocks (by default at least ``size`` long); every pane and change point is copied into the
+  blocks whose change points can reach it (at most two with the default), and two bounded
+  ``RANGE`` frames over
   ``(key, block)`` give each change point its window value and the next change point. One
   shuffle after the pane aggregate, no joins, nothing re-read.
 * ``explode``: each pane row is copied into its ``size/slide`` windows and re-aggregated.
