@@ -62,3 +62,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Settings sized from the input volume and the cluster's cores.
+
+    * scan splits of ``target_partition_mb`` (parquet row groups permitting);
+    * an initial shuffle partition count that gives each shuffle partition about the same size
+      when a shuffle carries the whole input (at least 2 per core, at most 200 000); AQE then
+      coalesces small ones to the same advisory size;
+    * skew: a partition five times the median and above twice the target is split (AQE skew join).
+
+    For 100 TB on 8 000 cores at 256 MB: about 200 000 initial partitions of about 512 MB before
+    coalescing, scan tasks of 256 MB.
+    """
+    target = target_partition_mb * 1024 * 1024
+    initial = max(2 * total_cores, min(200_000, -(-input_bytes // target)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * target_partition_mb}m",
+    }

@@ -12,3 +12,12 @@ def test_every_query_has_an_oracle_except_approximate():
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"uv_approx"}
     assert len(q) >= 36
+
+
+def test_scale_conf():
+    from ledgerflow.session import scale_conf
+    small = scale_conf(10 * 1024 ** 2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = scale_conf(100 * 1024 ** 4, total_cores=8000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
