@@ -109,7 +109,7 @@ def marks_state_fn(threshold_cents: int | None):
     def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         name = key[0]
         total, count, seg = state.get if state.exists else (0, 0, 0)
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
         out = []
         for seq, cents in zip(rows["seq"].tolist(), rows["cents"].tolist()):
             total += int(cents)
@@ -148,7 +148,7 @@ def count_state_fn(n: int, size_us: int):
             state.remove()
             return
         count, cents, mx = state.get if state.exists else (0, 0, None)
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
         out = []
         for c in rows["cents"].tolist():
             count += 1
@@ -185,7 +185,7 @@ def contents_state_fn(size_us: int):
             state.remove()
             return
         (count,) = state.get if state.exists else (0,)
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq")
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
         out = []
         for seq, us, c in zip(rows["seq"].tolist(), rows["us"].tolist(), rows["cents"].tolist()):
             count += 1

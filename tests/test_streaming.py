@@ -480,3 +480,16 @@ def test_window_contents_stream_matches_batch(spark, scratch):
     want = sorted(tuple(r) for r in behavior.window_contents(dev, "id", "ts", "1 day").select(
         "id", "pos", "seq", "value").collect())
     assert got == want and len(want) == dev.count()
+
+
+def test_command_line_dc_statistics(spark, scratch):
+    from ledgerflow.__main__ import main
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(src)
+    from test_parse import DC_IN, DC_OUT
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(DC_OUT + "\n" + DC_IN + "\n")
+    assert main(["dc-statistics", "--path", src, "--out", out, "--trigger", "availableNow",
+                 "--checkpoint", os.path.join(scratch, "ck")]) == 0
+    cells = {r.qualifier: r.value for r in spark.read.parquet(out).collect()}
+    assert cells["sumAmt"] == "20000.00" and cells["outAmt"] == "-20000.00"
