@@ -46,16 +46,18 @@ def get_session(master: str | None = None, app: str = "ledgerflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is unset, as in local
-    tests, a fresh temporary folder is made and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster names it) or the context's checkpoint folder.
+    Only when neither is set, as in local tests, a fresh temporary folder is made and registered.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not root and sc.getCheckpointDir():
+        root = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
