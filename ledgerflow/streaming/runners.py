@@ -17,8 +17,9 @@ from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_seconds
 from ..session import scratch_path
 from .state import (CONTENTS_OUTPUT, CONTENTS_STATE, COUNT_OUTPUT, COUNT_STATE, MARKS_OUTPUT,
-                    MARKS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, contents_state_fn, count_state_fn,
-                    marks_state_fn, pattern_state_fn)
+                    MARKS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, UV_OUTPUT, UV_STATE,
+                    contents_state_fn, count_state_fn, marks_state_fn, pattern_state_fn,
+                    uv_counter_fn)
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -442,3 +443,21 @@ def window_contents_stream(df: DataFrame, key: str, ts: str, size: str, value: s
                       (start + F.expr(f"INTERVAL {size_us} MICROSECONDS")).alias("window_end"),
                       "pos", F.col("seq").alias(seq), F.timestamp_micros("us").alias(ts),
                       (F.col("cents").cast("decimal(38,0)") / 100).cast("decimal(38,2)").alias(value))
+
+
+def uv_first_sight_stream(views: DataFrame, ts: str, user: str, size: str, seq: str = "seq",
+                          delay: str = "0 seconds") -> DataFrame:
+    """Distinct users so far per tumbling window, emitted at each user's first view of the window
+    (a repeat view would emit the unchanged count). Watermarked de-duplication of (window, user),
+    then a per-window counter: all state is bounded by the watermark, none holds a user set."""
+    size_us = int(interval_seconds(size) * 1_000_000)
+    v = event_time(views, ts).withWatermark(ts, delay)
+    # the window is the one event-time column carried on
+    firsts = v.select(F.window(ts, size).alias("w"), F.col(user).cast("string").alias("user_id"),
+                      F.col(seq).cast("long").alias("seq")).dropDuplicates(["w", "user_id"])
+    keyed = firsts.select("w", F.unix_micros(F.col("w.start")).alias("window_start_us"), "seq",
+                          "user_id")
+    out = keyed.groupBy("window_start_us").applyInPandasWithState(
+        uv_counter_fn(size_us), UV_OUTPUT, UV_STATE, "append", "EventTimeTimeout")
+    return out.select(F.timestamp_micros("window_start_us").alias("window_start"),
+                      F.col("seq").alias(seq), "user_id", "uv")

@@ -196,3 +196,35 @@ def contents_state_fn(size_us: int):
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in CONTENTS_OUTPUT.fields])
     return fn
+
+
+UV_OUTPUT = T.StructType([
+    T.StructField("window_start_us", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("uv", T.LongType()),
+])
+
+UV_STATE = T.StructType([T.StructField("uv", T.LongType())])
+
+
+def uv_counter_fn(size_us: int):
+    """Per window, count first sights in arrival order (the input holds only first sights);
+    the counter is the whole state and is dropped after the window ends."""
+    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        start_us = int(key[0])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        (uv,) = state.get if state.exists else (0,)
+        rows = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+        out = []
+        for seq, user in zip(rows["seq"].tolist(), rows["user_id"].tolist()):
+            uv += 1
+            out.append((start_us, int(seq), user, uv))
+        state.update((uv,))
+        state.setTimeoutTimestamp(max((start_us + size_us) // 1000,
+                                      state.getCurrentWatermarkMs() + 1))
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in UV_OUTPUT.fields])
+    return fn

@@ -493,3 +493,20 @@ def test_command_line_dc_statistics(spark, scratch):
                  "--checkpoint", os.path.join(scratch, "ck")]) == 0
     cells = {r.qualifier: r.value for r in spark.read.parquet(out).collect()}
     assert cells["sumAmt"] == "20000.00" and cells["outAmt"] == "-20000.00"
+
+
+def test_uv_first_sight_stream_matches_batch(spark, scratch):
+    v = tb.load_table(spark, SF_SMALL, "events").where("event_type = 'view'").select(
+        "ts", "user_id", F.col("event_id").alias("seq"))
+    src = os.path.join(scratch, "views")
+    _write_files(_chunks(v, "seq", 3), src)
+    stream = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = S.start(S.uv_first_sight_stream(stream, "ts", "user_id", "1 hour"), "ufs_stream",
+                checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination()
+    got = sorted((r.seq, r.uv) for r in spark.sql("SELECT * FROM ufs_stream").collect())
+    run = behavior.uv_running(v, "ts", "user_id", "1 hour")
+    firsts = run.groupBy("window_start", "user_id").agg(F.min("seq").alias("seq"))
+    want = sorted((r.seq, r.uv) for r in run.join(firsts, ["window_start", "user_id", "seq"])
+                  .collect())
+    assert got == want and len(want) > 0
