@@ -510,3 +510,17 @@ def test_uv_first_sight_stream_matches_batch(spark, scratch):
     want = sorted((r.seq, r.uv) for r in run.join(firsts, ["window_start", "user_id", "seq"])
                   .collect())
     assert got == want and len(want) > 0
+
+
+def test_command_line_orders_on_order_log(spark, scratch):
+    import shutil
+
+    from ledgerflow.__main__ import main
+    src, out = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(src)
+    shutil.copy(os.path.join(FIXTURES, "order_log.csv"), src)
+    assert main(["orders", "--path", src, "--out", out, "--trigger", "availableNow",
+                 "--checkpoint", os.path.join(scratch, "ck")]) == 0
+    res = spark.read.parquet(out)
+    assert res.where("result = 'payed successfully'").count() == 37
+    assert sorted(r.order_id for r in res.where("result = 'timeout'").collect()) == [34756, 34767]
