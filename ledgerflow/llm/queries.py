@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, mixing, token_counts
+from . import byte_bpe, line_dedup, minhash_forest, mixing, pii, quality, token_counts
 from .common import table
 
 REGISTRY = {}
@@ -21,6 +21,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", quality.is_held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
@@ -82,6 +91,38 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.col("n_copies")).alias("taken"))
 
 
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+                               ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words
+        WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+groups AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, g.component_id,
+       d.doc_id = g.component_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN groups g ON g.a = d.doc_id
+"""
+
+
+@query("op6_minhash_forest", OP6_SQL)
+def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -101,3 +142,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str,
     import public_tokenizers
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, tokenizer_file(ranks), public_tokenizers.PATTERN)
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans_per_document(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
