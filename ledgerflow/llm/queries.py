@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, minhash_forest, mixing, pii, quality, token_counts
+from . import (byte_bpe, lattice_dedup, line_dedup, minhash_forest, mixing, pii, quality, rp_forest,
+               token_counts)
 from .common import table
 
 REGISTRY = {}
@@ -21,6 +22,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_rp_forest")
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return rp_forest.search(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 @query("op2_quality")
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +37,32 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+OP3_SQL = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+groups AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, g.component_id,
+       e.vec_id = g.component_id AS kept
+FROM embeddings e JOIN groups g ON g.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id
+"""
+
+
+@query("op3_lattice_dedup", OP3_SQL)
+def op3_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 OP4_SQL = r"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
