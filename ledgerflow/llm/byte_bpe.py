@@ -98,25 +98,31 @@ def decode(tokens: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
 
 
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text", split_chars: int = SPLIT_CHARS) -> DataFrame:
-    """Digests of encoding and decoding in one pass: (id, n_tokens, ids_sha256 of the ids as
-    little-endian unsigned 32-bit integers, decoded_sha256 of the decoded bytes)."""
+               text_col: str = "text", split_chars: int = SPLIT_CHARS,
+               with_ids: bool = False) -> DataFrame:
+    """Encoding and decoding in one pass: (id, n_tokens, ids_sha256 of the ids as little-endian
+    unsigned 32-bit integers, decoded_sha256 of the decoded bytes), and with ``with_ids`` the ids.
+    Nulls, empty texts and repeated rows as in :func:`encode`."""
     bounded_batches(docs.sparkSession)
 
     def run(batches):
         enc = encoding(rank_file, pattern)
         for whole in batches:
             for b in rows(whole, 512):
-                n, enc_sha, dec_sha = [], [], []
+                n, enc_sha, dec_sha, kept = [], [], [], []
                 for t in b.column(1).to_pylist():
                     ids = encode_text(enc, t or "", split_chars)
                     n.append(len(ids))
+                    if with_ids:
+                        kept.append(ids.astype("i4"))
                     enc_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
                     dec_sha.append(hashlib.sha256(enc.decode_bytes(ids.tolist())).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n, pa.int64()), pa.array(enc_sha), pa.array(dec_sha)],
-                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                cols = [b.column(0), pa.array(n, pa.int64()), pa.array(enc_sha), pa.array(dec_sha)]
+                if with_ids:
+                    cols.append(pa.array(kept, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return docs.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        run, schema + (", ids array<int>" if with_ids else ""))

@@ -23,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, rows, stored, utf8
@@ -201,3 +201,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each group does, the one with the smallest
+    id; of rows with the same id the one with the smallest text. Rows with a null id all stay. All
+    columns stay."""
+    kept = (near_duplicates(docs, id_col, text_col, percent, shingle).where("kept")
+            .select(F.col(id_col).alias("_llm_kept")).distinct())
+    stay = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_llm_kept")), "left_semi")
+    # rows without an id are spread by their text, not gathered
+    alone = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))
+    order = Window.partitionBy(id_col, alone).orderBy(F.col(text_col).asc_nulls_last())
+    return (stay.withColumn("_llm_rn", F.row_number().over(order))
+            .where((F.col("_llm_rn") == 1) | F.col(id_col).isNull()).drop("_llm_rn"))

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, rows, smallest_per_group, stored
 from .vectors import matrix, usable
 
-TREES = 10
+TREES = 12
 LEAF = 32
 SAMPLE_ROWS = 20_000
 FIRST = 10
-REACH = 0.006
+REACH = 0.012
 GROUP_ROWS = 16_384
 
 
