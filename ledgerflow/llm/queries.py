@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, lattice_dedup, line_dedup, minhash_forest, mixing, pii, quality, rp_forest,
-               token_counts)
+               substring_dedup, token_counts)
 from .common import table
 
 REGISTRY = {}
@@ -182,3 +182,31 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans_per_document(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                         F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+OP10_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)),
+firsts AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k HAVING min(doc_id) < max(doc_id)),
+hits AS (SELECT doc_id, list(i) AS starts
+         FROM windows JOIN firsts USING (k) WHERE low < doc_id GROUP BY doc_id),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS j
+  FROM (SELECT doc_id, unnest(starts) AS s FROM hits)),
+flat AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM words),
+kept AS (
+  SELECT f.doc_id, string_agg(f.word, ' ' ORDER BY f.j) AS kept, count(*) AS n
+  FROM flat f ANTI JOIN gone g ON g.doc_id = f.doc_id AND g.j = f.j GROUP BY f.doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
