@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import bounded_batches, rows, stored, utf8
 
@@ -238,7 +239,8 @@ def drop_lines(docs: DataFrame, lines: DataFrame, frequent: DataFrame, id_col: s
               .drop("_llm_id", "_llm_has"))
     names = docs.columns
     at = names.index(text_col)
-    schema = (docs.schema.add("_llm_lines", "long").add("_llm_dropped", "long"))
+    schema = StructType([*docs.schema.fields, StructField("_llm_lines", LongType()),
+                         StructField("_llm_dropped", LongType())])
 
     def run(batches):
         for whole in batches:

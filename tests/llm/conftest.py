@@ -1,0 +1,57 @@
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+# extra columns whose names the operators use inside
+SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+    T.StructField("n_chars", T.LongType()), T.StructField("id", T.LongType()),
+    T.StructField("key", T.StringType()), T.StructField("size", T.StringType()),
+    T.StructField("node", T.LongType()), T.StructField("h", T.LongType())])
+
+
+def passage(rnd, n):
+    return [f"{rnd.choice('abcdef')}{rnd.randint(0, 400)}" for _ in range(n)]
+
+
+def corpus():
+    """Documents with near and exact copies, shared passages, nulls, empty and very long texts,
+    repeated ids and repeated rows."""
+    rnd = random.Random(11)
+    shared = [passage(rnd, n) for n in (60, 75, 130)]
+    texts = []
+    for i in range(40):
+        words = passage(rnd, rnd.randint(1, 160))
+        if i % 4 == 0:
+            p = shared[i % 3]
+            words[len(words) // 2:len(words) // 2] = p
+        texts.append(" ".join(words))
+    for i in (1, 2, 5):  # near copies with a few words changed
+        for k in range(6):
+            words = texts[i].split()
+            for _ in range(k):
+                words[rnd.randrange(len(words))] = f"z{rnd.randint(0, 99)}"
+            texts.append(" ".join(words))
+    texts += [texts[3], texts[3].upper(), "", None, " \t\n ", "one", "one two", "One  TWO", "Die " * 120,
+              "Die " * 90 + "x", "héllo wörld\x0b漢字 😀 " * 3, "a\n\nb\r\n\n a ", "word " * 30000,
+              "\n".join(["  Frequent LINE\t", "only here", "frequent line"]), "x" * 70000]
+    texts += [f"frequent line\nbody {i}" for i in range(12)]
+    rows = [(i * 3, t, "en", ("s%d" % (i % 5)) if i % 7 else None, None, i % 2, "k", "big", 5, i)
+            for i, t in enumerate(texts)]
+    rows.append((None, texts[3], None, None, None, None, None, None, None, None))
+    rows.append((None, None, None, None, None, None, None, None, None, None))
+    rows.append(rows[4])
+    rows.append(rows[2][:1] + (texts[7],) + rows[2][2:])  # an id with a second text
+    return rows
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(corpus(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
