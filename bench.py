@@ -30,8 +30,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir))
     extra = scale_conf(input_bytes, int(cpus))
-    extra.update({"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
-                  "ledgerflow.spreadSmallScans": os.environ.get("BENCH_SPREAD", "false")})
+    extra["spark.driver.memory"] = os.environ.get("BENCH_DRIVER_MEM", "16g")
     spark = get_session(f"local[{cpus}]", app="ledgerflow-bench", extra=extra)
     names = sys.argv[1:] or HEADLINE
     # Warm-up (untimed): JVM JIT, parquet reader and codegen caches, on smaller tables, so the

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Seed and bitmap size of the unique-visitor bitmap.
 HASH_SEED = 61
 BITMAP_BITS = 1 << 29
-DEFAULT_BITS = 1 << 27
 
 
 def poly_hash(s: str | Column, seed: int = HASH_SEED, cap: int = BITMAP_BITS) -> Column:

@@ -165,9 +165,16 @@ def parse_act(lines: DataFrame, value_col: str = "value", keep: Iterable[str] =
                     to_money("trs_amt").alias("amt"), "dir", "cod", "sts", "rcv")
 
 
+def parse_devices(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Device lines ``id,value,epoch ms`` -> ``id, value, ts``."""
+    from ..schemas import DEVICE
+    d = parse_csv_lines(lines, DEVICE, value_col)
+    return d.select("id", "value", epoch_to_ts("ts_ms", "ms").alias("ts"))
+
+
 def parse_csv_lines(lines: DataFrame, schema: T.StructType, value_col: str = "value",
                     trim: bool = True) -> DataFrame:
-    """Comma-separated text lines -> typed columns by position (``from_csv``, permissive)."""
+    """Comma-separated text lines -> typed columns in schema order (``from_csv``, permissive)."""
     opts = {"ignoreLeadingWhiteSpace": str(trim).lower(),
             "ignoreTrailingWhiteSpace": str(trim).lower(), "mode": "PERMISSIVE"}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

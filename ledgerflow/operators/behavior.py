@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import BITMAP_BITS, HASH_SEED, poly_hash
 from ..plans.panes import sliding_aggregate
@@ -29,30 +30,39 @@ def running_average(marks: DataFrame, name: str = "name", mark: str = "mark", se
                     block_rows: int = DEFAULT_BLOCK_ROWS, with_block: bool = False) -> DataFrame:
     """Per-name running sum and count in arrival order; ``avg_mark`` = sum / count.
 
-    Exact decimals: ``mark`` is cast to DECIMAL(38,2), the average is DECIMAL(38,6) rounded half up.
-    ``with_block=True`` keeps the arrival-block column ``blk`` for a chained scan.
+    Decimals stay exact in their own scale s, with the average rounded half up to max(6, s + 4)
+    places; floating point marks give double sums and averages. ``with_block=True`` keeps the
+    arrival-block column ``blk`` for a chained scan.
     """
-    m = marks.select(name, seq, F.col(mark).cast("decimal(38,2)").alias("mark"),
+    kind = marks.schema[mark].dataType
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0 if isinstance(kind, T.IntegralType) \
+        else None
+    sums, avgs = ("double", "double") if scale is None else \
+        (f"decimal(38,{scale})", f"decimal(38,{max(6, scale + 4)})")
+    m = marks.select(name, seq, F.col(mark).cast(sums).alias("mark"),
                      seq_block(seq, block_rows).alias("blk"))
     r = running(m, [name], [F.col(seq)], "blk",
                 {"run_sum": ("sum", F.col("mark")), "run_cnt": ("count", F.col("mark"))},
                 keep_keys=with_block)
-    return r.select(name, seq, F.col("run_sum").cast("decimal(38,2)").alias("run_sum"),
+    return r.select(name, seq, F.col("run_sum").cast(sums).alias("run_sum"),
                     F.col("run_cnt").alias("count"),
-                    (F.col("run_sum") / F.col("run_cnt")).cast("decimal(38,6)").alias("avg_mark"),
+                    (F.col("run_sum") / F.col("run_cnt")).cast(avgs).alias("avg_mark"),
                     *(["blk", GROUP] if with_block else []))
 
 
 def purge_segments(avgs: DataFrame, threshold: float = 80, name: str = "name", seq: str = "seq",
-                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Global window per name, fired (and purged) when the running average passes ``threshold``;
-    each firing emits the max-average element since the previous firing.
+                   block_rows: int = DEFAULT_BLOCK_ROWS, condition: Column | None = None) -> DataFrame:
+    """Global window per name, fired (and purged) when the running average passes ``threshold``, or
+    when ``condition`` (any predicate over the columns of ``avgs``) holds; each firing emits the
+    max-average element since the previous firing.
 
     Segment id = number of *earlier* firings of the name (a blocked exclusive prefix count), so
     rows between two firings share a segment; open segments (no firing yet) emit nothing. The
     threshold test is ``run_sum > threshold * count``, exact on decimals.
     """
-    fire = (F.col("run_sum") > F.lit(threshold) * F.col("count")).cast("int")
+    if condition is None:
+        condition = F.col("run_sum") > F.lit(threshold) * F.col("count")
+    fire = F.coalesce(condition, F.lit(False)).cast("int")
     f = avgs.withColumn("fire", fire)
     # reuse the block column of running_average(with_block=True): same (name, block) partitioning
     blk = "blk" if "blk" in avgs.columns else seq_block(seq, block_rows)
@@ -139,6 +149,13 @@ def window_max_by(df: DataFrame, key: str, ts: str, size: str, value: str = "val
     return g.select(key, *_window_cols(), *[F.col(f"m.{c}").alias(c) for c in (seq, *cols)])
 
 
+def window_last(df: DataFrame, ts: str, size: str, value: str, seq: str = "seq") -> DataFrame:
+    """``value`` of the last arrival of each tumbling window: an ordinary ``max_by`` aggregate."""
+    g = df.groupBy(F.window(ts, size).alias("w")).agg(F.max_by(value, seq).alias(value),
+                                                      F.max(seq).alias(seq))
+    return g.select(*_window_cols(), seq, value)
+
+
 def window_contents(df: DataFrame, key: str, ts: str, size: str, seq: str = "seq",
                     block: str = "1 minute", cols: Sequence[str] = ("value",)) -> DataFrame:
     """All elements of each (key, tumbling window), in (time, arrival) order, as positioned rows.

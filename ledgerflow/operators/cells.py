@@ -15,13 +15,15 @@ DC_QUALIFIERS = {"date": "date", "time": "time", "ccy_cod": "ccyCod", "brn": "br
 
 
 def to_cells(df: DataFrame, key_cols: Sequence[str], qualifiers: dict[str, str] = DC_QUALIFIERS,
-             table: str = DC_TABLE, family: str = DC_FAMILY) -> DataFrame:
+             table: str = DC_TABLE, family: str = DC_FAMILY, batch_id: int = 0) -> DataFrame:
     """Unpivot each row into one cell per qualifier, values as text.
 
-    The row key is ``md5`` of the key columns, so a retried micro-batch rewrites the same cells
-    instead of adding rows (the reference used a random UUID per row).
+    The row key is ``md5`` of the JSON array of the batch id and the key columns (nulls kept as
+    ``null``, texts quoted), so a retried micro-batch rewrites its own cells, another batch of the
+    same minute adds rows of its own, and no two key tuples share a key.
     """
-    rowkey = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]))
+    key = F.to_json(F.array(F.lit(str(batch_id)), *[F.col(c).cast("string") for c in key_cols]))
+    rowkey = F.md5(key)
     src = df.select(rowkey.alias("rowkey"),
                     *[F.col(c).cast("string").alias(q) for c, q in qualifiers.items()])
     cells = src.unpivot(["rowkey"], list(qualifiers.values()), "qualifier", "value")

@@ -46,9 +46,12 @@ def dc_tumbling_sum(tx: DataFrame, size: str, time_col: str = "proc_ts",
                     keys: Sequence[str] = NET_KEYS, keep_unmatched: bool = False) -> DataFrame:
     """Tumbling-window signed sum per (window, keys, direction).
 
-    ``keep_unmatched=True`` keeps unrecognised codes as one null-direction group with sum 0.
+    ``keep_unmatched=True`` keeps unrecognised codes as one group per window, with null keys, null
+    direction and sum 0.
     """
-    src = tx if keep_unmatched else recognised(tx)
+    src = recognised(tx)
+    if keep_unmatched:
+        src = tx.withColumns({k: F.when(F.col("direction").isNotNull(), F.col(k)) for k in keys})
     g = src.groupBy(F.window(time_col, size).alias("w"), *keys, "direction").agg(
         _money_sum(F.col("signed_amt")).alias("amt"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),

@@ -7,22 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.guards import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_bounded
 
-
-def anti_filter(df: DataFrame, exclusion: DataFrame, keys: Sequence[str] = ("act_nbr", "ccy_cod"),
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def anti_filter(df: DataFrame, exclusion: DataFrame, keys: Sequence[str] = ("act_nbr", "ccy_cod")
+                ) -> DataFrame:
     """Drop rows whose key tuple is in ``exclusion``.
 
     A null key part matches the text ``null`` on the other side (the reference builds its keys by
-    string concatenation). The exclusion side is broadcast only after its row count is checked;
-    beyond the bound the anti join shuffles both sides on the key instead.
+    string concatenation). No broadcast hint: the optimizer broadcasts the list when its size in
+    bytes is below the session's threshold, and shuffles both sides on the key otherwise.
     """
     lk = [F.coalesce(F.col(k).cast("string"), F.lit("null")).alias(f"_x_{k}") for k in keys]
     left = df.select("*", *lk)
     # no distinct(): an anti join only tests existence, duplicates on the right change nothing
     right = exclusion.select(*[F.coalesce(F.col(k).cast("string"), F.lit("null")).alias(f"_x_{k}")
                                for k in keys])
-    right = broadcast_if_bounded(right, max_broadcast_rows)
     out = left.join(right, [f"_x_{k}" for k in keys], "left_anti")
     return out.select(*df.columns)

@@ -61,10 +61,31 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM ev
 ORACLES["src_json_lines"] = TX + """
 SELECT seq, 'DigitCurrency' AS msg_type, strftime(ts, '%Y-%m-%d %H.%M.%S') AS send_time,
        act_nbr, ccy_cod, brn, strftime(ts, '%Y-%m-%d %H.%M.%S') AS reg_tim,
-       CAST(CAST(amt AS DECIMAL(18,2)) AS VARCHAR) AS trs_amt, code
+       CAST(CAST(amt AS DECIMAL(18,2)) AS VARCHAR) AS trs_amt,
+       CAST(CAST(amt AS DECIMAL(18,2)) AS VARCHAR) AS onl_bal, code, code[1] AS trs_dir,
+       CAST(seq % 3 AS VARCHAR) AS rcd_ver
 FROM tx
 """
 
+ORACLES["src_fc_lines"] = FC + "SELECT seq, act_nbr, ccy_cod, amt, dir FROM fc"
+
+ORACLES["src_order_lines"] = """
+SELECT user_id AS order_id, CASE WHEN event_type = 'signup' THEN 'create' ELSE 'pay' END AS event_type,
+       't' || event_id AS tx_id, epoch(date_trunc('second', ts))::BIGINT AS event_time,
+       date_trunc('second', ts) AS ts
+FROM events WHERE event_type IN ('signup', 'purchase')
+"""
+
+ORACLES["src_device_lines"] = """
+SELECT CAST(user_id AS VARCHAR) AS id, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value,
+       CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS ts
+FROM events
+"""
+
+ORACLES["text_scalars"] = """
+SELECT event_id, date_trunc('second', ts) AS ts, true AS is_uuid FROM events
+"""
+
 ORACLES["src_csv_lines"] = """
 SELECT user_id, event_id AS item_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS category_id,
        event_type AS behavior, epoch(date_trunc('second', ts))::BIGINT AS "timestamp",
@@ -93,7 +114,7 @@ net AS (
 ORACLES["dc_net_flow"] = NET_FLOW + "SELECT * FROM net"
 
 ORACLES["dc_cells"] = NET_FLOW + """,
-keyed AS (SELECT md5(concat_ws('|', date, time, ccy_cod, brn)) AS rowkey, * FROM net)
+keyed AS (SELECT md5(to_json(['0', date, time, ccy_cod, brn])::VARCHAR) AS rowkey, * FROM net)
 SELECT 'dc_sum_mon' AS "table", rowkey, 'digitCur' AS family, qualifier, value FROM (
   SELECT rowkey, 'date' AS qualifier, date AS value FROM keyed
   UNION ALL SELECT rowkey, 'time', time FROM keyed
@@ -114,7 +135,11 @@ FROM tx WHERE direction IS NOT NULL GROUP BY ALL
 ORACLES["dc_tumbling_unmatched"] = TX + """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-       date, time, ccy_cod, brn, direction, CAST(sum(signed_amt) AS DECIMAL(38,2)) AS amt
+       CASE WHEN direction IS NOT NULL THEN date END AS date,
+       CASE WHEN direction IS NOT NULL THEN time END AS time,
+       CASE WHEN direction IS NOT NULL THEN ccy_cod END AS ccy_cod,
+       CASE WHEN direction IS NOT NULL THEN brn END AS brn,
+       direction, CAST(sum(signed_amt) AS DECIMAL(38,2)) AS amt
 FROM tx GROUP BY ALL
 """
 
@@ -179,6 +204,14 @@ ORACLES["uv_hourly"] = VIEWS + """
 SELECT window_start, window_end, count(DISTINCT user_id) AS uv FROM v GROUP BY ALL
 """
 
+ORACLES["uv_approx"] = VIEWS + """
+SELECT DISTINCT window_start, window_end, true AS near FROM v
+"""
+
+ORACLES["uv_last"] = VIEWS + """
+SELECT window_start, window_end, max(seq) AS seq, arg_max(user_id, seq) AS user_id FROM v GROUP BY ALL
+"""
+
 ORACLES["poly_hash"] = f"SELECT event_id, user_id, {POLY_HASH} AS h FROM events"
 
 ORACLES["uv_bitmap"] = VIEWS + f"""
@@ -311,6 +344,11 @@ ORACLES["late_split"] = LATE + """
 SELECT event_id, user_id, event_type, ets, window_end FROM g WHERE is_late
 """
 
+ORACLES["late_split_delay"] = LATE + """
+SELECT event_id, user_id, event_type, ets, window_end FROM g
+WHERE window_end - INTERVAL 1 MILLISECOND <= wm - INTERVAL 30 MINUTE
+"""
+
 ORACLES["on_time_counts"] = LATE + """
 SELECT time_bucket(INTERVAL 1 HOUR, ets) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ets) + INTERVAL 1 HOUR AS window_end,
@@ -338,6 +376,11 @@ r AS (
   FROM a WHERE typ IN ('kpp', 'kqp'))
 """
 
+ORACLES["src_act_lines"] = ACT + """
+SELECT l_orderkey, l_linenumber, typ, act_nbr, ccy_nbr, ccy_nbr AS brn, reg_tim, amt, dir, cod, sts, rcv
+FROM a
+"""
+
 ORACLES["act_split"] = ACT + """
 SELECT l_orderkey, l_linenumber, typ,
        CASE WHEN typ = 'kpp' THEN 'kpp' WHEN typ = 'kqp' THEN 'kqp' ELSE 'other' END AS branch

@@ -2,8 +2,8 @@
 time-bucketed range joins and size-checked broadcasts. No Catalyst rules are involved: each is a
 composition of DataFrame operators that Catalyst plans as usual."""
 
-from .guards import broadcast_if_bounded
+from .guards import materialize
 from .panes import sliding_aggregate
 from .prefix import running
 
-__all__ = ["broadcast_if_bounded", "running", "sliding_aggregate"]
+__all__ = ["materialize", "running", "sliding_aggregate"]

@@ -1,23 +1,8 @@
-"""Broadcast only what has a proven size bound."""
+"""Lineage cuts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``broadcast`` when ``df`` has at most ``max_rows`` rows, else leave it to a shuffle join.
-
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the bound is passed, so it is
-    cheap for small dimensions and bounded for large ones. Batch DataFrames only (inside
-    ``foreachBatch`` a micro-batch is one).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage: a reliable checkpoint of ``df`` in the shared ``spark.checkpoint.dir``.

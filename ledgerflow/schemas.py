@@ -29,19 +29,6 @@ ENVELOPE_RAW = T.StructType([
     T.StructField("data", S, True),
 ])
 
-# Canonical parsed DC record (snake_case), the input of the flow operators.
-DC_RECORD = T.StructType([
-    T.StructField("act_nbr", S, True),
-    T.StructField("ccy_cod", S, True),
-    T.StructField("brn", S, True),
-    T.StructField("reg_tim", S, True),
-    T.StructField("trs_amt", S, True),
-    T.StructField("onl_bal", S, True),
-    T.StructField("code", S, True),
-    T.StructField("trs_dir", S, True),
-    T.StructField("rcd_ver", S, True),
-])
-
 USER_BEHAVIOR = T.StructType([
     T.StructField("user_id", T.LongType(), True),
     T.StructField("item_id", T.LongType(), True),
@@ -63,22 +50,4 @@ DEVICE = T.StructType([
     T.StructField("ts_ms", T.LongType(), True),
 ])
 
-MARKS = T.StructType([
-    T.StructField("name", S, True),
-    T.StructField("mark", T.DoubleType(), True),
-])
-
-MARKETING_BEHAVIOR = T.StructType([
-    T.StructField("user_id", S, True),
-    T.StructField("behavior", S, True),
-    T.StructField("channel", S, True),
-    T.StructField("timestamp", T.LongType(), True),
-])
-
-OFFSET_RECORD = T.StructType([
-    T.StructField("topic", S, True),
-    T.StructField("partition", T.IntegerType(), True),
-    T.StructField("offset", T.LongType(), True),
-])
-
 MONEY = T.DecimalType(38, 2)

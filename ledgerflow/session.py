@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # keyed state on disk, not in the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     # checkpoints that cut lineage (plans.guards.materialize) are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -47,7 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it) or the context's checkpoint folder.
-    Only when neither is set, as in local tests, a fresh temporary folder is made and registered.
+    With neither, a session whose executors run in the driver's process (``local``) gets a fresh
+    temporary folder, as in tests; on a cluster that folder would not be shared, so it is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -55,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc.getCheckpointDir():
         root = os.path.dirname(sc.getCheckpointDir().rstrip("/"))
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

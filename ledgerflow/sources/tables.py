@@ -26,42 +26,9 @@ ACT_TYPE = {"A": "kpp", "N": "kqp", "R": "kxp"}
 ACT_DIR = {"O": "C", "F": "D"}
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """Read one driver table. ``spread`` (default: session conf ``ledgerflow.spreadSmallScans``,
-    off) applies :func:`spread_small_scan`."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread is None:
-        spread = spark.conf.get("ledgerflow.spreadSmallScans", "false") == "true"
-    return spread_small_scan(df) if spread else df
-
-
-_TABLES: dict[tuple[str, int, str, str], DataFrame] = {}
-
-
-def read_only_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``load_table`` for tables that never change while the session lives (the driver tables):
-    the DataFrame, with its file listing and footer schema, is built once per session and reused.
-    Its data is still scanned on every execution; nothing is cached in memory."""
-    # the cached DataFrame holds its session, so id(spark) cannot be reused while cached; the
-    # application id separates sessions of a restarted context
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir), name)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = load_table(spark, sf_dir, name)
-    return df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than half the cluster's cores.
-
-    A small table stored as one file and one row group is read by a single task, and every
-    per-row expression before the first shuffle (JSON, date and decimal parsing) then runs on one
-    core. Large inputs have many splits and are returned unchanged, so this costs nothing at scale.
-    Filters and column pruning still reach the parquet scan below the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    return df.repartition(cores) if n * 2 < cores else df
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table, with the files that are there now."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _map(col: Column, mapping: dict) -> Column:

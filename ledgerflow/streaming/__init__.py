@@ -6,17 +6,18 @@ Stateful ones use Spark's streaming aggregation, stream-stream joins and ``apply
 with watermarks; their state lives in the query checkpoint below ``spark.checkpoint.dir``.
 """
 
-from .runners import (count_trigger_stream, cumulative_sink, dc_statistics, event_time, fc_statistics, interval_join_stream,
-                      late_split_batches, offset_ledger_sink, order_pattern_stream,
-                      running_average_stream,
-                      running_total_stream, sliding_count_stream, start, uv_bitmap_stream,
-                      uv_first_sight_stream,
-                      uv_distinct_stream,
+from .runners import (count_trigger_stream, cumulative_sink, dc_statistics,
+                      event_time, fc_statistics, interval_join_stream, late_split_batches,
+                      latest, offset_ledger_sink, order_pattern_stream, running_average_stream,
+                      running_total_stream, sliding_count_stream, start, upsert_sink,
+                      uv_bitmap_stream, uv_distinct_stream, uv_first_sight_stream,
                       window_aggregate_stream, window_contents_stream, window_inout_stream,
                       window_join_stream)
 
-__all__ = ["count_trigger_stream", "cumulative_sink", "dc_statistics", "event_time", "fc_statistics", "interval_join_stream",
-           "late_split_batches", "offset_ledger_sink", "order_pattern_stream", "running_average_stream",
-           "running_total_stream", "sliding_count_stream", "start", "uv_bitmap_stream", "uv_first_sight_stream", "uv_distinct_stream", "window_aggregate_stream", "window_contents_stream",
-           "window_inout_stream",
+__all__ = ["count_trigger_stream", "cumulative_sink", "dc_statistics",
+           "event_time", "fc_statistics", "interval_join_stream", "late_split_batches",
+           "latest", "offset_ledger_sink", "order_pattern_stream", "running_average_stream",
+           "running_total_stream", "sliding_count_stream", "start", "upsert_sink",
+           "uv_bitmap_stream", "uv_distinct_stream", "uv_first_sight_stream",
+           "window_aggregate_stream", "window_contents_stream", "window_inout_stream",
            "window_join_stream"]

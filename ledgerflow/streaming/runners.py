@@ -6,9 +6,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
+from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import classify_dc, parse_dc, parse_fc, recognised, with_rejects
@@ -16,10 +19,9 @@ from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_seconds
 from ..session import scratch_path
-from .state import (CONTENTS_OUTPUT, CONTENTS_STATE, COUNT_OUTPUT, COUNT_STATE, MARKS_OUTPUT,
-                    MARKS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, UV_OUTPUT, UV_STATE,
-                    contents_state_fn, count_state_fn, marks_state_fn, pattern_state_fn,
-                    uv_counter_fn)
+from .state import (CONTENTS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, UV_OUTPUT, UV_STATE,
+                    contents_state_fn, count_schemas, count_state_fn, marks_schemas, marks_state_fn,
+                    pattern_state_fn, uv_counter_fn)
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -52,6 +54,39 @@ def start(df: DataFrame, name: str, checkpoint: str | None = None, fmt: str = "m
     return w.start(path) if path else w.start()
 
 
+@contextmanager
+def _cached(df: DataFrame):
+    """``df`` cached for the block and released whatever happens in it."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def _scale(df: DataFrame, col: str) -> int | None:
+    """Decimal places of a decimal or integral column; None for floating point."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind.scale
+    return 0 if isinstance(kind, T.IntegralType) else None
+
+
+def _units(col: str, scale: int | None) -> Column:
+    """A number as whole units of its last decimal place, exactly; floating point stays."""
+    if scale is None:
+        return F.col(col).cast("double")
+    return (F.col(col).cast(f"decimal(38,{scale})") * F.lit(10 ** scale).cast("decimal(20,0)")
+            ).cast("long")
+
+
+def _from_units(col: str, scale: int | None) -> Column:
+    if scale is None:
+        return F.col(col)
+    return (F.col(col).cast("decimal(38,0)") / F.lit(10 ** scale).cast("decimal(20,0)")).cast(
+        f"decimal(38,{scale})")
+
+
 def _batch_dir(root: str, batch_id: int) -> str:
     return os.path.join(root, f"batch_id={batch_id}")
 
@@ -63,19 +98,24 @@ def dc_statistics(lines: DataFrame, out_root: str, checkpoint: str | None = None
 
     Parsing and classification stay in the streaming plan (narrow); the aggregate and unpivot run
     on each micro-batch. Output of batch N goes to ``out_root/batch_id=N`` (overwrite: a replayed
-    batch rewrites its own folder, it never adds duplicates); recognised rows whose date, time or
-    amount did not parse go to ``out_root/_rejects/batch_id=N``.
+    batch rewrites its own folder, it never adds duplicates). Lines without a transaction code, and
+    recognised ones whose date, time or amount did not parse, go with their raw text (``value``) to
+    ``out_root/_rejects/batch_id=N``; lines with another code are the only ones left out.
     """
-    tx = classify_dc(parse_dc(lines))
+    tx = classify_dc(parse_dc(lines, keep=["value"]))
 
     def per_batch(bdf: DataFrame, batch_id: int):
-        bdf = bdf.persist()
-        ok, bad = with_rejects(recognised(bdf), ["date", "time", "amt"])
+        with _cached(bdf) as bdf:
+            write(bdf, batch_id)
+
+    def write(bdf: DataFrame, batch_id: int):
+        coded, bad_lines = with_rejects(bdf, ["code"])
+        ok, bad_fields = with_rejects(recognised(coded), ["date", "time", "amt"])
+        bad = bad_lines.unionByName(bad_fields)
         net = flows.dc_net_flow(ok)
-        out = cells.to_cells(net, flows.NET_KEYS) if as_cells else net
+        out = cells.to_cells(net, flows.NET_KEYS, batch_id=batch_id) if as_cells else net
         out.write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
         bad.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_root, "_rejects"), batch_id))
-        bdf.unpersist()
 
     return _foreach(tx, per_batch, "dc_statistics", checkpoint, trigger)
 
@@ -85,17 +125,20 @@ def fc_statistics(lines: DataFrame, exclusion: Callable[[SparkSession], DataFram
                   ) -> StreamingQuery:
     """FC message stream -> per-batch sums per (account, currency, direction) after dropping the
     accounts on the exclusion list. ``exclusion`` is called inside every batch, so each batch sees
-    the list as it is then (a static DataFrame built once would keep its first file listing)."""
-    fc = parse_fc(lines)
+    the list as it is then (a static DataFrame built once would keep its first file listing). Lines
+    without account, amount or direction go with their raw text to ``out_root/_rejects``."""
+    fc = parse_fc(lines, keep=["value"])
 
     def per_batch(bdf: DataFrame, batch_id: int):
-        bdf = bdf.persist()
+        with _cached(bdf) as bdf:
+            write(bdf, batch_id)
+
+    def write(bdf: DataFrame, batch_id: int):
         ok, bad = with_rejects(bdf, ["act_nbr", "amt", "dir"])
         excl = exclusion(bdf.sparkSession)
         kept = lookup.anti_filter(ok, excl)
         flows.fc_sum(kept).write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
         bad.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_root, "_rejects"), batch_id))
-        bdf.unpersist()
 
     return _foreach(fc, per_batch, "fc_statistics", checkpoint, trigger)
 
@@ -115,8 +158,11 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
     delay_us = int(interval_seconds(delay) * 1_000_000)
 
     def per_batch(bdf: DataFrame, batch_id: int):
-        spark = bdf.sparkSession
-        prev = _previous_hwm(spark, hwm_root, batch_id)
+        with _cached(bdf) as bdf:
+            split(bdf, batch_id)
+
+    def split(bdf: DataFrame, batch_id: int):
+        prev = _previous_hwm(bdf.sparkSession, hwm_root, batch_id)
         prev = None if prev is None else _ts_literal(prev, bdf.schema[ts].dataType)
         flagged = lateness.late_flag(bdf, ts, arrival, size, delay=delay)
         if prev is not None:
@@ -124,40 +170,27 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
             wm = before if delay_us == 0 else \
                 before - F.expr(f"INTERVAL {delay_us - 1000} MICROSECONDS")
             flagged = flagged.withColumn("is_late", F.col("window_end") <= wm)
-        flagged = flagged.persist()
         cols = bdf.columns + ["window_end"]
-        flagged.where(~F.col("is_late")).select(*cols).write.mode("overwrite").parquet(
-            os.path.join(out_root, "on_time", f"batch_id={batch_id}"))
-        flagged.where(F.col("is_late")).select(*cols).write.mode("overwrite").parquet(
-            os.path.join(out_root, "late", f"batch_id={batch_id}"))
+        with _cached(flagged) as rows:
+            rows.where(~F.col("is_late")).select(*cols).write.mode("overwrite").parquet(
+                os.path.join(out_root, "on_time", f"batch_id={batch_id}"))
+            rows.where(F.col("is_late")).select(*cols).write.mode("overwrite").parquet(
+                os.path.join(out_root, "late", f"batch_id={batch_id}"))
         top = bdf.agg(F.max(ts).alias("m"))
         if prev is not None:
             top = top.select(F.greatest(F.col("m"), prev).alias("m"))
         top.write.mode("overwrite").parquet(_batch_dir(hwm_root, batch_id))
-        flagged.unpersist()
 
     return _foreach(df, per_batch, "late_split", checkpoint, trigger)
 
 
 def _previous_output(spark: SparkSession, root: str, batch_id: int):
-    """Output written by the latest batch before ``batch_id`` (None before the first).
+    """Output written by the batch before ``batch_id`` (None before the first).
 
-    ``foreachBatch`` ids are consecutive and batch N runs only after N-1 committed, so
-    ``batch_id=N-1`` is read directly (one small folder, no listing of the history); the listing
-    is a fallback for a batch that wrote nothing.
+    ``foreachBatch`` ids are consecutive, batch N runs only after N-1 committed, and every batch
+    writes its folder, so that folder must be there: if it cannot be read, the batch fails.
     """
-    if batch_id == 0:
-        return None
-    try:
-        return spark.read.parquet(_batch_dir(root, batch_id - 1))
-    except Exception:  # noqa: BLE001 - not there: fall back to the latest earlier one
-        pass
-    try:
-        marks = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - no earlier batch wrote anything yet
-        return None
-    last = marks.where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-    return None if last is None else marks.where(F.col("batch_id") == last).drop("batch_id")
+    return None if batch_id == 0 else spark.read.parquet(_batch_dir(root, batch_id - 1))
 
 
 def _ts_literal(value, dtype):
@@ -301,43 +334,57 @@ def window_join_stream(left: DataFrame, right: DataFrame, key: str, size: str, l
 
 def order_pattern_stream(orders: DataFrame, key: str = "order_id", kind: str = "event_type",
                          first: str = "create", then: str = "pay", within: str = "15 minutes",
-                         ts: str = "ts", seq: str = "seq", delay: str = "0 seconds") -> DataFrame:
+                         ts: str = "ts", seq: str = "seq", delay: str = "0 seconds",
+                         late: str | None = None) -> DataFrame:
     """Matches and timeouts of "first followed by then within T" on one stream, per key state.
 
     Output ``key, first_seq, first_ts, next_seq, next_ts, result`` (result = 'payed successfully'
-    or 'timeout'), in append mode. One stream and one watermark, so no multiple-watermark policy
+    or 'timeout'), in append mode. Rows behind the watermark are dropped, or with ``late`` come out
+    under that result label. The key may be of any type with a text form. One stream and one watermark, so no multiple-watermark policy
     question arises.
     """
     within_us = int(interval_seconds(within) * 1_000_000)
     o = event_time(orders, ts).withWatermark(ts, delay).select(
-        F.col(key).cast("long").alias("key"), F.col(kind).alias("kind"),
-        F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"), F.col(ts))
-    fn = pattern_state_fn(first, then, within_us, PAID, TIMEOUT)
+        F.col(key).cast("string").alias("key"), F.col(kind).alias("kind"),
+        F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"),
+        (F.window(ts, "400000 days").alias("w") if late else F.col(ts)))
+    # the event-time column decides which rows are filtered as late before they get here: the row
+    # time itself, or, to see the late rows too, one window that is never behind the watermark
+    fn = pattern_state_fn(first, then, within_us, PAID, TIMEOUT, late)
     out = o.groupBy("key").applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
                                                    "EventTimeTimeout")
-    return out.select(F.col("key").alias(key), "first_seq",
+    return out.select(F.col("key").cast(orders.schema[key].dataType).alias(key), "first_seq",
                       F.timestamp_micros("first_us").alias("first_ts"), "next_seq",
                       F.timestamp_micros("next_us").alias("next_ts"), "result")
 
 
 def running_average_stream(marks: DataFrame, name: str = "name", mark: str = "mark",
-                           seq: str = "seq", threshold: float | None = None) -> DataFrame:
+                           seq: str = "seq", threshold: float | None = None,
+                           expire: str | None = None) -> DataFrame:
     """Per-record running average per name on a stream (append mode, one row per record).
 
     Output as :func:`operators.behavior.running_average` (``name, seq, run_sum, count,
-    avg_mark``) plus ``segment`` and ``fire`` when ``threshold`` is given: the records with
-    ``fire = 1`` are the purge-segment results of ``purge_segments`` (the firing record is its
-    segment's largest average). Records of a name must arrive in ``seq`` order.
+    avg_mark``, in the same types) plus ``segment`` and ``fire`` when ``threshold`` is given: the
+    records with ``fire = 1`` are the purge-segment results of ``purge_segments`` (the firing record
+    is its segment's largest average). Records of a name must arrive in ``seq`` order. With
+    ``expire`` (an interval of processing time) the state of a name that was silent for so long is
+    dropped; without it there is one small state per name for good.
     """
+    scale = _scale(marks, mark)
     d = marks.select(F.col(name).cast("string").alias("name"), F.col(seq).cast("long").alias("seq"),
-                     (F.col(mark).cast("decimal(38,2)") * 100).cast("long").alias("cents"))
-    thr = None if threshold is None else int(round(threshold * 100))
-    out = d.groupBy("name").applyInPandasWithState(marks_state_fn(thr), MARKS_OUTPUT, MARKS_STATE,
-                                                    "append", "NoTimeout")
-    run_sum = (F.col("sum_cents").cast("decimal(38,0)") / 100).cast("decimal(38,2)")
+                     _units(mark, scale).alias("units"))
+    limit = None if threshold is None else Fraction(str(threshold)) * 10 ** (scale or 0)
+    expire_ms = int(interval_seconds(expire) * 1000) if expire else None
+    out_schema, state_schema = marks_schemas(scale is not None)
+    out = d.groupBy("name").applyInPandasWithState(
+        marks_state_fn(limit, expire_ms), out_schema, state_schema, "append",
+        "ProcessingTimeTimeout" if expire else "NoTimeout")
+    run_sum = _from_units("total", scale)
+    average = run_sum / F.col("count")
+    if scale is not None:
+        average = average.cast(f"decimal(38,{max(6, scale + 4)})")
     return out.select(F.col("name").alias(name), F.col("seq").alias(seq), run_sum.alias("run_sum"),
-                      "count", (run_sum / F.col("count")).cast("decimal(38,6)").alias("avg_mark"),
-                      "segment", "fire")
+                      "count", average.alias("avg_mark"), "segment", "fire")
 
 
 def window_aggregate_stream(df: DataFrame, key: str, ts: str, size: str, value: str = "value",
@@ -362,102 +409,158 @@ def window_aggregate_stream(df: DataFrame, key: str, ts: str, size: str, value:
                     "cum_count", "cum_sum", "cum_max", *(["max_seq"] if seq else []))
 
 
+TOTAL_BUCKETS = 256
+
+
 def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
                     out_root: str, checkpoint: str | None = None,
-                    trigger: str | None = "availableNow") -> StreamingQuery:
+                    trigger: str | None = "availableNow",
+                    buckets: int = TOTAL_BUCKETS) -> StreamingQuery:
     """Running totals per key over a stream of results, one output row per result (A6).
 
     Each micro-batch: cumulative sums inside the batch per key (ordered by ``order``; a batch
-    holds few results per key) plus the key's totals after the previous batch, written to
-    ``out_root/emitted/batch_id=N``; the new totals go to ``out_root/_totals/batch_id=N``. The
-    previous totals are read from batch N-1's folder, so a replayed batch emits the same rows.
+    holds few results per key) plus the key's totals before it, written to
+    ``out_root/emitted/batch_id=N``. Totals lie in ``buckets`` hash buckets of keys; a batch reads and
+    writes anew only the buckets of its own keys, below ``out_root/_totals/batch_id=N``, and a small
+    index ``out_root/_index/batch_id=N`` tells for each bucket which batch wrote it last. A replayed
+    batch starts from the index of batch N-1 and so emits the same rows.
     """
     keys, sums = list(keys), list(sums)
-    totals_root = os.path.join(out_root, "_totals")
+    totals_root, index_root = os.path.join(out_root, "_totals"), os.path.join(out_root, "_index")
 
     def per_batch(bdf: DataFrame, batch_id: int):
+        with _cached(bdf.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+                     ) as rows:
+            write(rows, bdf.columns, batch_id)
+
+    def write(rows: DataFrame, columns: list[str], batch_id: int):
         from pyspark.sql import Window
-        spark = bdf.sparkSession
-        bdf = bdf.persist()
-        prev = _previous_output(spark, totals_root, batch_id)
+        spark = rows.sparkSession
+        index = _previous_output(spark, index_root, batch_id)
+        written = {r["bucket"]: r["batch"] for r in index.collect()} if index is not None else {}
+        own = [r["_bucket"] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
+        paths = [f"{_batch_dir(totals_root, written[b])}/_bucket={b}" for b in own if b in written]
+        before = None
+        if paths:
+            before = spark.read.parquet(*paths).select(
+                *[F.col(k).alias(f"_k_{k}") for k in keys],
+                *[F.col(f"cum_{c}").alias(f"_p_{c}") for c in sums])
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        run = bdf.select("*", *[F.sum(c).over(w).alias(f"_r_{c}") for c in sums])
-        if prev is not None:
-            p = prev.select(*keys, *[F.col(f"cum_{c}").alias(f"_p_{c}") for c in sums])
-            run = run.join(p, keys, "left")
-        else:
-            run = run.select("*", *[F.lit(None).alias(f"_p_{c}") for c in sums])
-        emitted = run.select(*bdf.columns, *[
-            (F.coalesce(F.col(f"_p_{c}"), F.lit(0)) + F.col(f"_r_{c}")).alias(f"cum_{c}")
-            for c in sums])
-        emitted.write.mode("overwrite").parquet(os.path.join(out_root, "emitted", f"batch_id={batch_id}"))
-        batch_tot = bdf.groupBy(*keys).agg(*[F.sum(c).alias(f"_b_{c}") for c in sums])
-        if prev is not None:
-            t = prev.join(batch_tot, keys, "full_outer").select(*keys, *[
-                (F.coalesce(F.col(f"cum_{c}"), F.lit(0)) + F.coalesce(F.col(f"_b_{c}"), F.lit(0)))
-                .alias(f"cum_{c}") for c in sums])
-        else:
-            t = batch_tot.select(*keys, *[F.col(f"_b_{c}").alias(f"cum_{c}") for c in sums])
-        t.write.mode("overwrite").parquet(_batch_dir(totals_root, batch_id))
-        bdf.unpersist()
+        run = rows.select(*columns, *[F.sum(c).over(w).alias(f"_r_{c}") for c in sums])
+        added = rows.groupBy("_bucket", *keys).agg(*[F.sum(c).alias(f"_r_{c}") for c in sums])
+
+        def with_before(df: DataFrame, how: str) -> DataFrame:
+            if before is None:
+                return df.select("*", *[F.lit(0).alias(f"_p_{c}") for c in sums])
+            same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+            return df.join(before, same, how)
+
+        def total(c: str) -> Column:
+            return (F.coalesce(F.col(f"_p_{c}"), F.lit(0)) + F.coalesce(F.col(f"_r_{c}"), F.lit(0))
+                    ).alias(f"cum_{c}")
+
+        with_before(run, "left").select(*columns, *map(total, sums)).write.mode("overwrite").parquet(
+            os.path.join(out_root, "emitted", f"batch_id={batch_id}"))
+        merged = with_before(added, "full_outer")
+        if before is not None:
+            merged = merged.withColumns({k: F.coalesce(k, f"_k_{k}") for k in keys})
+        merged = merged.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        (merged.select("_bucket", *keys, *map(total, sums)).write.mode("overwrite")
+         .partitionBy("_bucket").parquet(_batch_dir(totals_root, batch_id)))
+        written |= {b: batch_id for b in own}
+        spark.createDataFrame(list(written.items()), "bucket int, batch long").coalesce(1).write.mode(
+            "overwrite").parquet(_batch_dir(index_root, batch_id))
 
     return _foreach(results, per_batch, "cumulative", checkpoint, trigger)
 
 
+def upsert_sink(results: DataFrame, keys: Sequence[str], out_root: str,
+                checkpoint: str | None = None, trigger: str | None = "availableNow",
+                mode: str = "update") -> StreamingQuery:
+    """Counters per key with the last value kept (K3), e.g. (window_end, n): batch N writes the rows
+    that changed to ``out_root/batch_id=N``; :func:`latest` reads the newest row of each key."""
+    def per_batch(bdf: DataFrame, batch_id: int):
+        bdf.write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
+
+    ck = checkpoint or scratch_path(results.sparkSession, "streams", "upsert")
+    w = results.writeStream.outputMode(mode).foreachBatch(per_batch).option("checkpointLocation", ck)
+    return _trigger(w, trigger).start()
+
+
+def latest(spark: SparkSession, out_root: str, keys: Sequence[str]) -> DataFrame:
+    """The rows of an :func:`upsert_sink` as a table: per key the one of the latest batch."""
+    rows = spark.read.parquet(out_root)
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
+    return newest.select(*keys, "_v.*")
+
+
+def _by_window(df: DataFrame, key: str, ts: str, size: str, seq: str, delay: str, *cols) -> DataFrame:
+    """Rows with their window as the one event-time column: a row is late only when its whole window
+    is behind the watermark, not when the row itself is."""
+    d = event_time(df, ts).withWatermark(ts, delay)
+    w = F.window(ts, size)
+    return d.select(F.col(key).cast("string").alias("key"), w.alias("w"),
+                    F.unix_micros(w.start).alias("window_start_us"),
+                    F.col(seq).cast("long").alias("seq"), *cols)
+
+
 def count_trigger_stream(df: DataFrame, key: str, ts: str, size: str, n: int,
                          value: str = "value", seq: str = "seq",
                          delay: str = "0 seconds") -> DataFrame:
     """Count trigger (T13) on a stream: per (key, tumbling window), a row at every ``n``-th
     element (in arrival order) with ``fire_no``, ``cum_count``, ``cum_sum`` and ``cum_max`` of
-    ``value`` (exact, as DECIMAL(38,2)). Append mode; window state is dropped after its end."""
+    ``value`` (exact, in the scale of ``value``). Rows of a window count while it is open, in
+    whatever time order they come. Append mode; window state is dropped after its end."""
     size_us = int(interval_seconds(size) * 1_000_000)
-    d = event_time(df, ts).withWatermark(ts, delay)
-    d = d.select(F.col(key).cast("string").alias("key"),
-                 F.unix_micros(F.window(ts, size).start).alias("window_start_us"),
-                 F.col(seq).cast("long").alias("seq"), F.col(ts),
-                 (F.col(value).cast("decimal(38,2)") * 100).cast("long").alias("cents"))
+    scale = _scale(df, value)
+    d = _by_window(df, key, ts, size, seq, delay, _units(value, scale).alias("units"))
+    out_schema, state_schema = count_schemas(scale is not None)
     out = d.groupBy("key", "window_start_us").applyInPandasWithState(
-        count_state_fn(n, size_us), COUNT_OUTPUT, COUNT_STATE, "append", "EventTimeTimeout")
-    money = lambda c: (F.col(c).cast("decimal(38,0)") / 100).cast("decimal(38,2)")
+        count_state_fn(n, size_us), out_schema, state_schema, "append", "EventTimeTimeout")
     start = F.timestamp_micros("window_start_us")
     return out.select(F.col("key").alias(key), start.alias("window_start"),
                       (start + F.expr(f"INTERVAL {size_us} MICROSECONDS")).alias("window_end"),
-                      "fire_no", "cum_count", money("cum_cents").alias("cum_sum"),
-                      money("max_cents").alias("cum_max"))
+                      "fire_no", "cum_count", _from_units("total", scale).alias("cum_sum"),
+                      _from_units("largest", scale).alias("cum_max"))
 
 
 def window_contents_stream(df: DataFrame, key: str, ts: str, size: str, value: str = "value",
                            seq: str = "seq", delay: str = "0 seconds") -> DataFrame:
-    """Window contents (A12) on a stream, long form: every element with its arrival position in
-    its (key, tumbling window), emitted as it arrives (append). ``value`` as DECIMAL(38,2)."""
+    """Window contents (A12) on a stream, long form: every element with its arrival rank in its
+    (key, tumbling window), emitted as it arrives (append), ``value`` unchanged. Rows of a window
+    are taken while it is open, in whatever time order they come."""
     size_us = int(interval_seconds(size) * 1_000_000)
-    d = event_time(df, ts).withWatermark(ts, delay)
-    d = d.select(F.col(key).cast("string").alias("key"),
-                 F.unix_micros(F.window(ts, size).start).alias("window_start_us"),
-                 F.col(seq).cast("long").alias("seq"), F.unix_micros(F.col(ts)).alias("us"), F.col(ts),
-                 (F.col(value).cast("decimal(38,2)") * 100).cast("long").alias("cents"))
+    d = _by_window(df, key, ts, size, seq, delay, F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+                   F.col(value).alias("value"))
+    columns = ["key", "window_start_us", "seq", "us", "value"]
+    schema = T.StructType([*d.select(*columns).schema.fields, T.StructField("pos", T.LongType())])
     out = d.groupBy("key", "window_start_us").applyInPandasWithState(
-        contents_state_fn(size_us), CONTENTS_OUTPUT, CONTENTS_STATE, "append", "EventTimeTimeout")
+        contents_state_fn(size_us, columns), schema, CONTENTS_STATE, "append", "EventTimeTimeout")
     start = F.timestamp_micros("window_start_us")
     return out.select(F.col("key").alias(key), start.alias("window_start"),
                       (start + F.expr(f"INTERVAL {size_us} MICROSECONDS")).alias("window_end"),
                       "pos", F.col("seq").alias(seq), F.timestamp_micros("us").alias(ts),
-                      (F.col("cents").cast("decimal(38,0)") / 100).cast("decimal(38,2)").alias(value))
+                      F.col("value").alias(value))
 
 
 def uv_first_sight_stream(views: DataFrame, ts: str, user: str, size: str, seq: str = "seq",
-                          delay: str = "0 seconds") -> DataFrame:
+                          delay: str = "0 seconds", buckets: int = 1) -> DataFrame:
     """Distinct users so far per tumbling window, emitted at each user's first view of the window
     (a repeat view would emit the unchanged count). Watermarked de-duplication of (window, user),
-    then a per-window counter: all state is bounded by the watermark, none holds a user set."""
+    then a counter: all state is bounded by the watermark, none holds a user set. With ``buckets``
+    above 1 a busy window is spread: ``uv`` then counts within the row's ``bucket`` of users, and a
+    window's number of users is the sum of the largest ``uv`` of its buckets."""
     size_us = int(interval_seconds(size) * 1_000_000)
     v = event_time(views, ts).withWatermark(ts, delay)
     # the window is the one event-time column carried on
     firsts = v.select(F.window(ts, size).alias("w"), F.col(user).cast("string").alias("user_id"),
                       F.col(seq).cast("long").alias("seq")).dropDuplicates(["w", "user_id"])
     keyed = firsts.select("w", F.unix_micros(F.col("w.start")).alias("window_start_us"), "seq",
-                          "user_id")
-    out = keyed.groupBy("window_start_us").applyInPandasWithState(
+                          "user_id", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+                          .alias("bucket"))
+    out = keyed.groupBy("window_start_us", "bucket").applyInPandasWithState(
         uv_counter_fn(size_us), UV_OUTPUT, UV_STATE, "append", "EventTimeTimeout")
     return out.select(F.timestamp_micros("window_start_us").alias("window_start"),
-                      F.col("seq").alias(seq), "user_id", "uv")
+                      F.col("seq").alias(seq), "user_id", "uv",
+                      *(["bucket"] if buckets > 1 else []))

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.hashing import poly_hash
-from .functions.parse import IN_CODES, OUT_CODES, classify_dc, parse_envelope
+from .functions.parse import (DC_RENAME, IN_CODES, OUT_CODES, classify_dc, epoch_to_ts, parse_act,
+                              parse_csv_lines, parse_dc, parse_devices, parse_fc, str_to_ts,
+                              uuid_nodash)
 from .operators import (behavior, cells, flows, joins, lateness, ledger, lookup, patterns, routing,
                         triggers)
 from .plans.guards import materialize
-from .schemas import DC_DATA
+from .schemas import ORDER_EVENT, USER_BEHAVIOR
 from .sources import tables as tb
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,7 +40,7 @@ def query(name: str):
 
 
 def _events(spark, sf_dir):
-    return tb.read_only_table(spark, sf_dir, "events")
+    return tb.load_table(spark, sf_dir, "events")
 
 
 def tx(spark: SparkSession, sf_dir: str, recognised_only: bool = False) -> DataFrame:
@@ -50,8 +52,7 @@ def tx(spark: SparkSession, sf_dir: str, recognised_only: bool = False) -> DataF
     e = _events(spark, sf_dir)
     if recognised_only:
         e = e.where(F.col("event_type").isin(*tb.event_types_for(OUT_CODES + IN_CODES)))
-    # string formatting and parsing per row: spread a single-split scan over the cores first
-    return classify_dc(tb.events_as_dc(tb.spread_small_scan(e)))
+    return classify_dc(tb.events_as_dc(e))
 
 
 # ---------------------------------------------------------------- parsing
@@ -60,31 +61,77 @@ def q_parse_props(spark, sf_dir):
     return _events(spark, sf_dir).select("event_id", tb.props_k().alias("k"))
 
 
+def _envelope(kind: str, send_time, data):
+    return F.to_json(F.struct(F.lit(kind).alias("type"), send_time.alias("send_time"),
+                              data.alias("data"))).alias("value")
+
+
 @query("src_json_lines")
 def q_src_json_lines(spark, sf_dir):
-    """events -> DC envelope JSON lines -> parsed back with the envelope parser."""
-    dc = tb.events_as_dc(tb.spread_small_scan(_events(spark, sf_dir)))
-    data = F.struct(F.col("act_nbr").alias("BTSACTNBR"), F.col("ccy_cod").alias("BTSCCYNBR"),
-                    F.col("brn").alias("BTSBRNGLG"), F.col("reg_tim").alias("BTSREGTIM"),
-                    F.col("trs_amt").alias("BTSTRSAMT"), F.col("code").alias("BTSTXTC2G"))
-    lines = dc.select("seq", F.to_json(F.struct(F.lit("DigitCurrency").alias("type"),
-                                                 F.col("reg_tim").alias("send_time"),
-                                                 data.alias("data"))).alias("value"))
-    parsed = parse_envelope(lines, "value", DC_DATA, rename={
-        "BTSACTNBR": "act_nbr", "BTSCCYNBR": "ccy_cod", "BTSBRNGLG": "brn",
-        "BTSREGTIM": "reg_tim", "BTSTRSAMT": "trs_amt", "BTSTXTC2G": "code"}, keep=["seq"])
-    return parsed
+    """events -> DC envelope JSON lines (all nine fields) -> parsed back with the envelope parser."""
+    dc = tb.events_as_dc(_events(spark, sf_dir)).withColumns({
+        "onl_bal": F.col("trs_amt"), "trs_dir": F.substring("code", 1, 1),
+        "rcd_ver": (F.col("seq") % 3).cast("string")})
+    data = F.struct(*[F.col(own).alias(wire) for wire, own in DC_RENAME.items()])
+    return parse_dc(dc.select("seq", _envelope("DigitCurrency", F.col("reg_tim"), data)), keep=["seq"])
+
+
+@query("src_fc_lines")
+def q_src_fc_lines(spark, sf_dir):
+    """events -> FC envelope JSON lines -> parsed back."""
+    fc = tb.events_as_fc(_events(spark, sf_dir))
+    data = F.struct(F.col("act_nbr").alias("ACT_NBR"), F.col("ccy_cod").alias("CCY_NBR"),
+                    F.col("amt").cast("string").alias("TRX_AMT"), F.col("dir").alias("BOK_DIR"))
+    return parse_fc(fc.select("seq", _envelope("FlowCenter", F.lit("now"), data)), keep=["seq"])
+
+
+@query("src_act_lines")
+def q_src_act_lines(spark, sf_dir):
+    """lineitem -> ACT envelope JSON lines, with ``data`` as escaped JSON text -> parsed back."""
+    act = tb.lineitem_as_act(tb.load_table(spark, sf_dir, "lineitem"))
+    fields = {"type": "typ", "ACTNBR": "act_nbr", "CCYNBR": "ccy_nbr", "BRNGLG": "ccy_nbr",
+              "REGTIM": "reg_tim", "TRSAMT": "amt", "TRSDIR": "dir", "PRDCOD": "cod",
+              "RCVEAC": "rcv", "PRCSTS": "sts"}
+    data = F.to_json(F.struct(*[F.col(own).cast("string").alias(wire) for wire, own in fields.items()]))
+    lines = act.select("l_orderkey", "l_linenumber", _envelope("Act", F.lit("now"), data))
+    return parse_act(lines, keep=["l_orderkey", "l_linenumber"])
+
+
+@query("src_order_lines")
+def q_src_order_lines(spark, sf_dir):
+    """events -> order log CSV lines -> parsed back, with the event time from epoch seconds."""
+    o = tb.events_as_orders(_events(spark, sf_dir))
+    line = F.concat_ws(",", F.col("order_id").cast("string"), "event_type", F.concat(
+        F.lit(" t"), F.col("seq")), F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
+    parsed = parse_csv_lines(o.select(line.alias("value")), ORDER_EVENT)
+    return parsed.withColumn("ts", epoch_to_ts("event_time", "s").cast("timestamp_ntz"))
+
+
+@query("src_device_lines")
+def q_src_device_lines(spark, sf_dir):
+    """events -> device CSV lines -> parsed back, with the event time from epoch milliseconds."""
+    d = _devices(spark, sf_dir)
+    line = F.concat_ws(", ", "id", F.col("value").cast("string"),
+                       F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))
+    return parse_devices(d.select(line.alias("value"))).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("text_scalars")
+def q_text_scalars(spark, sf_dir):
+    """Time text -> timestamp, and the shape of the random identifiers."""
+    e = _events(spark, sf_dir).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("text"),
+                                      uuid_nodash().alias("u"))
+    return e.select("event_id", str_to_ts("text").cast("timestamp_ntz").alias("ts"),
+                    F.col("u").rlike("^[0-9a-f]{32}$").alias("is_uuid"))
 
 
 @query("src_csv_lines")
 def q_src_csv_lines(spark, sf_dir):
-    """events -> padded CSV lines of the user-behaviour feed -> parsed back by position.
+    """events -> padded CSV lines of the user-behaviour feed -> parsed back in schema order.
 
     user = user_id, item = event_id, category = props.k, behaviour = event type, time = epoch s.
     """
-    from .functions.parse import epoch_to_ts, parse_csv_lines
-    from .schemas import USER_BEHAVIOR
-    e = tb.spread_small_scan(_events(spark, sf_dir))
+    e = _events(spark, sf_dir)
     line = F.concat_ws(",", *[F.concat(F.lit(" "), c.cast("string"), F.lit(" ")) for c in (
         F.col("user_id"), F.col("event_id"), tb.props_k(), F.col("event_type"),
         F.unix_seconds(F.col("ts").cast("timestamp")))])
@@ -121,7 +168,7 @@ def q_dc_tumbling_sum(spark, sf_dir):
 
 @query("dc_tumbling_unmatched")
 def q_dc_tumbling_unmatched(spark, sf_dir):
-    """As dc_tumbling_sum, keeping unrecognised codes as one null-direction group with sum 0."""
+    """As dc_tumbling_sum, keeping unrecognised codes as one null-key group per window with sum 0."""
     return flows.dc_tumbling_sum(tx(spark, sf_dir), "1 hour", time_col="ts", keep_unmatched=True)
 
 
@@ -144,7 +191,7 @@ def q_dc_running_total(spark, sf_dir):
 @query("fc_anti")
 def q_fc_anti(spark, sf_dir):
     fc = tb.events_as_fc(_events(spark, sf_dir))
-    excl = tb.exclusion_list(tb.read_only_table(spark, sf_dir, "customer"))
+    excl = tb.exclusion_list(tb.load_table(spark, sf_dir, "customer"))
     return lookup.anti_filter(fc, excl)
 
 
@@ -196,7 +243,18 @@ def q_uv_bitmap(spark, sf_dir):
 
 @query("uv_approx")
 def q_uv_approx(spark, sf_dir):
-    return behavior.uv_approx(_views(spark, sf_dir), "ts", "user_id", "1 hour")
+    """HyperLogLog++ per window, held against the exact count: within 3 percent, or off by one."""
+    v = _views(spark, sf_dir)
+    keys = ["window_start", "window_end"]
+    both = behavior.uv_approx(v, "ts", "user_id", "1 hour").withColumnRenamed("uv", "approx").join(
+        behavior.uv_exact(v, "ts", "user_id", "1 hour"), keys)
+    off = F.abs(F.col("approx") - F.col("uv"))
+    return both.select(*keys, (off <= F.greatest(0.03 * F.col("uv"), F.lit(1.0))).alias("near"))
+
+
+@query("uv_last")
+def q_uv_last(spark, sf_dir):
+    return behavior.window_last(_views(spark, sf_dir), "ts", "1 hour", "user_id")
 
 
 @query("uv_running")
@@ -290,6 +348,13 @@ def q_late_split(spark, sf_dir):
     return late
 
 
+@query("late_split_delay")
+def q_late_split_delay(spark, sf_dir):
+    _, late = lateness.late_split(_delayed(spark, sf_dir), "ets", "event_id", "1 hour",
+                                  delay="30 minutes")
+    return late
+
+
 @query("on_time_counts")
 def q_on_time_counts(spark, sf_dir):
     on_time, _ = lateness.late_split(_delayed(spark, sf_dir), "ets", "event_id", "1 hour")
@@ -305,7 +370,7 @@ ACT_COLS = ("l_orderkey", "l_linenumber", "typ", "act_nbr", "ccy_nbr", "reg_tim"
 
 
 def _act(spark, sf_dir):
-    return tb.lineitem_as_act(tb.read_only_table(spark, sf_dir, "lineitem"))
+    return tb.lineitem_as_act(tb.load_table(spark, sf_dir, "lineitem"))
 
 
 def _act_branches():
@@ -350,13 +415,11 @@ def q_act_rejected_union(spark, sf_dir):
 # ---------------------------------------------------------------- offset ledger
 @query("offset_ledger")
 def q_offset_ledger(spark, sf_dir):
-    """Two batches of event offsets (partition = user % 8) plus a replay of part of the first."""
+    """Two batches of event offsets (partition = user % 8) plus a replay of part of the first. The
+    batches are cut by offset, so every row is in one of them whatever its time."""
     e = _events(spark, sf_dir).select(F.lit("events").alias("topic"),
                                       (F.col("user_id") % 8).cast("int").alias("partition"),
-                                      F.col("event_id").alias("offset"), "ts")
-    cut, replay_from = F.lit("2024-01-16").cast("timestamp_ntz"), \
-        F.lit("2024-01-10").cast("timestamp_ntz")
-    first = e.where(F.col("ts") < cut)
-    second = e.where(F.col("ts") >= cut).unionByName(
-        e.where((F.col("ts") >= replay_from) & (F.col("ts") < cut)))
+                                      F.col("event_id").alias("offset"))
+    first = e.where("offset % 4 < 2")
+    second = e.where("offset % 4 >= 2").unionByName(e.where("offset % 4 = 1"))
     return ledger.advance(ledger.advance(None, first), second)

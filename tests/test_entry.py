@@ -7,11 +7,12 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_except_approximate():
+def test_every_query_has_an_oracle():
+    from ledgerflow import oracles, workloads
     q, o = se.queries(), se.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"uv_approx"}
-    assert len(q) >= 36
+    assert set(o) <= set(q) and set(workloads.REGISTRY) <= set(q)
+    assert set(workloads.REGISTRY) == set(oracles.ORACLES)
+    assert len(workloads.REGISTRY) >= 43
 
 
 def test_scale_conf():

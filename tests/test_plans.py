@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from ledgerflow.plans import broadcast_if_bounded, running, sliding_aggregate
+from ledgerflow.plans import running, sliding_aggregate
 from ledgerflow.sources import tables as tb
 
 
@@ -77,10 +77,3 @@ def test_ranges_block_length_does_not_change_result(spark):
         got = sliding_aggregate(e, "ts", "1 hour", "5 minutes", ["event_type"], method="ranges",
                                 block=block)
         assert sorted(tuple(r) for r in got.collect()) == want, block
-
-
-def test_broadcast_guard(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in str(broadcast_if_bounded(small, 10)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(broadcast_if_bounded(big, 10)._jdf.queryExecution().logical()).lower()
