@@ -26,7 +26,8 @@ from .sources.feeds import read_csv_feed, source
 
 def _lines(spark, a):
     opts = {"text": {"path": a.path, "max_files_per_trigger": a.max_files},
-            "kafka": {"bootstrap": a.bootstrap, "topic": a.topic, "starting": a.starting},
+            "kafka": {"bootstrap": a.bootstrap, "topic": a.topic, "starting": a.starting,
+                      "group_prefix": "ledgerflow"},
             "socket": {"host": a.host, "port": a.port}}[a.source]
     return source(spark, a.source, **opts)
 
@@ -64,13 +65,14 @@ def main(argv=None) -> int:
                        F.col("event_time").alias("seq"))
         q = S.start(S.order_pattern_stream(o, within=a.within), "orders", a.checkpoint,
                     fmt="parquet", trigger=trig, path=a.out)
-    else:  # marks: "name,mark" lines
+    else:  # marks: "name,mark,seq" lines, or "name,mark" from Kafka
         lines = _lines(spark, a)
-        # arrival order: the Kafka offset; otherwise the order rows are delivered in (the state
-        # functions sort stably, and carry the running values from one batch to the next)
-        seq = F.col("offset") if "offset" in lines.columns else F.lit(0).cast("long")
-        m = lines.select(F.from_csv("value", "name STRING, mark DOUBLE").alias("r"),
-                         seq.alias("seq")).select("r.*", "seq")
+        # running averages need an order: Kafka's offset, which orders the records of one partition
+        # (key the topic by name, so that a name's records are in one), or else a sequence field
+        m = lines.select("*", F.from_csv("value", "name STRING, mark DOUBLE, seq BIGINT").alias("r"))
+        seq = F.col("offset") if "offset" in lines.columns else F.coalesce(
+            "r.seq", F.raise_error(F.lit("a mark line without a sequence field has no order")))
+        m = m.select("r.name", "r.mark", seq.cast("long").alias("seq"))
         q = S.start(S.running_average_stream(m, threshold=a.threshold), "marks", a.checkpoint,
                     fmt="parquet", trigger=trig, path=a.out)
     q.awaitTermination()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import BITMAP_BITS, HASH_SEED, poly_hash
-from ..plans.panes import sliding_aggregate
+from ..plans.panes import interval_us, sliding_aggregate
 from ..plans.prefix import GROUP, running
 
 DEFAULT_BLOCK_ROWS = 1 << 20
@@ -88,7 +88,7 @@ def uv_bitmap(views: DataFrame, ts: str, user: str, size: str, seed: int = HASH_
               cap: int = BITMAP_BITS) -> DataFrame:
     """Distinct hashed users per window with Spark bitmaps (one-hash Bloom filter count).
 
-    Bitmaps are built per ``(window, bitmap bucket)`` -- a bitmap covers 32 768 positions -- so the
+    Bitmaps are built per ``(window, bitmap bucket)`` -- a bitmap covers 32 768 bits -- so the
     state per group stays small and the buckets spread over tasks; counts are summed per window.
     """
     h = poly_hash(F.col(user).cast("string"), seed, cap)
@@ -112,7 +112,7 @@ def uv_running(views: DataFrame, ts: str, user: str, size: str, seq: str = "seq"
 
     A user's first view in a window adds one; the running count is a blocked prefix sum over the
     window's arrivals, so a busy window is spread over tasks. ``hashed=True`` counts distinct
-    ``poly_hash`` bit positions instead (the bitmap job's notion of a new user: its bit was unset).
+    ``poly_hash`` bit indexes instead (the bitmap job's notion of a new user: its bit was unset).
     """
     ident = poly_hash(F.col(user).cast("string")) if hashed else F.col(user)
     d = views.select(F.window(ts, size).start.alias("window_start"),
@@ -157,22 +157,18 @@ def window_last(df: DataFrame, ts: str, size: str, value: str, seq: str = "seq")
 
 
 def window_contents(df: DataFrame, key: str, ts: str, size: str, seq: str = "seq",
-                    block: str = "1 minute", cols: Sequence[str] = ("value",)) -> DataFrame:
-    """All elements of each (key, tumbling window), in (time, arrival) order, as positioned rows.
+                    block: str = "1 hour", cols: Sequence[str] = ("value",)) -> DataFrame:
+    """All elements of each (key, tumbling window), in (time, arrival) order, as ranked rows.
 
     The list is kept in long form (one row per element with its 1-based ``pos``) rather than
-    collected into one value, so no group is ever materialised in one task; positions come from
+    collected into one value, so no group is ever materialised in one task; ranks come from
     a blocked prefix count with ``block``-long time blocks.
     """
     d = df.select(key, F.window(ts, size).start.alias("window_start"),
                   F.window(ts, size).end.alias("window_end"), ts, seq, *cols)
     blk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) /
-                  F.lit(int(_interval_us(block))))
+                  F.lit(interval_us(block)))
     r = running(d, [key, "window_start"], [F.col(ts), F.col(seq)], blk,
                 {"pos": ("count", F.lit(1))})
     return r.select(key, "window_start", "window_end", "pos", seq, ts, *cols)
 
-
-def _interval_us(text: str) -> float:
-    from ..plans.panes import interval_seconds
-    return interval_seconds(text) * 1_000_000

@@ -23,6 +23,15 @@ def with_processing_time(df: DataFrame, col: str = "proc_ts") -> DataFrame:
     return df.withColumn(col, F.current_timestamp())
 
 
+def grouped_aggregate(df: DataFrame, keys: Sequence[str], fn: Callable[..., object],
+                      cols: Sequence[str], return_type: str, name: str = "value") -> DataFrame:
+    """User-defined aggregate: ``fn`` gets the group's columns ``cols`` as pandas Series and returns one
+    value of ``return_type``. One call sees one whole group; where the aggregate is a sum, count, max
+    or the like, use the built-in functions, which are combined before the shuffle."""
+    udaf = F.pandas_udf(fn, return_type, F.PandasUDFType.GROUPED_AGG)
+    return df.groupBy(*keys).agg(udaf(*[F.col(c) for c in cols]).alias(name))
+
+
 def window_apply(df: DataFrame, keys: Sequence[str], ts: str, size: str,
                  fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                  slide: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.panes import interval_seconds
+from ..plans.panes import interval_us
 from ..plans.prefix import running
 
 DEFAULT_BLOCK_ROWS = 1 << 20
@@ -34,9 +34,9 @@ def with_watermark_before(df: DataFrame, ts: str, arrival: str,
 def late_flag(df: DataFrame, ts: str, arrival: str, size: str, slide: str | None = None,
               delay: str = "0 seconds", **kw) -> DataFrame:
     """Add ``window_end`` (of the latest window holding the row) and boolean ``is_late``."""
-    delay_us = int(interval_seconds(delay) * 1_000_000)
+    delay_us = interval_us(delay)
     w = F.window(ts, slide or size)  # latest window containing ts starts at its slide bucket
-    last_end = w.start + F.expr(f"INTERVAL {int(interval_seconds(size))} SECONDS") \
+    last_end = w.start + F.expr(f"INTERVAL {interval_us(size)} MICROSECONDS") \
         if slide else w.end
     d = with_watermark_before(df, ts, arrival, **kw).withColumn("window_end", last_end)
     # Late iff window_end - 1 ms <= max_before - delay; an ascending watermark (delay 0) is

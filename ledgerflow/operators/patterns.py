@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.panes import interval_seconds
+from ..plans.panes import interval_us
 from ..plans.prefix import running
 
 # Result labels of the order-pay pattern.
@@ -22,7 +22,7 @@ TIMEOUT = "timeout"
 
 
 def next_follow(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", block: str = "1 minute") -> DataFrame:
+                ts: str = "ts", seq: str = "seq", block: str = "1 hour") -> DataFrame:
     """One row per ``first`` event with the time and arrival of the next ``then`` event
     (``next_ts``/``next_seq``, null when there is none) and ``matched`` (next within the limit).
 
@@ -31,8 +31,8 @@ def next_follow(df: DataFrame, key: str, kind: str, first: str, then: str, withi
     a hot key is spread over its blocks and no pairs are formed. The block length does not change
     the result.
     """
-    lim_us = int(interval_seconds(within) * 1_000_000)
-    blk_us = int(interval_seconds(block) * 1_000_000)
+    lim_us = interval_us(within)
+    blk_us = interval_us(block)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     d = df.select(key, kind, ts, seq)
     cand = F.when(F.col(kind) == then, F.struct(F.col(ts).alias("t"), F.col(seq).alias("s")))
@@ -55,7 +55,7 @@ def drop_late_rows(df: DataFrame, ts: str = "ts", seq: str = "seq") -> DataFrame
 
 
 def followed_by(df: DataFrame, key: str, kind: str, first: str, then: str, within: str,
-                ts: str = "ts", seq: str = "seq", block: str = "1 minute",
+                ts: str = "ts", seq: str = "seq", block: str = "1 hour",
                 strict_late: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(matches, timeouts)``.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.panes import interval_seconds
+from ..plans.panes import interval_us
 from ..plans.prefix import running
 
 
@@ -26,10 +26,10 @@ def early_firing(df: DataFrame, key: str, ts: str, size: str, interval: str,
     One aggregate per (key, window, tick) and one window pass over the ticks (at most
     size / interval per window, bounded by time) yield both the early rows and the final row.
     """
-    iv = int(interval_seconds(interval))
+    iv = interval_us(interval)
     w = F.window(ts, size)
-    tick_free = F.timestamp_seconds(
-        (F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / iv) + 1) * iv).cast(
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    tick_free = F.timestamp_micros(us - F.pmod(us, F.lit(iv)) + F.lit(iv)).cast(
         df.schema[ts].dataType)
     d = df.select(key, w.start.alias("window_start"), w.end.alias("window_end"), ts, value)
     d = d.withColumn("fire_time", F.least(tick_free, F.col("window_end")))
@@ -52,18 +52,18 @@ def early_firing(df: DataFrame, key: str, ts: str, size: str, interval: str,
 
 
 def count_firing(df: DataFrame, key: str, ts: str, size: str, n: int, value: str = "value",
-                 seq: str = "seq", block: str = "1 minute") -> DataFrame:
+                 seq: str = "seq", block: str = "1 hour") -> DataFrame:
     """Fire every ``n`` elements of a (key, tumbling window), accumulating (fire, no purge).
 
-    The k-th firing happens at the element in position k*n (time, then arrival order) and covers
-    positions 1..k*n; a trailing partial group does not fire. One blocked prefix scan gives every
-    element its position, running sum and running max; the firing rows are the elements whose
-    position is a multiple of ``n``. Output: ``fire_no``, ``cum_count``, ``cum_sum``,
+    The k-th firing happens at the element of rank k*n (by time, then arrival) and covers
+    ranks 1..k*n; a trailing partial group does not fire. One blocked prefix scan gives every
+    element its rank, running sum and running max; the firing rows are the elements whose
+    rank is a multiple of ``n``. Output: ``fire_no``, ``cum_count``, ``cum_sum``,
     ``cum_max`` of ``value``.
     """
     w = F.window(ts, size)
     d = df.select(key, w.start.alias("window_start"), w.end.alias("window_end"), ts, seq, value)
-    blk = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(int(interval_seconds(block))))
+    blk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(interval_us(block)))
     r = running(d, [key, "window_start"], [F.col(ts), F.col(seq)], blk,
                 {"pos": ("count", F.lit(1)), "cum_sum": ("sum", F.col(value)),
                  "cum_max": ("max", F.col(value))})

@@ -1,6 +1,5 @@
-"""User-level plan shapes that keep work distributed: blocked prefix scans, sliding-window panes,
-time-bucketed range joins and size-checked broadcasts. No Catalyst rules are involved: each is a
-composition of DataFrame operators that Catalyst plans as usual."""
+"""User-level plan shapes that keep work distributed: blocked prefix scans, sliding-window panes
+and time-bucketed range joins. No Catalyst rules are involved: each is a composition of DataFrame operators that Catalyst plans as usual."""
 
 from .guards import materialize
 from .panes import sliding_aggregate

@@ -32,12 +32,21 @@ from pyspark.sql import types as T
 from .prefix import running
 
 _UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
-          "day": 86400, "days": 86400, "millisecond": 0.001, "milliseconds": 0.001}
+          "day": 86400, "days": 86400, "millisecond": 0.001, "milliseconds": 0.001,
+          "microsecond": 0.000001, "microseconds": 0.000001}
+
+
+def interval_us(text: str) -> int:
+    """Microseconds of an interval text such as ``500 milliseconds`` or ``1 hour 30 minutes``."""
+    parts = text.split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {text!r}")
+    return sum(round(float(n) * _UNITS[unit.lower()] * 1_000_000)
+               for n, unit in zip(parts[::2], parts[1::2]))
 
 
 def interval_seconds(text: str) -> float:
-    n, unit = text.split()
-    return float(n) * _UNITS[unit.lower()]
+    return interval_us(text) / 1_000_000
 
 
 def _iv(us: int) -> Column:
@@ -140,7 +149,7 @@ def _by_ranges(panes, keys, sums, size_us, slide_us, ts_type, block_us=None):
     rows = rows.select("*", F.floor(pos / blk_us).alias("_home"),
                        F.explode(F.sequence(F.floor(lo / blk_us), F.floor(hi / blk_us))).alias("_blk"))
     rows = rows.repartition(GROUP, "_blk")
-    # same (key, block, position, kind) from several panes: merge (no shuffle: already clustered)
+    # same (key, block, time, kind) from several panes: merge (no shuffle: already clustered)
     # (the key columns depend on the group struct; listing them keeps a hash aggregate)
     merged = rows.groupBy(GROUP, "_blk", "pos", "kind", *keys).agg(
         F.max((F.col("_home") == F.col("_blk")).cast("int")).alias("home"), F.sum("n").alias("n"),

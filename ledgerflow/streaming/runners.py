@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.parse import classify_dc, parse_dc, parse_fc, recognised, with_rejects
 from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
-from ..plans.panes import interval_seconds
+from ..plans.panes import interval_us
 from ..session import scratch_path
 from .state import (CONTENTS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, UV_OUTPUT, UV_STATE,
                     contents_state_fn, count_schemas, count_state_fn, marks_schemas, marks_state_fn,
@@ -155,7 +155,7 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
     rewrites the same output.
     """
     hwm_root = os.path.join(out_root, "_hwm")
-    delay_us = int(interval_seconds(delay) * 1_000_000)
+    delay_us = interval_us(delay)
 
     def per_batch(bdf: DataFrame, batch_id: int):
         with _cached(bdf) as bdf:
@@ -279,7 +279,7 @@ def sliding_count_stream(df: DataFrame, ts: str, size: str, slide: str, keys: Se
 def uv_bitmap_stream(views: DataFrame, ts: str, user: str, size: str,
                      delay: str = "0 seconds") -> DataFrame:
     """Bitmap distinct users per tumbling window on a stream (append mode): a bitmap per
-    (window, bitmap bucket) of the users' ``poly_hash`` positions, then the set bits summed per
+    (window, bitmap bucket) of the users' ``poly_hash`` bit indexes, then the set bits summed per
     window -- two chained stateful aggregations, each group's state a fixed-size bitmap."""
     from ..functions.hashing import poly_hash
     v = event_time(views, ts).withWatermark(ts, delay)
@@ -343,7 +343,7 @@ def order_pattern_stream(orders: DataFrame, key: str = "order_id", kind: str = "
     under that result label. The key may be of any type with a text form. One stream and one watermark, so no multiple-watermark policy
     question arises.
     """
-    within_us = int(interval_seconds(within) * 1_000_000)
+    within_us = interval_us(within)
     o = event_time(orders, ts).withWatermark(ts, delay).select(
         F.col(key).cast("string").alias("key"), F.col(kind).alias("kind"),
         F.unix_micros(F.col(ts)).alias("us"), F.col(seq).cast("long").alias("seq"),
@@ -374,7 +374,7 @@ def running_average_stream(marks: DataFrame, name: str = "name", mark: str = "ma
     d = marks.select(F.col(name).cast("string").alias("name"), F.col(seq).cast("long").alias("seq"),
                      _units(mark, scale).alias("units"))
     limit = None if threshold is None else Fraction(str(threshold)) * 10 ** (scale or 0)
-    expire_ms = int(interval_seconds(expire) * 1000) if expire else None
+    expire_ms = interval_us(expire) // 1000 if expire else None
     out_schema, state_schema = marks_schemas(scale is not None)
     out = d.groupBy("name").applyInPandasWithState(
         marks_state_fn(limit, expire_ms), out_schema, state_schema, "append",
@@ -512,7 +512,7 @@ def count_trigger_stream(df: DataFrame, key: str, ts: str, size: str, n: int,
     element (in arrival order) with ``fire_no``, ``cum_count``, ``cum_sum`` and ``cum_max`` of
     ``value`` (exact, in the scale of ``value``). Rows of a window count while it is open, in
     whatever time order they come. Append mode; window state is dropped after its end."""
-    size_us = int(interval_seconds(size) * 1_000_000)
+    size_us = interval_us(size)
     scale = _scale(df, value)
     d = _by_window(df, key, ts, size, seq, delay, _units(value, scale).alias("units"))
     out_schema, state_schema = count_schemas(scale is not None)
@@ -530,7 +530,7 @@ def window_contents_stream(df: DataFrame, key: str, ts: str, size: str, value: s
     """Window contents (A12) on a stream, long form: every element with its arrival rank in its
     (key, tumbling window), emitted as it arrives (append), ``value`` unchanged. Rows of a window
     are taken while it is open, in whatever time order they come."""
-    size_us = int(interval_seconds(size) * 1_000_000)
+    size_us = interval_us(size)
     d = _by_window(df, key, ts, size, seq, delay, F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
                    F.col(value).alias("value"))
     columns = ["key", "window_start_us", "seq", "us", "value"]
@@ -551,7 +551,7 @@ def uv_first_sight_stream(views: DataFrame, ts: str, user: str, size: str, seq:
     then a counter: all state is bounded by the watermark, none holds a user set. With ``buckets``
     above 1 a busy window is spread: ``uv`` then counts within the row's ``bucket`` of users, and a
     window's number of users is the sum of the largest ``uv`` of its buckets."""
-    size_us = int(interval_seconds(size) * 1_000_000)
+    size_us = interval_us(size)
     v = event_time(views, ts).withWatermark(ts, delay)
     # the window is the one event-time column carried on
     firsts = v.select(F.window(ts, size).alias("w"), F.col(user).cast("string").alias("user_id"),

@@ -19,7 +19,6 @@ from .functions.parse import (DC_RENAME, IN_CODES, OUT_CODES, classify_dc, epoch
                               uuid_nodash)
 from .operators import (behavior, cells, flows, joins, lateness, ledger, lookup, patterns, routing,
                         triggers)
-from .plans.guards import materialize
 from .schemas import ORDER_EVENT, USER_BEHAVIOR
 from .sources import tables as tb
 
@@ -213,9 +212,8 @@ def q_running_avg(spark, sf_dir):
 
 @query("purge_segments")
 def q_purge_segments(spark, sf_dir):
-    # two dependent prefix scans: checkpoint the first (shared checkpoint folder) so the second
-    # reads it instead of recomputing it for its block totals
-    avgs = materialize(behavior.running_average(_marks(spark, sf_dir), with_block=True))
+    # two dependent prefix scans over the same (name, block) partitioning, in one plan
+    avgs = behavior.running_average(_marks(spark, sf_dir), with_block=True)
     return behavior.purge_segments(avgs, threshold=80)
 
 

@@ -32,3 +32,36 @@ def test_source_argument_errors(spark):
         source(spark, "socket", streaming=False, host="localhost", port=1)
     with pytest.raises(ValueError):
         source(spark, "nope")
+
+
+def test_kafka_options_without_a_broker():
+    from ledgerflow.sources.feeds import kafka_options, offsets_json
+    stream = kafka_options("h:1", "t", max_per_trigger=15, group_prefix="g", **{"kafka.client.id": "c"})
+    assert stream == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest",
+                      "failOnDataLoss": "true", "maxOffsetsPerTrigger": "15", "groupIdPrefix": "g",
+                      "kafka.client.id": "c"}
+    text = offsets_json([{"topic": "t", "partition": 1, "next_offset": 7}])
+    assert text == '{"t": {"1": 7}}'
+    batch = kafka_options("h:1", "t", streaming=False, starting=text, ending="latest",
+                          fail_on_data_loss=False)
+    assert batch["startingOffsets"] == text and batch["endingOffsets"] == "latest"
+    assert batch["failOnDataLoss"] == "false" and "maxOffsetsPerTrigger" not in batch
+    for bad in ({"ending": "latest"}, {"streaming": False, "starting": "latest"}):
+        with pytest.raises(ValueError):
+            kafka_options("h:1", "t", **bad)
+
+
+def test_interval_texts():
+    from ledgerflow.plans.panes import interval_us
+    assert interval_us("500 milliseconds") == 500_000
+    assert interval_us("1 hour 30 minutes") == 5_400_000_000
+    with pytest.raises(ValueError):
+        interval_us("hour")
+
+
+def test_grouped_aggregate_extension_point(spark):
+    from ledgerflow.operators.custom import grouped_aggregate
+    df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 3.0, 4.0), ("b", 5.0, 6.0)], "k string, x double, y double")
+    got = {r.k: r.value for r in grouped_aggregate(
+        df, ["k"], lambda x, y: float((x * y).sum()), ["x", "y"], "double").collect()}
+    assert got == {"a": 14.0, "b": 30.0}
