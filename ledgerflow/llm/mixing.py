@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -93,11 +95,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it (rows not taken are left out).
 
-    All columns stay, whatever their names. Only the one-row-per-source table of rates is joined.
+    All columns stay, whatever their names. The rates, one row per source, are written as a table
+    first: the planner then knows their size in bytes and broadcasts them if it is below the session's
+    threshold, so that texts are not shuffled by source.
     """
     sizes = docs.select(F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
-    rates = source_rates(sizes, **options).select(F.col("source").alias("_llm_of"),
-                                                  F.col("rate").alias("_llm_rate"))
+    rates = stored(source_rates(sizes, **options), "rates").select(
+        F.col("source").alias("_llm_of"), F.col("rate").alias("_llm_rate"))
     n = copies(F.col("_llm_rate"), F.col(id_col))
     return (docs.join(rates, F.col(source_col).eqNullSafe(F.col("_llm_of")))
             .withColumn("_llm_copy", F.explode(F.array_repeat(F.lit(0), n.cast("int"))))
