@@ -84,13 +84,19 @@ class FmIndex:
     def __init__(self, vocabulary, first, lcp, low, window, wavelet: Wavelet):
         self.vocabulary, self.first, self.lcp, self.low = vocabulary, first, lcp, low
         self.window, self.wavelet, self.n = window, wavelet, len(lcp) - 1
+        self.counts = np.diff(np.append(first, self.n))
         symbols = np.arange(len(first))
         self.base = self.first - wavelet.down(symbols, np.zeros(len(first), dtype="i8"))
-        self.levels = [lcp[:self.n].astype("i4")]  # minima of runs of 1, 2, 4, ... of lcp
-        while 1 << len(self.levels) <= self.n:
-            half = 1 << (len(self.levels) - 1)
-            last = self.levels[-1]
-            self.levels.append(np.minimum(last[:-half], last[half:]))
+        # per length below the window, the interval of the suffixes that agree in so many words
+        self.lows = np.zeros((window, self.n), dtype="i4")
+        self.highs = np.full((window, self.n), self.n, dtype="i4")
+        places = np.arange(self.n, dtype="i4")
+        for length in range(1, window):
+            new = lcp[:self.n] < length
+            new[0] = True
+            self.lows[length] = np.maximum.accumulate(np.where(new, places, 0))
+            ends = np.append(np.where(new, places, self.n)[1:], self.n)
+            self.highs[length] = np.minimum.accumulate(ends[::-1])[::-1]
 
     @classmethod
     def build(cls, pieces: list, docs: list, window: int) -> FmIndex:
@@ -134,20 +140,11 @@ class FmIndex:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == hashes, at + 2, -1)
 
-    def shorter(self, lo, hi):
-        """The smallest enclosing interval of a shorter match: (lo, hi, length)."""
-        length = np.maximum(self.lcp[lo], self.lcp[hi]).astype("i8")
-        for j in range(len(self.levels) - 1, -1, -1):
-            size, runs = 1 << j, self.levels[j]
-            can = lo >= size
-            ok = can.copy()
-            ok[can] = runs[lo[can] - size + 1] >= length[can]
-            lo = np.where(ok, lo - size, lo)
-            can = hi + size <= self.n
-            ok = can.copy()
-            ok[can] = runs[hi[can]] >= length[can]
-            hi = np.where(ok, hi + size, hi)
-        return lo, hi, length
+    def extend(self, symbol, lo, hi):
+        """The intervals of the matches with ``symbol`` put before them; empty where there is none."""
+        both = self.wavelet.down(np.concatenate([symbol, symbol]), np.concatenate([lo, hi]))
+        base = self.base[symbol]
+        return both[:len(symbol)] + base, both[len(symbol):] + base
 
     def search(self, texts: list, report) -> None:
         """Matching statistics of many texts (arrays of word hashes), from right to left, all texts
@@ -169,16 +166,28 @@ class FmIndex:
             gone = np.flatnonzero(c < 0)
             lo[gone], hi[gone], length[gone] = 0, self.n, 0
             todo = np.flatnonzero(c >= 0)
-            while len(todo):
-                s = c[todo]
-                both = self.wavelet.down(np.concatenate([s, s]), np.concatenate([lo[todo], hi[todo]]))
-                new_lo, new_hi = both[:len(todo)] + self.base[s], both[len(todo):] + self.base[s]
+            new_lo, new_hi = self.extend(c[todo], lo[todo], hi[todo])
+            hit = new_lo < new_hi
+            at = todo[hit]
+            lo[at], hi[at], length[at] = new_lo[hit], new_hi[hit], length[at] + 1
+            # where the whole match cannot be extended, the longest part of it that can, by halving
+            todo = todo[~hit]
+            place, least, most = lo[todo], np.zeros(len(todo), dtype="i8"), length[todo] - 1
+            best_lo, best_hi = self.first[c[todo]], self.first[c[todo]] + self.counts[c[todo]]
+            open_ = np.flatnonzero(least < most)
+            while len(open_):
+                middle = (least[open_] + most[open_] + 1) // 2
+                new_lo, new_hi = self.extend(c[todo[open_]], self.lows[middle, place[open_]],
+                                             self.highs[middle, place[open_]])
                 hit = new_lo < new_hi
-                at = todo[hit]
-                lo[at], hi[at], length[at] = new_lo[hit], new_hi[hit], length[at] + 1
-                todo = todo[~hit]
-                if len(todo):
-                    lo[todo], hi[todo], length[todo] = self.shorter(lo[todo], hi[todo])
+                at = open_[hit]
+                least[at], best_lo[at], best_hi[at] = middle[hit], new_lo[hit], new_hi[hit]
+                most[open_[~hit]] = middle[~hit] - 1
+                open_ = np.flatnonzero(least < most)
+            lo[todo], hi[todo], length[todo] = best_lo, best_hi, least + 1
             full = np.flatnonzero(length[:live] >= self.window)
             if len(full):
                 report(names[full], lengths[full] - 1 - step, self.low[lo[full]])
+                # no longer match than the window is of use: go on with all but its last word
+                length[full] = self.window - 1
+                lo[full], hi[full] = self.lows[-1, lo[full]], self.highs[-1, lo[full]]

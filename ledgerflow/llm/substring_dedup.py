@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, rows, stored, utf8
 from .fm_index import FmIndex
-from .words import MIX, mixed, word_hashes
+from .words import grams, word_hashes
 
 WINDOW = 50
 GRAM = 16
@@ -39,23 +39,6 @@ HOT = 4096
 CHUNK = 256
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(MIX), -1, 1 << 64))
-    one = np.ones(1, dtype="u8")
-    return (np.concatenate([one, np.cumprod(np.full(n, MIX, dtype="u8"))]),
-            np.concatenate([one, np.cumprod(np.full(n, inverse, dtype="u8"))]))
-
-
-def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every run of ``n`` words, by differences of running sums."""
-    m = len(hashes) - n + 1
-    if m <= 0:
-        return np.zeros(0, dtype="u8")
-    up, down = _powers(len(hashes))
-    total = np.concatenate([np.zeros(1, dtype="u8"), np.cumsum(mixed(hashes) * up[:len(hashes)])])
-    return mixed((total[n:] - total[:m]) * down[:m] + np.uint64(n))
-
-
 def _running(x: np.ndarray, w: int, pick, fill: int) -> np.ndarray:
     """``pick`` (minimum or maximum) of x[i:i + w] for each i, in a few passes."""
     n = len(x)
@@ -68,7 +51,7 @@ def _running(x: np.ndarray, w: int, pick, fill: int) -> np.ndarray:
 def anchors(hashes: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> tuple:
     """(places, hashes) of the anchors of several documents whose words follow each other."""
     n = len(hashes)
-    runs = run_hashes(hashes, gram)
+    runs = grams(hashes, gram)
     w = window - gram + 1
     if len(runs) < w:
         return np.zeros(0, dtype="i8"), runs[:0]
@@ -82,22 +65,26 @@ def anchors(hashes: np.ndarray, lengths: np.ndarray, window: int, gram: int) ->
 
 
 def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(anchor, id, h, place)."""
+    """(anchor, id, h, place, lead): lead is 1 at an anchor's first place in a document, else 0."""
     def run(batches):
         for whole in batches:
             for b in rows(whole, 256):
-                own = [word_hashes(t.split()) for t in utf8(b.column(2))]
+                own = [word_hashes(t) for t in utf8(b.column(2))]
                 lengths = np.array([len(x) for x in own], dtype="i8")
                 places, found = anchors(np.concatenate(own), lengths, window, gram)
                 starts = np.cumsum(lengths) - lengths
                 doc = np.searchsorted(starts + lengths, places, side="right")
                 at = pa.array(doc)
+                order = np.lexsort((places, found, doc))
+                lead = np.ones(len(places), dtype="i4")
+                lead[order[1:]] = ((found[order[1:]] != found[order[:-1]])
+                                   | (doc[order[1:]] != doc[order[:-1]]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view("i8")), b.column(0).take(at), b.column(1).take(at),
-                     pa.array((places - starts[doc]).astype("i4"))],
-                    names=["anchor", "id", "h", "place"])
+                     pa.array((places - starts[doc]).astype("i4")), pa.array(lead)],
+                    names=["anchor", "id", "h", "place", "lead"])
 
-    return docs.mapInArrow(run, "anchor bigint, id bigint, h bigint, place int")
+    return docs.mapInArrow(run, "anchor bigint, id bigint, h bigint, place int, lead int")
 
 
 def _pieces(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -142,7 +129,7 @@ def build_indexes(pieces: DataFrame, shards: int, window: int = WINDOW) -> DataF
     """(shard, data): an FM-index per shard over the pieces of the first documents."""
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         texts = pdf.drop_duplicates(["id", "text"]).sort_values(["id", "text"])
-        index = FmIndex.build([word_hashes(t.split()) for t in texts["text"]], list(texts["id"]), window)
+        index = FmIndex.build([word_hashes(t) for t in texts["text"]], list(texts["id"]), window)
         return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "data": [index.dump()]})
 
     own = pieces.where("id = first").select(_shard(shards).alias("shard"), "id", "text")
@@ -171,7 +158,7 @@ def match_pieces(pieces: DataFrame, indexes: DataFrame, shards: int, salts: int,
         index = FmIndex.load(held["data"].iloc[0])
         asked = asked.reset_index(drop=True)
         code, texts = pd.factorize(asked["text"])
-        hashes = [word_hashes(t.split()) for t in texts]
+        hashes = [word_hashes(t) for t in texts]
         low = [np.full(max(0, len(x) - window + 1), np.iinfo("i8").max) for x in hashes]
         parts = [(i, at, part) for i, x in enumerate(hashes) for at, part in _chunks(x, window)]
         whose = np.array([p[0] for p in parts])
@@ -184,7 +171,7 @@ def match_pieces(pieces: DataFrame, indexes: DataFrame, shards: int, salts: int,
         base = np.cumsum(sizes) - sizes
         flat = np.concatenate(low)
         index.search([p[2] for p in parts], report)
-        runs = [run_hashes(x, window).view("i8") for x in hashes]
+        runs = [grams(x, window).view("i8") for x in hashes]
         for c, doc, h, start in zip(code, asked["id"], asked["h"], asked["start"]):
             found = flat[base[c]:base[c] + sizes[c]] < doc
             edge = np.flatnonzero(np.diff(np.concatenate([[0], found.view("i1"), [0]])))
@@ -219,7 +206,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      F.col(text_col).alias("text")))
     marked = stored(_anchor_rows(texts.select("id", "h", "text"), window, gram), "anchors")
     shared = (marked.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"),
-                                           F.count("*").alias("n")).where("first < last"))
+                                           F.sum("lead").alias("n")).where("first < last"))
     by_doc = (marked.join(shared.select("anchor", "first", "n"), "anchor").groupBy("id", "h")
               .agg(F.collect_list(F.struct("first", "place", "n")).alias("marks")))
     # repeated rows (same id and text) would give the same pieces again
