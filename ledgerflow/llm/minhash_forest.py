@@ -7,14 +7,16 @@ the signature; nodes with a long common prefix in a tree are candidates.
 * Regions of a tree are the runs with a common prefix of three values. With 20 trees on disjoint
   starts, two sets of similarity 0.75 miss every common region with probability (1 - 0.75^3)^20,
   about 2 in 100,000; the more similar, the less.
-* In a first pass each member of a region is checked against the region's smallest node. This
-  settles groups of copies, of any size, with one check per member, and no region is gathered.
+* In a first pass each member of a region is checked against one of them, the most central: the one
+  whose regions in all trees are the largest together, as is the text that copies were made from.
+  This settles groups of copies, of any size, with about one check per member, and no region is
+  gathered.
 * What is still in different groups within a region is paired next. Where that would be more than
   ``LEAF`` members, the region is cut by a longer prefix, again and again: the depth adapts to how
   crowded the order is there.
 
-Checks read the texts again: a smallest node's set is made once per task and compared with those
-that were sent to it, in portions of bounded size.
+The texts of documents with company in some region are kept as a table for the checks: a set is
+made once per task and compared with those that were sent to it, in portions of bounded size.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, rows, stored, utf8
-from .words import lower_words, shingles
+from .words import shingles
 
 HASHES = 60
 DEPTHS = (3, 5, 8, 13, 21, 34, 60)
@@ -54,7 +56,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches):
         for whole in batches:
             for b in rows(whole, 256):
-                sets = [shingles(lower_words(t), shingle) for t in utf8(b.column(1))]
+                sets = [shingles(t.lower(), shingle) for t in utf8(b.column(1))]
                 sizes = np.array([len(s) for s in sets], dtype="i8")
                 has = np.flatnonzero(sizes)
                 sig = np.zeros((len(sets), HASHES), dtype="i4")
@@ -84,11 +86,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def confirm(edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int,
-            shingle: int) -> DataFrame:
-    """The edges (a, b) whose documents are similar. The texts of up to ``PORTION`` b's meet the text
-    of their a in one place; an a with more of them is sent to several."""
-    bounded_batches(docs.sparkSession)
+def confirm(edges: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The edges (a, b) whose ``texts`` (node, text) are similar. The texts of up to ``PORTION`` b's
+    meet the text of their a in one place; an a with more of them is sent to several."""
+    bounded_batches(texts.sparkSession)
     kind = edges.select("a").schema[0].dataType.simpleString()
     portions = (edges.groupBy("a").agg(F.count("*").alias("n"))
                 .select("a", F.ceil(F.col("n") / PORTION).cast("int").alias("portions")))
@@ -98,7 +99,6 @@ def confirm(edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
              .unionAll(portions.select("a", F.col("a").alias("node"), F.lit(0).alias("role"),
                                        F.explode(F.sequence(F.lit(0), F.col("portions") - 1))
                                        .alias("portion"))))
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
     sent = (asked.join(texts, "node").repartition("a", "portion")
             .sortWithinPartitions("a", "portion", "role").select("a", "portion", "role", "node", "text"))
 
@@ -112,7 +112,7 @@ def confirm(edges: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
                 for key, role, node, text in zip(keys, roles, nodes, utf8(b.column(4))):
                     if key != place:
                         place, centres = key, []
-                    own = shingles(lower_words(text), shingle)
+                    own = shingles(text.lower(), shingle)
                     if role == 0:
                         centres.append(own)
                     elif any(similar(c, own, percent) for c in centres):
@@ -151,19 +151,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.xxhash64("tree", *_region(F.col("tree"), 0, DEPTHS[0])).alias("region"))
     crowd = regions.groupBy("region").agg(F.min("node").alias("low"), F.count("*").alias("n"),
                                           F.max("node").alias("high")).where("low < high")
-    regions = stored(regions.join(crowd.select("region", "low"), "region"), "regions")
-
-    first = regions.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    regions = stored(regions.join(crowd.select("region", "n"), "region"), "regions")
+    central = regions.groupBy("node").agg(F.sum("n").alias("weight"))
+    centres = (regions.join(central, "node").groupBy("region")
+               .agg(F.max(F.struct("weight", -F.col("node"))).alias("best"))
+               .select("region", (-F.col("best.col2")).alias("centre")))
+    regions = stored(regions.drop("n").join(centres, "region"), "centres")
+    texts = stored(docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
+                   .join(central.select("node"), "node", "left_semi"), "texts")
+
+    first = regions.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
     held = some.join(classes, "digest").select("id", "node")
     several = held.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     same_id = held.join(several, "id").where("a != node").select("a", F.col("node").alias("b"))
-    links = stored(confirm(first.distinct(), docs, id_col, text_col, percent, shingle)
+    links = stored(confirm(first.distinct(), texts, percent, shingle)
                    .unionAll(same_id.distinct()), "links")
     found = components(links)
 
     # pairs that are in one region but not yet in one group
     placed = (regions.join(found, "node", "left")
-              .select("node", "n_shingles", "tree", "region", "low",
+              .select("node", "n_shingles", "tree", "region", "centre",
                       F.coalesce("component", "node").alias("part")))
     sizes = nodes.select("node", "sig")
     level, pairs = placed, None
@@ -172,11 +179,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                              F.count("*").alias("n")).where("p < q"))
         level = stored(level.join(open_.select("region", "n"), "region"), "open")
         leaf = level if deeper is None else level.where(F.col("n") <= LEAF)
-        x = leaf.select("region", "node", "part", "n_shingles", "low")
+        x = leaf.select("region", "node", "part", "n_shingles", "centre")
         y = x.select("region", F.col("node").alias("node2"), F.col("part").alias("part2"),
                      F.col("n_shingles").alias("n2"))
         near = (x.join(y, "region")
-                .where("node < node2 AND part != part2 AND (low IS NULL OR node != low)")
+                .where("node < node2 AND part != part2")
+                .where("centre IS NULL OR (node != centre AND node2 != centre)")
                 .where(100 * F.least("n_shingles", "n2") >= percent * F.greatest("n_shingles", "n2"))
                 .select(F.col("node").alias("a"), F.col("node2").alias("b")))
         pairs = near if pairs is None else pairs.unionAll(near)
@@ -188,10 +196,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = rest.join(sizes, "node")
         level = more.select("node", "n_shingles", "tree", F.xxhash64(
             "region", *_region(F.col("tree"), depth, deeper)).alias("region"), F.lit(None)
-            .cast(rest.schema["low"].dataType).alias("low"), "part")
+            .cast(rest.schema["centre"].dataType).alias("centre"), "part")
     pairs = stored(pairs.distinct(), "pairs")
     if not pairs.isEmpty():
-        links2 = confirm(pairs, docs, id_col, text_col, percent, shingle)
+        links2 = confirm(pairs, texts, percent, shingle)
         found = components(stored(links.unionAll(links2), "links"))
 
     group = (classes.join(found, "node", "left")
