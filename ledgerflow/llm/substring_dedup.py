@@ -207,6 +207,9 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = stored(_anchor_rows(texts.select("id", "h", "text"), window, gram), "anchors")
     shared = (marked.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"),
                                            F.sum("lead").alias("n")).where("first < last"))
+    # a table of its own, so that the join below has a plain exchange on each side and a hot anchor's
+    # rows can be split over tasks
+    shared = stored(shared, "shared")
     by_doc = (marked.join(shared.select("anchor", "first", "n"), "anchor").groupBy("id", "h")
               .agg(F.collect_list(F.struct("first", "place", "n")).alias("marks")))
     # repeated rows (same id and text) would give the same pieces again
