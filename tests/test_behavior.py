@@ -70,7 +70,7 @@ def test_max_by_first_arrival_wins_tie(spark):
     assert len(d1) == 1 and d1[0].seq == 3
 
 
-def test_window_contents_positions(spark):
+def test_window_contents_ranks(spark):
     out = behavior.window_contents(_devices(spark), "id", "ts", "5 seconds", block="1 second")
     w = sorted((r.pos, r.seq) for r in out.collect()
                if r.id == "device-1" and r.window_start.second == 0 and r.window_start.minute == 22)
