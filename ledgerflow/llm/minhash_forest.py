@@ -216,11 +216,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay when one document of each group does, the one with the smallest
     id; of rows with the same id the one with the smallest text. Rows with a null id all stay. All
     columns stay."""
-    kept = (near_duplicates(docs, id_col, text_col, percent, shingle).where("kept")
+    named, nameless = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    kept = (near_duplicates(docs, id_col, text_col, percent, shingle)
+            .where(F.col("kept") & F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("_llm_kept")).distinct())
-    stay = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_llm_kept")), "left_semi")
-    # rows without an id are spread by their text, not gathered
-    alone = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))
-    order = Window.partitionBy(id_col, alone).orderBy(F.col(text_col).asc_nulls_last())
-    return (stay.withColumn("_llm_rn", F.row_number().over(order))
-            .where((F.col("_llm_rn") == 1) | F.col(id_col).isNull()).drop("_llm_rn"))
+    # joined and ordered by the bare id: the texts are shuffled once for both
+    stay = named.join(kept, F.col(id_col) == F.col("_llm_kept"), "left_semi")
+    order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
+    return (stay.withColumn("_llm_rn", F.row_number().over(order)).where("_llm_rn = 1")
+            .drop("_llm_rn").unionAll(nameless))
