@@ -13,7 +13,11 @@ the signature; nodes with a long common prefix in a tree are candidates.
   gathered.
 * What is still in different groups within a region is paired next. Where that would be more than
   ``LEAF`` members, the region is cut by a longer prefix, again and again: the depth adapts to how
-  crowded the order is there.
+  crowded the order is there. This finds most links, not all.
+* Regions of more than ``LEAF`` members that are still not one group are then compared in full,
+  blocks of members against blocks: every pair of different groups is checked on its full sets, in
+  the first region that it shares. The largest group of a region is not compared with itself. The
+  work grows with the square of what is left in such a region, spread over tasks of bounded size.
 
 The texts of documents with company in some region are kept as a table for the checks: a set is
 made once per task and compared with those that were sent to it, in portions of bounded size.
@@ -35,6 +39,8 @@ HASHES = 60
 DEPTHS = (3, 5, 8, 13, 21, 34, 60)
 LEAF = 64
 PORTION = 256
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 21
 SHINGLE = 5
 PERCENT = 75
 
@@ -130,6 +136,115 @@ def _region(tree, start: int, stop: int):
             for i in range(start, stop)]
 
 
+class Block:
+    """Texts that wait in one place, by node, and what a text that comes by links with."""
+
+    def __init__(self):
+        self.nodes, self.parts, self.sigs, self.sets, self.owner = [], [], [], [], None
+
+    def add(self, node, part, sig: np.ndarray, own: np.ndarray) -> None:
+        self.nodes.append(node)
+        self.parts.append(part)
+        self.sigs.append(sig)
+        self.sets.append(own)
+
+    def close(self) -> None:
+        """An index from shingles to the texts that hold them."""
+        self.nodes, self.parts, self.sigs = map(np.array, (self.nodes, self.parts, self.sigs))
+        self.sizes = np.array([len(s) for s in self.sets], dtype="i8")
+        flat = np.concatenate(self.sets)
+        order = np.argsort(flat, kind="stable")
+        self.owner = np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        self.values, starts = np.unique(flat[order], return_index=True)
+        self.starts = np.append(starts, len(flat))
+
+    def common(self, own: np.ndarray) -> np.ndarray:
+        """For each text, how many shingles it shares with ``own``."""
+        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        at = at[self.values[at] == own]
+        n = self.starts[at + 1] - self.starts[at]
+        before = np.cumsum(n) - n
+        places = np.arange(n.sum()) + np.repeat(self.starts[at] - before, n)
+        return np.bincount(self.owner[places], minlength=len(self.sets))
+
+    def links(self, tree: int, node, part, largest: bool, sig: np.ndarray, text: bytes, percent: int,
+              shingle: int) -> list:
+        """Nodes that the text links with, one of each group. Pairs that share a region of an earlier
+        tree are left to it; a pair within none of the largest group comes by twice and is taken once."""
+        if self.owner is None:
+            self.close()
+        ask = self.parts != part
+        if not largest:
+            ask &= self.nodes > node
+        at = np.flatnonzero(ask)
+        same = (self.sigs[at] == sig).reshape(len(at), HASHES // DEPTHS[0], DEPTHS[0]).all(axis=2)
+        at = at[same[:, tree] & ~same[:, :tree].any(axis=1)]
+        if not len(at):
+            return []
+        own = shingles(text.lower(), shingle)
+        size, n = len(own), self.sizes[at]
+        at = at[(n > 0) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))]
+        if 16 * len(at) < len(self.sets):
+            at = [i for i in at if similar(self.sets[i], own, percent)]
+        else:
+            both = self.common(own)[at]
+            at = at[100 * both >= percent * (self.sizes[at] + size - both)]
+        return list({self.parts[i]: self.nodes[i].item() for i in at}.values())
+
+
+def confirm_crowded(crowd: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int,
+                    shingle: int) -> DataFrame:
+    """Links (a, b) between different parts of the regions of ``crowd`` (region, tree, node, part,
+    n_shingles), enough of them to connect all that is linked. What is not in a region's largest part
+    waits in blocks of bounded size; all members come by, in portions."""
+    bounded_batches(texts.sparkSession)
+    kind = crowd.schema["node"].dataType.simpleString()
+    shape = (crowd.groupBy("region", "part").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+             .groupBy("region").agg(F.max(F.struct("n", "w", "part")).alias("top"), F.sum("n").alias("n"),
+                                    F.sum("w").alias("w"), F.count("*").alias("parts"))
+             .where("parts > 1")
+             .select("region", F.col("top.part").alias("largest"),
+                     F.ceil(F.greatest((F.col("n") - F.col("top.n")) / BLOCK,
+                                       (F.col("w") - F.col("top.w")) / BLOCK_SHINGLES))
+                     .cast("int").alias("blocks"),
+                     F.ceil(F.col("n") / (2 * BLOCK)).cast("int").alias("portions")))
+    member = crowd.join(shape, "region")
+    cols = ["region", "tree", "node", "part", (F.col("part") == F.col("largest")).alias("largest")]
+    waits = member.where("part != largest").select(
+        *cols, F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"), F.lit(0).alias("role"))
+    comes = member.select(
+        *cols, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("node", F.lit(1)), F.col("portions")).cast("int").alias("portion"),
+        F.lit(1).alias("role"))
+    place = ["region", "block", "portion"]
+    sent = (waits.unionAll(comes).join(sigs.join(texts, "node"), "node").repartition(*place)
+            .sortWithinPartitions(*place, "role")
+            .select(*place, "role", "tree", "node", "part", "largest", "sig", "text"))
+
+    def run(batches):
+        at, block = None, None
+        for whole in batches:
+            for b in rows(whole, 256):
+                found = []
+                keys = zip(*[b.column(i).to_pylist() for i in range(3)])
+                sig = b.column(8).flatten().to_numpy(zero_copy_only=False).reshape(-1, HASHES)
+                rest = zip(keys, *[b.column(i).to_pylist() for i in range(3, 8)], sig, utf8(b.column(9)))
+                for key, role, tree, node, part, largest, own, text in rest:
+                    if key != at:
+                        at, block = key, Block()
+                    if role == 0:
+                        block.add(node, part, own.copy(), shingles(text.lower(), shingle))
+                    elif block.sets:
+                        found += [(x, node) for x in block.links(tree, node, part, largest, own, text,
+                                                                 percent, shingle)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[i] for x in found], b.schema.types[5]) for i in range(2)],
+                    names=["a", "b"])
+
+    return sent.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(``id_col``, n_shingles, component_id, kept) for each row of ``docs``.
@@ -173,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("node", "n_shingles", "tree", "region", "centre",
                       F.coalesce("component", "node").alias("part")))
     sizes = nodes.select("node", "sig")
-    level, pairs = placed, None
+    level, pairs, crowded = placed, None, None
     for depth, deeper in zip(DEPTHS, DEPTHS[1:] + (None,)):
         open_ = (level.groupBy("region").agg(F.min("part").alias("p"), F.max("part").alias("q"),
                                              F.count("*").alias("n")).where("p < q"))
@@ -193,14 +308,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rest = level.where(F.col("n") > LEAF).drop("n")
         if rest.isEmpty():
             break
+        if crowded is None:
+            crowded = rest.select("region", "tree", "node", "n_shingles")
         more = rest.join(sizes, "node")
         level = more.select("node", "n_shingles", "tree", F.xxhash64(
             "region", *_region(F.col("tree"), depth, deeper)).alias("region"), F.lit(None)
             .cast(rest.schema["centre"].dataType).alias("centre"), "part")
     pairs = stored(pairs.distinct(), "pairs")
     if not pairs.isEmpty():
-        links2 = confirm(pairs, texts, percent, shingle)
-        found = components(stored(links.unionAll(links2), "links"))
+        links = stored(links.unionAll(confirm(pairs, texts, percent, shingle)), "links")
+        found = components(links)
+    if crowded is not None:
+        crowd = stored(crowded.join(found, "node", "left")
+                       .withColumn("part", F.coalesce("component", "node")).drop("component"), "crowd")
+        links3 = stored(confirm_crowded(crowd, sizes, texts, percent, shingle), "links")
+        if not links3.isEmpty():
+            found = components(stored(links.unionAll(links3), "links"))
 
     group = (classes.join(found, "node", "left")
              .select("digest", F.coalesce("component", "node").alias("component_id")))

@@ -255,6 +255,42 @@ def test_minhash_crowded_regions(spark):
     assert multiset(minhash_forest.near_duplicates(df).collect()) == near_brute(rows)
 
 
+def test_minhash_template_against_sql(spark):
+    """Pages of one template, all 0.70 to 0.74 similar to each other, with some pairs at 0.76: far more
+    in a region than a leaf holds, and no text in the middle that they link with."""
+    import duckdb
+    import pandas as pd
+
+    from ledgerflow.llm.queries import OP6_SQL
+    rnd = random.Random(4)
+    template = [f"t{i}" for i in range(500)]
+
+    def page(*own):
+        words = list(template)
+        words[200:200 + sum(map(len, own))] = [w for part in own for w in part]
+        return " ".join(words)
+
+    def fresh(count):
+        return [f"u{rnd.getrandbits(60)}" for _ in range(count)]
+
+    texts = []
+    for i in range(300):  # all have the slot's 72 to 83 words of their own
+        texts.append(page(fresh(rnd.randint(72, 83))))
+    for i in range(40):   # two that share the first 15 of 78 words
+        shared = fresh(15)
+        texts += [page(shared, fresh(63)) for _ in range(2)]
+    rnd.shuffle(texts)
+    sets = [shingle_set(t) for t in texts]
+    near = [len(s & t) / len(s | t) for i, s in enumerate(sets) for t in sets[i + 1:]]
+    assert all(0.7 <= x < 0.75 or 0.755 < x < 0.77 for x in near) and sum(x > 0.75 for x in near) == 40
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    with duckdb.connect() as sql:
+        sql.register("documents", documents)
+        want = multiset(sql.execute(OP6_SQL).fetchall())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert multiset(minhash_forest.near_duplicates(df).collect()) == want
+
+
 def test_keep_one(docs):
     out = minhash_forest.keep_one(docs)
     assert out.columns == docs.columns
