@@ -31,12 +31,19 @@ PATTERNS = {
 }
 # An identifier-like token: a word with a digit or an at sign.
 TOKEN = (r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
+# Punctuation around a token that is not part of it; "(030)555" keeps its bracket.
+AROUND = (r"^(?:(?!\([0-9+]+\)[0-9])[\p{Ps}\p{Pe}\p{Pi}\p{Pf}<>\"'*,;:.!?])+",
+          r"[\p{Ps}\p{Pe}\p{Pi}\p{Pf}<>\"'*,;:.!?]+$")
+# Digit groups with single blanks between them, and the phone or card at the start of such a run.
+RUN = (r"(?<![^\x20\x09-\x0D])[\p{Ps}\p{Pi}<\"'*]*+\+?[0-9][0-9().-]*+(?:\x20\(?[0-9][0-9().-]*+)++")
+SPACED = (r"^[+(]?[0-9](?:[0-9().-]|\x20(?=[(0-9])){5,18}[0-9](?![0-9])",
+          r"^[0-9](?:[\x20-]?[0-9]){9,22}(?![0-9])")
 # What an unseen identifier must look like to be taken for a kind.
 SHAPES = {
     "email": r"^[^@]+@[^@]+$",
     "ip": r"^[0-9]+([.:][0-9]+){2,}$",
-    "card": r"^[0-9](-?[0-9]){9,22}$",
-    "phone": r"^[+(]?[0-9][0-9().-]{5,18}[0-9]$",
+    "card": r"^[0-9]([\x20-]?[0-9]){9,22}$",
+    "phone": r"^[+(]?[0-9](?:[0-9().-]|\x20(?=[(0-9])){5,18}[0-9]$",
 }
 ROUNDS = 3
 MIN_SEEDS = 8
@@ -80,35 +87,64 @@ def _found(text: Column, kind: str, pattern: str) -> Column:
     return F.transform(pairs, lambda x, i: item(x["m"], x["g"], i))
 
 
+def _spaced(m: Column) -> Column:
+    """The phone or card that a run of digit groups starts with, empty if its first group is an
+    identifier by itself or none is found: the whole run if it fits, else as much as fits."""
+    first = F.substring_index(m, " ", 1)
+    alone = _fits(F.lit("phone"), first) | _fits(F.lit("card"), first) | _fits(F.lit("ip"), first)
+    whole = _fits(F.lit("phone"), m) | _fits(F.lit("card"), m)
+    phone, card = (F.regexp_extract(m, p, 0) for p in SPACED)
+    return (F.when(alone, "").when(whole, m).when(F.contains(phone, F.lit(" ")), phone)
+            .when(F.contains(card, F.lit(" ")), card).otherwise(""))
+
+
+def _trimmed(placed: DataFrame) -> DataFrame:
+    """Tokens and runs without the punctuation around them, runs as far as they are an identifier."""
+    bare = F.col("kind").isin("token", "run")
+    lead, tail = AROUND
+    start = F.regexp_replace("m", lead, "")
+    cut = F.regexp_replace(start, tail, "")
+    return (placed.withColumn("s", F.when(bare, F.col("s") + F.length("m") - F.length(start))
+                              .otherwise(F.col("s")))
+            .withColumn("m", F.when(F.col("kind") == "run", _spaced(cut)).when(bare, cut)
+                        .otherwise(F.col("m")))
+            .withColumn("e", F.col("s") + F.length("m")).where("kind != 'run' OR m != ''"))
+
+
 def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, h, kind, s, e, m, left): accepted base entities, and as kind ``token`` all identifier-like
-    tokens, with places in code points (end exclusive). ``h`` is the md5 of the text: a document is
+    tokens, as kind ``run`` phones and cards written with blanks, both without the punctuation around
+    them, with places in code points (end exclusive). ``h`` is the md5 of the text: a document is
     an id with a text, and repeated rows count once."""
     some = docs.where(F.col(text_col).rlike("[0-9@]")).select(
         F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
     by_kind = F.array(*[_found(F.col("text"), k, p) for k, p in PATTERNS.items()],
-                      _found(F.col("text"), "token", TOKEN))
+                      _found(F.col("text"), "token", TOKEN), _found(F.col("text"), "run", RUN))
     flat = (some.select("id", "h", F.explode(by_kind).alias("of_kind"))
             .select("id", "h", F.inline("of_kind")).distinct())
     w = Window.partitionBy("id", "h", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.length("m")).over(w)
     placed = flat.withColumn("e", end).withColumn("s", F.col("e") - F.length("m"))
-    return placed.where(accepted(F.col("kind"), F.col("m"))).select("id", "h", "kind", "s", "e", "m",
-                                                                   "left")
+    return (_trimmed(placed.where(accepted(F.col("kind"), F.col("m"))))
+            .select("id", "h", "kind", "s", "e", "m", "left"))
 
 
 def unseen(found: DataFrame) -> DataFrame:
-    """The tokens of :func:`matches` that overlap no base entity."""
-    base = F.col("kind") != "token"
+    """The tokens and runs of :func:`matches` that overlap no base entity; tokens in such a run are
+    left out."""
+    base = ~F.col("kind").isin("token", "run")
     by_doc = Window.partitionBy("id", "h").orderBy("s", base.cast("int").desc(), "kind")
     before = by_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = by_doc.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     seen = (found.withColumn("_before", F.max(F.when(base, F.col("e"))).over(before))
             .withColumn("_after", F.min(F.when(base, F.col("s"))).over(after)))
-    return seen.where((F.col("kind") == "token")
-                      & ~F.coalesce(F.col("_before") > F.col("s"), F.lit(False))
+    free = seen.where(~base & ~F.coalesce(F.col("_before") > F.col("s"), F.lit(False))
                       & ~F.coalesce(F.col("_after") < F.col("e"), F.lit(False))
                       ).drop("_before", "_after")
+    runs = F.max(F.when(F.col("kind") == "run", F.col("e"))).over(before)
+    return (free.withColumn("_run", runs)
+            .where((F.col("kind") == "run") | ~F.coalesce(F.col("_run") > F.col("s"), F.lit(False)))
+            .drop("_run"))
 
 
 def _fits(kind: Column, m: Column) -> Column:
@@ -128,7 +164,7 @@ def patterns(found: DataFrame, unknown: DataFrame, rounds: int = ROUNDS, min_see
     for a kind is the mean weight of its identifiers. Sums are combined before each shuffle.
     """
     has_word = F.length("left") > 0
-    seeds = (found.where((F.col("kind") != "token") & has_word).select("left", "m", "kind").distinct())
+    seeds = (found.where(~F.col("kind").isin("token", "run") & has_word).select("left", "m", "kind").distinct())
     kinds = seeds.groupBy("left", "kind").agg(F.count("*").alias("seeds")).where(
         F.col("seeds") >= min_seeds)
     known = seeds.select("left", "m").distinct()
@@ -162,7 +198,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     added = (unknown.drop("kind").join(trusted, "left").where(_fits(F.col("kind"), F.col("m")))
              .groupBy("id", "h", "s", "e", "m").agg(F.min_by("kind", order).alias("kind")))
     cols = ["id", "h", "kind", "s", "e", "m"]
-    return (found.where("kind != 'token'").select(*cols, F.lit(True).alias("base"))
+    return (found.where("kind NOT IN ('token', 'run')").select(*cols, F.lit(True).alias("base"))
             .unionAll(added.select(*cols, F.lit(False).alias("base"))))
 
 

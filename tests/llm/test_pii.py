@@ -67,3 +67,19 @@ def test_bootstrapping_discovers_unseen_identifiers(spark):
     assert got[300].spans == ""
     for i, t in rows[:20]:
         assert got[i].spans == got[i].base == ",".join(brute(t))
+
+
+def test_bootstrapping_with_punctuation_and_blanks(spark):
+    """Numbers at a sentence end, in brackets or written with blanks are found without what is around
+    them, and do not lower the score of the word before them."""
+    rnd = random.Random(10)
+    rows = [(i, f"Tel: +1 269 555 {rnd.randint(1000, 9999)} the") for i in range(100)]
+    rows += [(200 + i, f"Tel: 030-555{i:04d}.") for i in range(30)]
+    odd = ["Tel: 030-5551234.", "Tel: 030-5551234,", "Tel: (030-5551234)", "Tel: 030 555 1234 end",
+           "Tel: 030 555 1234.", "Tel: (030)555-1234 x", "Tel: 030-5551234 20 pieces", "Tel: 030-5551234"]
+    want = ["5:16", "5:16", "6:17", "5:17", "5:17", "5:18", "5:16", "5:16"]
+    rows += [(300 + i, t) for i, t in enumerate(odd)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.spans for r in pii.spans_per_document(df).collect()}
+    assert [got[300 + i] for i in range(len(odd))] == [f"phone:{w}" for w in want]
+    assert all(got[200 + i] == "phone:5:16" for i in range(30))
