@@ -7,7 +7,7 @@ boundaries are nearest to it (steps by the 240 shortest lattice vectors, in one
 Pairs that meet in a cell are candidates and are confirmed on the vectors.
 
 With the defaults, two of 64 dimensions at cosine 0.93 meet in one table with probability 0.46
-(measured on random pairs), so all 16 tables miss them about 6 times in 100,000; nearer pairs
+(measured on random pairs), so all 20 tables miss them about 5 times in a million; nearer pairs
 less. Unrelated vectors meet in all tables together about once in a thousand pairs of one label; a
 smaller ``scale`` with more ``tables`` lowers that for larger collections.
 
@@ -31,7 +31,7 @@ from .common import bounded_batches, components, rows, stored
 from .vectors import by_length, matrix, usable
 from .words import mixed
 
-TABLES = 16
+TABLES = 20
 PROBES = 4
 SCALE = 0.25
 STEPS = 6

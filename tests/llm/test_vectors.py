@@ -64,6 +64,21 @@ def test_lattice_against_brute_force(spark, table):
     assert lattice_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_lattice_tables_rarely_miss_a_link():
+    """Pairs at the threshold: missed by all tables together less than once in 100,000."""
+    rng = np.random.default_rng(6)
+    a, b = rng.standard_normal((2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= np.einsum("ij,ij->i", a, b)[:, None] * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cos = lattice_dedup.THRESHOLD
+    b = cos * a + math.sqrt(1 - cos ** 2) * b
+    args = lattice_dedup.TABLES, lattice_dedup.PROBES, lattice_dedup.SCALE
+    (own, near), (own2, near2) = lattice_dedup.cells(a, *args), lattice_dedup.cells(b, *args)
+    meet = ((own == own2) | (own[:, :, None] == near2).any(axis=2) | (own2[:, :, None] == near).any(axis=2))
+    assert (1 - meet.mean()) ** lattice_dedup.TABLES < 1e-5
+
+
 def test_nearest_lattice_point():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((300, 8)) * 2
