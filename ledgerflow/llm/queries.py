@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, lattice_dedup, line_dedup, minhash_forest, mixing, pii, quality, rp_forest,
-               substring_dedup, token_counts)
+from . import (byte_bpe, lattice_dedup, line_dedup, merkle, minhash_forest, mixing, pii, quality,
+               rp_forest, substring_dedup, token_counts)
 from .common import table
 
 REGISTRY = {}
@@ -210,3 +212,81 @@ FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+# crc32 of an ASCII text, as an unsigned number: the usual table (built from its rule), folded over it
+CRC_TABLE_SQL = """crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda c, k:
+    xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))) AS t)"""
+
+
+def _crc(text: str) -> str:
+    """DuckDB expression for the crc32 of ``text``, ``t`` being the table of ``CRC_TABLE_SQL``."""
+    return (f"xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform("
+            f"string_split({text}, ''), lambda s: ascii(s)::BIGINT)), lambda c, b: "
+            f"xor(t[(xor(c, b) & 255) + 1], c >> 8)))")
+
+
+def _op11_sql(levels: int = 8, top_levels: int = 4) -> str:
+    """Trees of at most 16 ** ``levels`` leaves a source and 16 ** ``top_levels`` sources."""
+    def field(c):
+        return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    fixed = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
+    parts = [CRC_TABLE_SQL, f"""leaves AS (
+  SELECT doc_id, source, sha256({fixed} || {field('text')}) AS leaf,
+         CASE WHEN {_crc('doc_id::VARCHAR')} % 5 = 0 THEN sha256({fixed} || {field(lower)}) END AS tampered
+  FROM documents, crc),
+placed AS (
+  SELECT *, coalesce(tampered, leaf) AS digest, row_number() OVER (
+           PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves)"""]
+
+    def tree(name, start, n):
+        parts.append(f"{name}0 AS ({start})")
+        for k in range(n):
+            parts.append(f"""{name}{k + 1} AS (
+  SELECT *, CASE WHEN len(l{k}) > 1 THEN list_transform(range((len(l{k}) + 15) // 16), lambda i:
+           sha256(array_to_string(l{k}[i * 16 + 1:i * 16 + 16], ''))) ELSE l{k} END AS l{k + 1}
+  FROM {name}{k})""")
+
+    def climb(name, start, n):
+        """Siblings and folded digest of the node at ``place``, level by level."""
+        parts.append(f"{name}0 AS ({start})")
+        for k in range(n):
+            at = f"(place // {16 ** k})"
+            side = (f"coalesce(array_to_string(l{k}[{at} // 16 * 16 + 1:{at}], ''), '')",
+                    f"coalesce(array_to_string(l{k}[{at} + 2:{at} // 16 * 16 + 16], ''), '')")
+            parts.append(f"""{name}{k + 1} AS (
+  SELECT * REPLACE (CASE WHEN len(l{k}) > 1 THEN sha256({side[0]} || digest || {side[1]}) ELSE digest END AS digest,
+                    CASE WHEN len(l{k}) > 1 THEN proof || {side[0]} || {side[1]} ELSE proof END AS proof)
+  FROM {name}{k})""")
+
+    tree("s", "SELECT source, list(leaf ORDER BY place) AS l0 FROM placed GROUP BY source", levels)
+    parts.append(f"""subroots AS (
+  SELECT source, l{levels}[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank
+  FROM s{levels})""")
+    tree("r", "SELECT list(subroot ORDER BY rank) AS l0 FROM subroots", top_levels)
+    climb("c", f"SELECT p.doc_id, p.source, p.leaf, p.digest, p.place, '' AS proof, "
+               f"s.* EXCLUDE (source) FROM placed p JOIN s{levels} s ON p.source IS NOT DISTINCT FROM s.source",
+          levels)
+    climb("t", f"SELECT c.doc_id, c.leaf, c.digest, c.proof, b.subroot, b.rank AS place, r.* "
+               f"FROM c{levels} c JOIN subroots b ON c.source IS NOT DISTINCT FROM b.source, r{top_levels} r",
+          top_levels)
+    parts = ",\n".join(parts)
+    return f"""WITH {parts}
+SELECT doc_id, leaf, subroot, l{top_levels}[1] AS root, sha256(proof) AS proof_sha256,
+       digest AS folded_root, digest = l{top_levels}[1] AS verified FROM t{top_levels}"""
+
+
+@query("op11_merkle", _op11_sql())
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.leaf(
+        [lowered if c == "text" else F.col(c) for c in merkle.FIELDS]))
+    rows = merkle.manifest(docs, carry={"tampered": tampered})
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                       F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
