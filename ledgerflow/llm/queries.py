@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, lattice_dedup, line_dedup, merkle, minhash_forest, mixing, pii, quality,
-               rp_forest, substring_dedup, token_counts)
+               rp_forest, substring_dedup, token_counts, turns)
 from .common import table
 
 REGISTRY = {}
@@ -290,3 +290,70 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
                        F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"), "folded_root",
                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+OP12_SQL = fr"""
+WITH RECURSIVE {CRC_TABLE_SQL},
+parts AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS d
+  FROM conversations, crc),
+spoilt AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN d = 1 THEN '' WHEN d = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM parts, range(CASE WHEN d = 0 THEN 0 WHEN d = 3 THEN 2 ELSE 1 END) WHERE d <> 0),
+flagged AS (
+  SELECT *, left(role, 1) AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS e
+  FROM spoilt),
+faults AS (
+  SELECT *, CASE WHEN e = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN e NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         i > 1 AND lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x NOT IN ('su', 'ua', 'au') AS illegal
+  FROM flagged),
+inserts(s, k, place, added) AS (VALUES
+  (0, 0, 0, ''), (0, 1, 2, 'U'), (0, 2, 3, 'UA'), (1, 0, 1, ''), (1, 1, 2, 'U'), (1, 2, 3, 'UA'),
+  (2, 0, 2, ''), (2, 1, 3, 'A'), (2, 2, 2, 'AU'), (3, 0, 3, ''), (3, 1, 2, 'U'), (3, 2, 3, 'UA')),
+reads(place, x, s) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+padding AS (SELECT *, replace(replace(added, 'U', chr(10) || 'user:'), 'A', chr(10) || 'assistant:') AS lines
+            FROM inserts),
+edits AS (
+  SELECT s, place AS s2, repeat('I', k) || 'D' AS op, 5 * k + 2 AS c, 'D' AS e, '' AS x, lines FROM padding
+  UNION ALL SELECT p.s, r.s, repeat('I', k) || 'K', 5 * k, 'K', r.x, lines FROM padding p JOIN reads r USING (place)
+  UNION ALL SELECT s, CASE WHEN place = 2 THEN 3 ELSE 2 END, repeat('I', k) || 'R', 5 * k + 1, 'R', '',
+                   lines || chr(10) || CASE WHEN place = 2 THEN 'assistant:' ELSE 'user:' END FROM padding),
+best AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS s, {{'c': 0, 'a': '', 'r': ''}} AS b FROM conversations
+  UNION ALL
+  SELECT b.conv_id, b.i + 1, m.s2, min({{
+           'c': b.b.c + m.c + CASE WHEN f.fault = 'truncated' AND m.e <> 'D' THEN 5 ELSE 0 END,
+           'a': b.b.a || m.op,
+           'r': b.b.r || m.lines || CASE m.e WHEN 'D' THEN '' WHEN 'R' THEN f.text
+                                    ELSE chr(10) || f.role || ':' || f.text END}})
+  FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1
+    JOIN edits m ON m.s = b.s AND (m.e = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+                AND (m.e <> 'K' OR m.x = f.x)
+  GROUP BY b.conv_id, b.i, m.s2),
+lengths AS (
+  SELECT conv_id, max(i) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE illegal) AS illegal
+  FROM faults GROUP BY conv_id),
+ended AS (
+  SELECT b.conv_id, min({{'c': b.b.c + 5 * p.k, 'a': b.b.a || repeat('I', p.k), 'r': b.b.r || p.lines}}) AS b
+  FROM best b LEFT JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM b.conv_id JOIN padding p ON p.s = b.s
+  WHERE b.i = coalesce(l.n, 0) AND p.place IN (0, 3) GROUP BY b.conv_id)
+SELECT e.conv_id, coalesce(l.gaps, 0)::BIGINT AS gaps, coalesce(l.blank, 0)::BIGINT AS blank,
+       coalesce(l.duplicate, 0)::BIGINT AS duplicate, coalesce(l.truncated, 0)::BIGINT AS truncated,
+       coalesce(l.illegal, 0)::BIGINT AS illegal, e.b.c::BIGINT AS cost, e.b.a AS audit,
+       sha256(substr(e.b.r, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@query("op12_turns", OP12_SQL)
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spoilt = turns.damaged(table(spark, sf_dir, "conversations"))
+    return turns.repair(spoilt, gone=F.col("gone"))
