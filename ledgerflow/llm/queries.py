@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, lattice_dedup, line_dedup, merkle, minhash_forest, mixing, pii, quality,
-               rp_forest, substring_dedup, token_counts, turns)
+               rp_forest, secret_scan, substring_dedup, token_counts, turns)
 from .common import table
 
 REGISTRY = {}
@@ -357,3 +357,10 @@ FROM ended e LEFT JOIN lengths l ON l.conv_id IS NOT DISTINCT FROM e.conv_id
 def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     spoilt = turns.damaged(table(spark, sf_dir, "conversations"))
     return turns.repair(spoilt, gone=F.col("gone"))
+
+
+@query("op13_secrets")
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.spans_per_document(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2("base", 256).alias("base_sha256"), "spans")

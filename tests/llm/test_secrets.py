@@ -1,0 +1,104 @@
+"""Secrets: base patterns against Python's matcher on the contract's own words, and what assignment adds."""
+import hashlib
+import random
+import re
+import time
+from collections import Counter
+
+import pytest
+
+from ledgerflow.llm import queries, secret_scan
+
+ASSIGN = re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"
+                    r"[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+def brute(text):
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{k}:{s}:{e}" for s, _, k, e in sorted(found)]
+
+
+# (text, the literals that are added)
+ADDED = [
+    ('seed = "Zx81kq-33"\ndb_pass_phrase = 1\nservice_credentials = seed\n', ["Zx81kq-33"]),
+    ('a = "Qw9!kd02Lm"; b = a; c = b\nclient.pwd = c', ["Qw9!kd02Lm"]),
+    ("export DB_PWD=h7Gt55_kk2", ["h7Gt55_kk2"]),
+    ('{"user": "ann", "privateKey": "MIIEv4kqhkiG9w0"}', ["MIIEv4kqhkiG9w0"]),
+    ("signing_key: q8Vn2LmZ77tt", ["q8Vn2LmZ77tt"]),
+    ("<pwd>aB3$dE6&gH</pwd>", ["aB3$dE6&gH"]),
+    ("run --passphrase Tr0ub4dor&3 now", ["Tr0ub4dor&3"]),
+    ("postgres://ann:S3cr3tPw99@db.local/x", ["S3cr3tPw99"]),
+    ('left = "Ab12Cd34"\nright = "Ef56Gh78"\nauth_key = left + right', ["Ab12Cd34", "Ef56Gh78"]),
+    ("os.environ[\"DB_PWD\"] = 'k2J9mm4Qz'", ["k2J9mm4Qz"]),
+    ('passphrase: str = "v8Kd02mmQ1"', ["v8Kd02mmQ1"]),
+    ('x = "First11Aa"\nx = "Second22Bb"\npwd = x\nx = "Third33Cc"', ["Second22Bb"]),
+    ('é漢😀 PWD := "n4Xc8Vb2Qw"', ["n4Xc8Vb2Qw"]),
+]
+CLEAN = [
+    "pwd = getpass(prompt)", "pwd = os.environ['X1']", 'pwd = "changeme"', "pwd = None", "pwd = self.pwd_value",
+    'pwd_file = "/etc/Secret01/x"', 'label = "Ab12Cd34Ef"', "He said: the Key01 is Under02 the mat",
+    'pwd = "Please enter it now"', "if pwd == 'Ab12Cd34Ef': pass", "pwd = ${VAULT_PWD1}", 'a = b\nb = a\nb = "Ab12Cd34Ef"',
+    "the pwd: none", "auth_key: String = make()", "pwd = ab1", "ratio a:b = 3:4", "std::key = Ab12Cd34", "",
+    "a = a\nb = a + a\nkey = b",
+]
+
+
+def random_texts():
+    rnd = random.Random(4)
+    parts = ["password", "PassWd", "ſecret", "secret", "toKen", "api_key", "apiKey", "apıkey", '"', "'", " ", "  ", "=", ":",
+             "\n", "AKIA", "ABC123", "0123456789abcdef", "deadbeef", "x", "Ab1", "漢", "😀", "+/_.=-", ":=", "=>", "--", "<", ">"]
+    return ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 40))) for _ in range(600)]
+
+
+def test_query_equals_matcher_and_planted(spark, scratch):
+    texts = random_texts() + [t for t, _ in ADDED] + CLEAN
+    texts += [None, "", "AKIA" + "A" * 15, "AKIA" + "A" * 16, "a" * 23, "a" * 24 + "g" + "0" * 25, "password = " + "x" * 90000]
+    rows = [(i, t, "k", 1, 2, "v", "r") for i, t in enumerate(texts)]
+    rows += [rows[3], (None, "token: abcdef", "k", 1, 2, "v", "r"), (2 ** 60 + 1, "secret=abcdef", "k", 1, 2, "v", "r")]
+    schema = "doc_id long, text string, kind string, s int, e int, value string, row string"
+    spark.createDataFrame(rows, schema).repartition(6).write.parquet(f"{scratch}/documents.parquet")
+    got = queries.REGISTRY["op13_secrets"](spark, scratch)
+    assert got.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    got = got.collect()
+    text_of = {r[0]: r[1] or "" for r in rows}
+    want = Counter()
+    for r in rows:
+        base = brute(r[1] or "")
+        n = Counter(x.split(":")[0] for x in base)
+        want[(r[0], *[n[k] for k in secret_scan.KINDS], hashlib.sha256(",".join(base).encode()).hexdigest())] += 1
+    assert Counter(tuple(r)[:5] for r in got) == want
+    planted, clean = dict(ADDED), set(CLEAN)
+    for r in got:
+        text, spans = text_of[r.doc_id], r.spans.split(",") if r.spans else []
+        places = [x.split(":") for x in spans]
+        assert places == sorted(places, key=lambda x: (int(x[1]), secret_scan.KINDS.index(x[0])))
+        base = brute(text)
+        assert set(base) <= set(spans)
+        added = [text[int(s):int(e)] for k, s, e in places if f"{k}:{s}:{e}" not in base]
+        if text in planted:
+            assert added == planted[text], text
+        if text in clean:
+            assert added == [], text
+
+
+def test_empty_table_and_text_ids(spark):
+    df = spark.createDataFrame([("a", "pwd = 'Ab12Cd34'"), ("b", None)], "doc_id string, text string")
+    assert {tuple(r) for r in secret_scan.spans_per_document(df).collect()} == {
+        ("a", 0, 0, 0, "", "assign:7:15"), ("b", 0, 0, 0, "", "")}
+    assert secret_scan.spans_per_document(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["a.", "a ", "=", "a=", 'a="', "password ", "x" * 50, "<a>", "--key ", "://a:", "a = a\n",
+                                  "a-", 'a="\\', "AKIA", "deadbeef", "pwd = a + ", "token: "])
+def test_time_is_proportional_to_length(unit):
+    """Whatever is repeated; a square of the length would take minutes."""
+    def took(n):
+        text = unit * (n // len(unit))
+        t = time.process_time()
+        secret_scan.entities(text)
+        secret_scan.literals(text)
+        return time.process_time() - t
+    for n, limit in ((1_000, 0.2), (10_000, 0.5), (100_000, 3)):
+        assert took(n) < limit
