@@ -36,19 +36,18 @@ def parse_envelope(df: DataFrame, value_col: str, data_schema: T.StructType,
 
     ``data`` may be a nested object or an escaped JSON string: the envelope is read with ``data``
     as text (Spark keeps the raw JSON of an object for a string field) and parsed in a second step.
-    Only the fields in ``rename`` (or all of ``data_schema``) are projected, so Catalyst prunes the
-    rest of the struct.
+    Both are parsed once a record; only the fields in ``rename`` (or all of ``data_schema``) are kept.
     """
+    keep = list(keep)
     env = F.from_json(_c(value_col), ENVELOPE_RAW)
-    parsed = df.select(*keep, env.alias("_env"))
-    data = F.from_json(F.col("_env.data"), data_schema)
     fields = rename or {f.name: f.name for f in data_schema.fields}
-    return parsed.select(
-        *keep,
-        F.col("_env.type").alias("msg_type"),
-        F.col("_env.send_time").alias("send_time"),
-        *[data.getField(src).alias(dst) for src, dst in fields.items()],
-    )
+    # each parsed struct is a column of its own, so that a record is parsed once and not once a field
+    outer = df.select(*keep, env.alias("_env"))
+    inner = outer.select(*keep, F.col("_env.type").alias("msg_type"),
+                         F.col("_env.send_time").alias("send_time"),
+                         F.from_json(F.col("_env.data"), data_schema).alias("_data"))
+    return inner.select(*keep, "msg_type", "send_time",
+                        *[F.col("_data").getField(src).alias(dst) for src, dst in fields.items()])
 
 
 def reg_date(s: str | Column) -> Column:

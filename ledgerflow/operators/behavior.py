@@ -86,16 +86,15 @@ def uv_exact(views: DataFrame, ts: str, user: str, size: str) -> DataFrame:
 
 def uv_bitmap(views: DataFrame, ts: str, user: str, size: str, seed: int = HASH_SEED,
               cap: int = BITMAP_BITS) -> DataFrame:
-    """Distinct hashed users per window with Spark bitmaps (one-hash Bloom filter count).
+    """Distinct hashed users per window: the bits that are set in a window's bitmap (one-hash Bloom
+    filter count).
 
-    Bitmaps are built per ``(window, bitmap bucket)`` -- a bitmap covers 32 768 bits -- so the
-    state per group stays small and the buckets spread over tasks; counts are summed per window.
+    A set bit is one (window, bit) row, made distinct before the shuffle and counted per window. Whole
+    bitmaps are not built: they are nearly empty, and each map task would send its own.
     """
     h = poly_hash(F.col(user).cast("string"), seed, cap)
-    d = views.select(F.window(ts, size).alias("w"), h.alias("h"))
-    per_bucket = (d.groupBy("w", F.bitmap_bucket_number("h").alias("b"))
-                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bm")))
-    g = per_bucket.groupBy("w").agg(F.sum(F.bitmap_count("bm")).alias("uv"))
+    bits = views.select(F.window(ts, size).alias("w"), h.alias("h")).distinct()
+    g = bits.groupBy("w").agg(F.count("h").alias("uv"))
     return g.select(*_window_cols(), "uv")
 
 

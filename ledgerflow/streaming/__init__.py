@@ -13,6 +13,8 @@ from .runners import (count_trigger_stream, cumulative_sink, dc_statistics,
                       uv_bitmap_stream, uv_distinct_stream, uv_first_sight_stream,
                       window_aggregate_stream, window_contents_stream, window_inout_stream,
                       window_join_stream)
+from .timers import (early_firing_stream, first_views_stream, purge_segments_stream, read_uv_running,
+                     sliding_ring_stream, uv_running_sink)
 
 __all__ = ["count_trigger_stream", "cumulative_sink", "dc_statistics",
            "event_time", "fc_statistics", "interval_join_stream", "late_split_batches",
@@ -20,4 +22,6 @@ __all__ = ["count_trigger_stream", "cumulative_sink", "dc_statistics",
            "running_total_stream", "sliding_count_stream", "start", "upsert_sink",
            "uv_bitmap_stream", "uv_distinct_stream", "uv_first_sight_stream",
            "window_aggregate_stream", "window_contents_stream", "window_inout_stream",
-           "window_join_stream"]
+           "window_join_stream",
+           "early_firing_stream", "first_views_stream", "purge_segments_stream", "read_uv_running",
+           "sliding_ring_stream", "uv_running_sink"]

@@ -262,11 +262,15 @@ def sliding_count_stream(df: DataFrame, ts: str, size: str, slide: str, keys: Se
                          delay: str = "0 seconds") -> DataFrame:
     """Sliding-window counts on a stream, in append mode, through panes.
 
-    Two chained stateful aggregations: rows -> tumbling panes of ``slide`` (state per pane), then
+    Where ``size`` is a multiple of ``slide``, a ring of panes per key
+    (:func:`timers.sliding_ring_stream`). Else two chained stateful aggregations: rows -> tumbling panes of ``slide`` (state per pane), then
     panes -> sliding windows, using the pane's event time (``window_time``, its last instant: a
     slide-aligned window holds the pane iff it holds that instant). Only pane rows are expanded
     into their windows.
     """
+    if interval_us(size) % interval_us(slide) == 0:
+        from .timers import sliding_ring_stream
+        return sliding_ring_stream(df, ts, size, slide, keys, delay)
     d = event_time(df, ts).withWatermark(ts, delay)
     panes = d.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("n"))
     pt = panes.select(F.window_time("pane").alias("pane_time"), *keys, "n")
@@ -276,6 +280,9 @@ def sliding_count_stream(df: DataFrame, ts: str, size: str, slide: str, keys: Se
                     *keys, "count")
 
 
+BITMAP_PART = 32768  # bits of one bitmap value
+
+
 def uv_bitmap_stream(views: DataFrame, ts: str, user: str, size: str,
                      delay: str = "0 seconds") -> DataFrame:
     """Bitmap distinct users per tumbling window on a stream (append mode): a bitmap per
@@ -283,11 +290,10 @@ def uv_bitmap_stream(views: DataFrame, ts: str, user: str, size: str,
     window -- two chained stateful aggregations, each group's state a fixed-size bitmap."""
     from ..functions.hashing import poly_hash
     v = event_time(views, ts).withWatermark(ts, delay)
-    h = poly_hash(F.col(user).cast("string"))
-    per_bucket = v.groupBy(F.window(ts, size).alias("w"),
-                           F.bitmap_bucket_number(h).alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bm"))
-    g = per_bucket.groupBy("w").agg(F.sum(F.bitmap_count("bm")).alias("uv"))
+    v = v.withColumn("h", poly_hash(F.col(user).cast("string")))
+    per_part = v.groupBy(F.window(ts, size).alias("w"), F.expr(f"h div {BITMAP_PART}").alias("b")).agg(
+        F.bitmap_construct_agg(F.col("h") % BITMAP_PART).alias("bm"))
+    g = per_part.groupBy("w").agg(F.sum(F.bitmap_count("bm")).alias("uv"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "uv")
 
 

@@ -87,3 +87,12 @@ def test_poly_hash_matches_python(spark):
     got = spark.createDataFrame([(v,) for v in vals], "s string").select(
         "s", poly_hash("s").alias("h")).collect()
     assert {r.s: r.h for r in got} == {v: ref(v) for v in vals}
+
+
+def test_each_record_is_parsed_once(spark):
+    from conftest import SF_SMALL
+    from ledgerflow import workloads
+    for name in ("src_json_lines", "src_fc_lines", "src_act_lines"):
+        df = workloads.REGISTRY[name](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("from_json") <= 2, name
