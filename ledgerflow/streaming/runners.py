@@ -18,7 +18,9 @@ from ..functions.parse import classify_dc, parse_dc, parse_fc, recognised, with_
 from ..operators import cells, flows, lateness, ledger, lookup
 from ..operators.patterns import PAID, TIMEOUT
 from ..plans.panes import interval_us
+from ..plans.prefix import running
 from ..session import scratch_path
+from . import store
 from .state import (CONTENTS_STATE, OUTPUT_SCHEMA, STATE_SCHEMA, UV_OUTPUT, UV_STATE,
                     contents_state_fn, count_schemas, count_state_fn, marks_schemas, marks_state_fn,
                     pattern_state_fn, uv_counter_fn)
@@ -180,6 +182,7 @@ def late_split_batches(df: DataFrame, ts: str, arrival: str, size: str, out_root
         if prev is not None:
             top = top.select(F.greatest(F.col("m"), prev).alias("m"))
         top.write.mode("overwrite").parquet(_batch_dir(hwm_root, batch_id))
+        store.drop_before(bdf.sparkSession, hwm_root, batch_id - 1)
 
     return _foreach(df, per_batch, "late_split", checkpoint, trigger)
 
@@ -416,20 +419,22 @@ def window_aggregate_stream(df: DataFrame, key: str, ts: str, size: str, value:
 
 
 TOTAL_BUCKETS = 256
+COMPACT_EVERY = 64
 
 
 def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
                     out_root: str, checkpoint: str | None = None,
                     trigger: str | None = "availableNow",
-                    buckets: int = TOTAL_BUCKETS) -> StreamingQuery:
+                    buckets: int = TOTAL_BUCKETS, block: Column | None = None) -> StreamingQuery:
     """Running totals per key over a stream of results, one output row per result (A6).
 
     Each micro-batch: cumulative sums inside the batch per key (ordered by ``order``; a batch
-    holds few results per key) plus the key's totals before it, written to
+    holds few results per key, or ``block`` cuts a key's rows into blocks along the order) plus the key's totals before it, written to
     ``out_root/emitted/batch_id=N``. Totals lie in ``buckets`` hash buckets of keys; a batch reads and
     writes anew only the buckets of its own keys, below ``out_root/_totals/batch_id=N``, and a small
     index ``out_root/_index/batch_id=N`` tells for each bucket which batch wrote it last. A replayed
-    batch starts from the index of batch N-1 and so emits the same rows.
+    batch starts from the index of batch N-1 and so emits the same rows. Totals that neither needs are
+    removed, so at most two folders a bucket stay.
     """
     keys, sums = list(keys), list(sums)
     totals_root, index_root = os.path.join(out_root, "_totals"), os.path.join(out_root, "_index")
@@ -452,7 +457,9 @@ def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: S
                 *[F.col(k).alias(f"_k_{k}") for k in keys],
                 *[F.col(f"cum_{c}").alias(f"_p_{c}") for c in sums])
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        run = rows.select(*columns, *[F.sum(c).over(w).alias(f"_r_{c}") for c in sums])
+        run = rows.select(*columns, *[F.sum(c).over(w).alias(f"_r_{c}") for c in sums]) if block is None \
+            else running(rows.select(*columns), keys, [F.col(order)], block,
+                         {f"_r_{c}": ("sum", c) for c in sums})
         added = rows.groupBy("_bucket", *keys).agg(*[F.sum(c).alias(f"_r_{c}") for c in sums])
 
         def with_before(df: DataFrame, how: str) -> DataFrame:
@@ -473,32 +480,56 @@ def cumulative_sink(results: DataFrame, keys: Sequence[str], order: str, sums: S
         merged = merged.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
         (merged.select("_bucket", *keys, *map(total, sums)).write.mode("overwrite")
          .partitionBy("_bucket").parquet(_batch_dir(totals_root, batch_id)))
+        replaced = {b: m for b, m in written.items() if m == batch_id - 1}
+        needed = set(written.values()) | {batch_id}
         written |= {b: batch_id for b in own}
         spark.createDataFrame(list(written.items()), "bucket int, batch long").coalesce(1).write.mode(
             "overwrite").parquet(_batch_dir(index_root, batch_id))
+        prune(spark, batch_id, replaced, needed)
+
+    def prune(spark: SparkSession, batch_id: int, replaced: dict, needed: set):
+        """Remove what neither the next batch nor a replay of this one reads: buckets that the batch before
+        has written anew, totals without any bucket left, and the indexes before that batch's."""
+        if replaced and batch_id - 2 in store.folders(spark, index_root):
+            old = spark.read.parquet(_batch_dir(index_root, batch_id - 2))
+            for r in old.collect():  # at most ``buckets``
+                if r["bucket"] in replaced:
+                    store.drop(spark, _batch_dir(totals_root, r["batch"]), f"_bucket={r['bucket']}")
+        for m in store.folders(spark, totals_root, complete=False):
+            if m not in needed:
+                store.drop(spark, _batch_dir(totals_root, m))
+        store.drop_before(spark, index_root, batch_id - 1)
 
     return _foreach(results, per_batch, "cumulative", checkpoint, trigger)
 
 
 def upsert_sink(results: DataFrame, keys: Sequence[str], out_root: str,
                 checkpoint: str | None = None, trigger: str | None = "availableNow",
-                mode: str = "update") -> StreamingQuery:
+                mode: str = "update", compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Counters per key with the last value kept (K3), e.g. (window_end, n): batch N writes the rows
-    that changed to ``out_root/batch_id=N``; :func:`latest` reads the newest row of each key."""
+    that changed to ``out_root/batch_id=N``; :func:`latest` reads the newest row of each key. Every
+    ``compact_every`` batches the ones before are merged into a snapshot with one row per key."""
     def per_batch(bdf: DataFrame, batch_id: int):
         bdf.write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
+        if batch_id and batch_id % compact_every == 0:
+            store.compact(bdf.sparkSession, out_root, batch_id - 1, lambda rows: newest(rows, keys))
 
     ck = checkpoint or scratch_path(results.sparkSession, "streams", "upsert")
     w = results.writeStream.outputMode(mode).foreachBatch(per_batch).option("checkpointLocation", ck)
     return _trigger(w, trigger).start()
 
 
+def newest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key the row of the latest batch, with its ``batch_id``."""
+    values = [c for c in rows.columns if c not in keys]
+    top = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
+    return top.select(*keys, "_v.*")
+
+
 def latest(spark: SparkSession, out_root: str, keys: Sequence[str]) -> DataFrame:
-    """The rows of an :func:`upsert_sink` as a table: per key the one of the latest batch."""
-    rows = spark.read.parquet(out_root)
-    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return newest.select(*keys, "_v.*")
+    """The rows of an :func:`upsert_sink` as a table: per key the one of the latest batch. Reads the
+    snapshot and the batches after it."""
+    return newest(store.read(spark, out_root), keys).drop("batch_id")
 
 
 def _by_window(df: DataFrame, key: str, ts: str, size: str, seq: str, delay: str, *cols) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.hashing import BITMAP_BITS, HASH_SEED, poly_hash
+from ..operators.behavior import seq_block
 from ..plans.panes import interval_us
 from .runners import cumulative_sink, event_time
 
@@ -343,11 +344,12 @@ def uv_running_sink(views: DataFrame, ts: str, user: str, size: str, out_root: s
     ``out_root/emitted``.
 
     Stage one tells new users from seen ones per (window, part of the bitmap); stage two adds the parts
-    up: a running sum per window in arrival order inside the micro-batch, on the window's total of the
-    batches before (:func:`cumulative_sink`). Arrivals must come in ``seq`` order over micro-batches.
+    up: a running sum per window in arrival order inside the micro-batch, in blocks of arrivals, on the
+    window's total of the batches before (:func:`cumulative_sink`). Arrivals must come in ``seq`` order over micro-batches.
     """
     new = first_views_stream(views, ts, user, size, seq, delay)
-    return cumulative_sink(new, ["window_start"], seq, ["new"], out_root, checkpoint, trigger)
+    return cumulative_sink(new, ["window_start"], seq, ["new"], out_root, checkpoint, trigger,
+                           block=seq_block(seq))
 
 
 def read_uv_running(spark, out_root: str, seq: str = "seq") -> DataFrame:
