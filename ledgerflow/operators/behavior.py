@@ -109,23 +109,24 @@ def uv_running(views: DataFrame, ts: str, user: str, size: str, seq: str = "seq"
                block_rows: int = DEFAULT_BLOCK_ROWS, hashed: bool = False) -> DataFrame:
     """Fire-and-purge on every element: after each view, the distinct users of its window so far.
 
-    A user's first view in a window adds one; the running count is a blocked prefix sum over the
-    window's arrivals, so a busy window is spread over tasks. ``hashed=True`` counts distinct
-    ``poly_hash`` bit indexes instead (the bitmap job's notion of a new user: its bit was unset).
+    A user's first view in a window adds one. The first views are a partially aggregated min per
+    (window, user); as rows of their own they join the window's views in one blocked prefix scan along the
+    arrivals, so no view looks up its user, and neither a busy window nor a busy user meets in one task.
+    ``hashed=True`` counts distinct ``poly_hash`` bit indexes instead (the bitmap job's notion of a new
+    user: its bit was unset). Views without a user are left out.
     """
     ident = poly_hash(F.col(user).cast("string")) if hashed else F.col(user)
-    d = views.select(F.window(ts, size).start.alias("window_start"),
-                     F.window(ts, size).end.alias("window_end"), F.col(user).alias("user_id"),
-                     ident.alias("_id"), seq)
-    # first sight of a user in a window: a partially aggregated min per (window, user) joined
-    # back -- not a window over (window, user), which would put a hot user's hour in one task;
-    # a skewed join partition is split by AQE
-    firsts = d.groupBy("window_start", "_id").agg(F.min(seq).alias("_first"))
-    d = d.join(firsts, ["window_start", "_id"]).withColumn(
-        "_new", (F.col(seq) == F.col("_first")).cast("int"))
-    r = running(d, ["window_start"], [F.col(seq)], seq_block(seq, block_rows),
+    w = F.window(ts, size)
+    d = views.select(w.start.alias("window_start"), w.end.alias("window_end"), F.col(user).alias("user_id"),
+                     ident.alias("_id"), F.col(seq).alias("_seq"), F.lit(0).alias("_new")).where("_id IS NOT NULL")
+    firsts = d.groupBy("window_start", "window_end", "_id").agg(F.min("_seq").alias("_seq"))
+    firsts = firsts.select("window_start", "window_end", F.lit(None).cast(d.schema["user_id"].dataType).alias("user_id"),
+                           "_seq", F.lit(1).alias("_new"))
+    both = d.drop("_id").unionByName(firsts)
+    r = running(both, ["window_start"], [F.col("_seq"), F.col("_new").desc()], seq_block("_seq", block_rows),
                 {"uv": ("sum", F.col("_new"))})
-    return r.select("window_start", "window_end", seq, "user_id", F.col("uv").cast("bigint"))
+    return r.where("_new = 0").select("window_start", "window_end", F.col("_seq").alias(seq), "user_id",
+                                      F.col("uv").cast("bigint"))
 
 
 # ------------------------------------------------------------------ A10

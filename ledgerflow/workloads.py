@@ -355,7 +355,8 @@ def q_late_split_delay(spark, sf_dir):
 
 @query("on_time_counts")
 def q_on_time_counts(spark, sf_dir):
-    on_time, _ = lateness.late_split(_delayed(spark, sf_dir), "ets", "event_id", "1 hour")
+    rows = _delayed(spark, sf_dir).drop("user_id")
+    on_time, _ = lateness.late_split(rows, "ets", "event_id", "1 hour")
     g = on_time.groupBy(F.window("ets", "1 hour").alias("w"), "event_type").agg(
         F.count(F.lit(1)).alias("count"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),

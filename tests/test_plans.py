@@ -77,3 +77,56 @@ def test_ranges_block_length_does_not_change_result(spark):
         got = sliding_aggregate(e, "ts", "1 hour", "5 minutes", ["event_type"], method="ranges",
                                 block=block)
         assert sorted(tuple(r) for r in got.collect()) == want, block
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+
+
+def test_ordered_scans_read_their_input_once(spark):
+    """One scan of the table and one exchange of its rows; what else is shuffled are block totals."""
+    import re
+    from ledgerflow import workloads
+    for name in ("running_avg", "device_collect", "count_trigger", "order_pay_match", "order_pay_timeout",
+                 "late_split", "late_split_delay", "on_time_counts", "purge_segments"):
+        plan = _final_plan(workloads.REGISTRY[name](spark, SF_SMALL))
+        assert len(re.findall(r"FileScan parquet|Scan parquet", plan)) == 1, name
+        assert "ReusedExchange" in plan, name
+        if name in ("running_avg", "device_collect", "count_trigger", "order_pay_match", "order_pay_timeout"):
+            assert len(re.findall(r"(?<!Reused)Exchange (?:hash|range|Single)", plan)) <= 3, name
+
+
+def test_hot_group_is_spread_over_its_blocks(spark):
+    """No task of the scan sees more of a hot group than a few blocks of it."""
+    from ledgerflow.operators import patterns
+    df = spark.range(20000).select(F.lit("hot").alias("k"), F.when(F.col("id") % 3 > 0, "create").otherwise("pay").alias("kind"),
+                                   F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.col("id").alias("seq"))
+    n = patterns.next_follow(df, "k", "kind", "create", "pay", "2 minutes")
+    per_task = n.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 13333 and max(r["count"] for r in per_task) < 13333 / 3
+    wrong = n.where((F.col("next_seq") != F.col("seq") + 3 - F.col("seq") % 3) & (F.col("seq") < 19998)).count()
+    assert wrong == 0
+
+
+def test_window_join_deals_a_hot_window_into_a_grid(spark):
+    from ledgerflow.operators import joins
+    left = spark.range(1200).select(F.when(F.col("id") < 600, 0).otherwise(F.col("id") % 50).alias("k"),
+                                    F.timestamp_seconds(F.when(F.col("id") < 600, 5).otherwise(F.col("id"))).alias("ts"),
+                                    F.col("id").alias("a"))
+    right = left.where("a % 2 = 0").withColumnRenamed("a", "b")
+    right = right.unionAll(spark.sql("SELECT CAST(NULL AS bigint), timestamp_seconds(5), 7L"))
+    want = joins.window_join(left, right, "k", "100 seconds", lcols=["a"], rcols=["b"], portion_rows=10 ** 9)
+    got = joins.window_join(left, right, "k", "100 seconds", lcols=["a"], rcols=["b"], portion_rows=40)
+    assert got.count() == want.count() > 600 * 300
+    assert got.exceptAll(want).count() == 0
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        per_task = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert max(per_task) < 0.4 * sum(per_task)
