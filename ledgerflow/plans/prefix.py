@@ -5,13 +5,13 @@ A plain ``Window.partitionBy(g).orderBy(o)`` sends every row of a group to one t
 column that never decreases with the order inside a group, e.g. ``floor(seq / B)`` or a time bucket):
 
 1. running aggregate inside each ``(group, block)``  -- a window over at most one block;
-2. one total per ``(group, block)``                   -- the running aggregate of its last row;
+2. one total per ``(group, block)``                   -- a hash aggregate;
 3. exclusive prefix of the block totals per group      -- a window over the small block table
    (itself blocked again when ``fanout`` is set, so even a global order stays spread out);
 4. join 3 back on ``(group, block)`` and combine.
 
-Steps 1 and 2 read the same shuffled rows: the last row is found by all of its columns, so the columns
-of both are the same, and Spark plans one scan and one exchange of the data (the second use reads the
+Steps 1 and 2 read the same shuffled rows: both start from one repartition by ``(group, block)`` and
+use the same columns, so Spark plans one scan and one exchange of the data (the second use reads the
 exchange again). What else is shuffled are block totals.
 
 The group is carried as one struct column (never null; null fields compare equal, like a window's
@@ -59,25 +59,22 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], blo
         blk = f"_lf_blk{_depth}"
         d = d.withColumn(blk, block)
     keys = [blk]
+    chained = isinstance(block, str) and GROUP in d.columns  # already dealt out by these keys
     if by:
         if GROUP not in d.columns:
             d = d.withColumn(GROUP, F.struct(*by))
         keys = [GROUP, blk]
 
+    d = d if chained else d.repartition(*keys)
     w = (Window.partitionBy(*keys).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
     inner = d.select("*", *[_RUN[k](_col(c)).over(w).alias(f"_lf_in_{n}")
                             for n, (k, c) in specs.items()])
 
-    # the block's total is the inclusive value at its last row; naming every column keeps the exchange
-    # below it the same as that of ``inner``
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = d.select("*", F.struct(*[_RUN[k](_col(c)).over(upto).alias(f"_lf_t_{n}")
-                               for n, (k, c) in specs.items()]).alias("_lf_t"),
-                    F.row_number().over(upto).alias("_lf_nth"))
+    # a digest of all columns keeps those of the exchange the same as below ``inner``
     named = [f.name for f in d.schema.fields if not isinstance(f.dataType, T.MapType)]
-    totals = last.groupBy(*keys).agg(F.max_by("_lf_t", F.struct("_lf_nth", *named)).alias("_lf_t"))
-    totals = totals.select(*keys, *[f"_lf_t.{f'_lf_t_{n}'}" for n in specs])
+    totals = d.groupBy(*keys).agg(*[_RUN[k](_col(c)).alias(f"_lf_t_{n}") for n, (k, c) in specs.items()],
+                                  F.max(F.xxhash64(*named)).alias("_lf_any")).where("_lf_any IS NOT NULL")
     gkeys = keys[:-1]
     if fanout:
         tspecs = {f"_lf_p_{n}": ("sum" if k == "count" else k, F.col(f"_lf_t_{n}"))
