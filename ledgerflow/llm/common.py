@@ -35,6 +35,17 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have: the given ones, with underscores added as needed."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def utf8(column: pa.Array) -> list:
     """A text column as UTF-8 bytes; null counts as empty."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]

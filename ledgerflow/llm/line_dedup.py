@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import bounded_batches, rows, stored, utf8
+from .common import bounded_batches, rows, stored, unused, utf8
 
 STRIP = b" \t\n\x0b\x0c\r"
 MIN_DOCS = 10
@@ -227,20 +227,25 @@ def frequent_lines(keys: DataFrame, refs: DataFrame, filters: DataFrame, shards:
     return maybe.join(refs.where(F.col("refs") >= min_docs), "key", "left_semi")
 
 
+def counts(docs: DataFrame) -> list[str]:
+    """Names of the two columns that :func:`drop_lines` adds: ``_llm_lines`` and ``_llm_dropped``, with
+    underscores added where ``docs`` has such columns."""
+    return unused(docs, "_llm_lines", "_llm_dropped")
+
+
 def drop_lines(docs: DataFrame, lines: DataFrame, frequent: DataFrame, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``docs`` without the lines whose digest is in ``frequent``; the other lines joined by a line
-    feed. All columns stay; two are added at the end, ``_llm_lines`` and ``_llm_dropped``, the
-    numbers of lines before and of lines dropped. A null text becomes empty."""
+    feed. All columns stay; two are added at the end, named by :func:`counts`: the numbers of lines
+    before and of lines dropped. A null text becomes empty."""
     bounded_batches(docs.sparkSession)
-    own = (lines.join(frequent, "key", "left_semi").groupBy(F.col("id").alias("_llm_id"))
-           .agg(F.collect_list("key").alias("_llm_keys"), F.lit(True).alias("_llm_has")))
-    joined = (docs.join(own, F.col(id_col).eqNullSafe(F.col("_llm_id")), "left")
-              .drop("_llm_id", "_llm_has"))
+    own_id, own_keys = unused(docs, "_llm_id", "_llm_keys")
+    own = (lines.join(frequent, "key", "left_semi").groupBy(F.col("id").alias(own_id))
+           .agg(F.collect_list("key").alias(own_keys)))
+    joined = docs.join(own, F.col(id_col).eqNullSafe(F.col(own_id)), "left").drop(own_id)
     names = docs.columns
     at = names.index(text_col)
-    schema = StructType([*docs.schema.fields, StructField("_llm_lines", LongType()),
-                         StructField("_llm_dropped", LongType())])
+    schema = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in counts(docs)]])
 
     def run(batches):
         for whole in batches:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, components, rows, stored, utf8
+from .common import bounded_batches, components, rows, stored, unused, utf8
 from .words import shingles
 
 HASHES = 60
@@ -340,11 +340,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id; of rows with the same id the one with the smallest text. Rows with a null id all stay. All
     columns stay."""
     named, nameless = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    own, nth = unused(docs, "_llm_kept", "_llm_rn")
     kept = (near_duplicates(docs, id_col, text_col, percent, shingle)
             .where(F.col("kept") & F.col(id_col).isNotNull())
-            .select(F.col(id_col).alias("_llm_kept")).distinct())
+            .select(F.col(id_col).alias(own)).distinct())
     # joined and ordered by the bare id: the texts are shuffled once for both
-    stay = named.join(kept, F.col(id_col) == F.col("_llm_kept"), "left_semi")
+    stay = named.join(kept, F.col(id_col) == F.col(own), "left_semi")
     order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
-    return (stay.withColumn("_llm_rn", F.row_number().over(order)).where("_llm_rn = 1")
-            .drop("_llm_rn").unionAll(nameless))
+    return (stay.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
+            .unionAll(nameless))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -100,9 +100,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     threshold, so that texts are not shuffled by source.
     """
     sizes = docs.select(F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
+    of, rate, copy = unused(docs, "_llm_of", "_llm_rate", "_llm_copy")
     rates = stored(source_rates(sizes, **options), "rates").select(
-        F.col("source").alias("_llm_of"), F.col("rate").alias("_llm_rate"))
-    n = copies(F.col("_llm_rate"), F.col(id_col))
-    return (docs.join(rates, F.col(source_col).eqNullSafe(F.col("_llm_of")))
-            .withColumn("_llm_copy", F.explode(F.array_repeat(F.lit(0), n.cast("int"))))
-            .drop("_llm_of", "_llm_rate", "_llm_copy"))
+        F.col("source").alias(of), F.col("rate").alias(rate))
+    n = copies(F.col(rate), F.col(id_col))
+    return (docs.join(rates, F.col(source_col).eqNullSafe(F.col(of)))
+            .withColumn(copy, F.explode(F.array_repeat(F.lit(0), n.cast("int")))).drop(of, rate, copy))
