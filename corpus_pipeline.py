@@ -21,7 +21,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs).drop("_llm_lines", "_llm_dropped")
+    out = line_dedup.dedup_lines(docs).drop(*line_dedup.counts(docs))
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
