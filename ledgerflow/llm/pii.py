@@ -1,15 +1,17 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Base entities are found by one pattern per kind. They are the seeds: the word left of a seed is a
-lexical pattern for its kind, and patterns and the identifiers they stand before form a graph over
-the whole corpus. A pattern scores by the share of its known identifiers that are of its kind, an
-unknown identifier by its best pattern, and the two are computed from each other for a few rounds.
-Patterns with enough distinct seeds and a high score then mark identifiers that no base pattern
-matches, where their shape fits the kind.
+Base entities are found by one pattern per kind. They are the seeds. What stands around an identifier are
+its lexical patterns: the word on its left, the two words there, the word on its right, and the words on
+both sides, lower-cased and with each number read as one sign. Patterns and the identifiers that they stand
+around form a graph over the whole corpus. A pattern scores by the share of its identifiers that are of
+a kind: seeds weigh 1, an unseen identifier whose shape fits weighs the best score of its patterns. The two
+are computed from each other for some rounds. A pattern takes part for a kind as soon as it has enough
+distinct seeds and trusted finds, so finds of one round induce the patterns of the next. Patterns with a
+high score at the end mark the identifiers that no base pattern matches, where their shape fits the kind.
 
 Only texts with a digit or an at sign can hold any of this; the others are not taken further. What
-is shuffled are the matches, not the texts, so a text with very many matches is spread out like any
-other rows.
+is shuffled are the matches with 64-bit digests of their patterns, not the texts, so a text with very many
+matches is spread out like any other rows. Weights are decimals: their sums do not depend on the order.
 """
 
 from __future__ import annotations
@@ -45,9 +47,10 @@ SHAPES = {
     "card": r"^[0-9]([\x20-]?[0-9]){9,22}$",
     "phone": r"^[+(]?[0-9](?:[0-9().-]|\x20(?=[(0-9])){5,18}[0-9]$",
 }
-ROUNDS = 3
+ROUNDS = 4
 MIN_SEEDS = 8
 MIN_SCORE = 0.9
+WEIGHT = "decimal(12,10)"
 
 
 def _digits(m: Column) -> Column:
@@ -72,19 +75,38 @@ def accepted(kind: Column, m: Column) -> Column:
             .otherwise(True))
 
 
+def _contexts(before: Column, after: Column) -> Column:
+    """Digests of the lexical patterns of what stands between two texts."""
+    def plain(text):
+        return F.translate(text, "\t\n\x0b\x0c\r", "     ")
+
+    def general(words):
+        return F.regexp_replace(F.lower(words), "[0-9]+", "0")
+
+    left, right = F.rtrim(plain(before)), F.ltrim(plain(after))
+    one, two = general(F.substring_index(left, " ", -1)), general(F.substring_index(left, " ", -2))
+    next_ = general(F.substring_index(right, " ", 1))
+    found = F.array(F.when(one != "", F.xxhash64(F.lit("left"), one)),
+                    F.when(two != one, F.xxhash64(F.lit("two"), two)),
+                    F.when(next_ != "", F.xxhash64(F.lit("right"), next_)),
+                    F.when((one != "") & (next_ != ""), F.xxhash64(F.lit("both"), one, next_)))
+    return F.filter(found, lambda c: c.isNotNull())
+
+
 def _found(text: Column, kind: str, pattern: str) -> Column:
-    """Array of (kind, i, gap, m, left): the matches in order, the length of the text between each
-    and the one before, and the word on its left."""
+    """Array of (kind, i, gap, m, ctx): the matches in order, the length of the text between each and
+    the one before, and the patterns it stands in, read from the texts up to its neighbours."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
+    n = F.size(matches)
 
-    def item(m, g, i):
-        plain = F.rtrim(F.translate(g, "\t\n\x0b\x0c\r", "     "))
+    def item(m, g, after, i):
         return F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.length(g).alias("gap"),
-                        m.alias("m"), F.lower(F.substring_index(plain, " ", -1)).alias("left"))
+                        m.alias("m"), _contexts(g, after).alias("ctx"))
 
-    pairs = F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g"))
-    return F.transform(pairs, lambda x, i: item(x["m"], x["g"], i))
+    triples = F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), n).alias("g"),
+                           F.slice(gaps, F.lit(2), n).alias("r"))
+    return F.transform(triples, lambda x, i: item(x["m"], x["g"], x["r"], i))
 
 
 def _spaced(m: Column) -> Column:
@@ -112,7 +134,7 @@ def _trimmed(placed: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, h, kind, s, e, m, left): accepted base entities, and as kind ``token`` all identifier-like
+    """(id, h, kind, s, e, m, ctx): accepted base entities, and as kind ``token`` all identifier-like
     tokens, as kind ``run`` phones and cards written with blanks, both without the punctuation around
     them, with places in code points (end exclusive). ``h`` is the md5 of the text: a document is
     an id with a text, and repeated rows count once."""
@@ -126,7 +148,7 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     end = F.sum(F.col("gap") + F.length("m")).over(w)
     placed = flat.withColumn("e", end).withColumn("s", F.col("e") - F.length("m"))
     return (_trimmed(placed.where(accepted(F.col("kind"), F.col("m"))))
-            .select("id", "h", "kind", "s", "e", "m", "left"))
+            .select("id", "h", "kind", "s", "e", "m", "ctx"))
 
 
 def unseen(found: DataFrame) -> DataFrame:
@@ -156,34 +178,45 @@ def _fits(kind: Column, m: Column) -> Column:
 
 def patterns(found: DataFrame, unknown: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
              min_score: float = MIN_SCORE) -> DataFrame:
-    """(kind, left): the lexical patterns in which bootstrapping trusts.
+    """(p, kind): the lexical patterns in which bootstrapping trusts, by their digests.
 
     The graph's edges are the distinct (pattern, identifier) pairs, so copies of a document add
-    nothing. A seed weighs 1 for its own kind and 0 for the others; an unknown identifier whose shape
+    nothing. A seed weighs 1 for its own kind and 0 for the others; an unseen identifier whose shape
     fits a kind weighs, for this kind, the best score of its patterns, 0 at first. A pattern's score
-    for a kind is the mean weight of its identifiers. Sums are combined before each shuffle.
+    for a kind is the mean weight of its identifiers. It has one when at least ``min_seeds`` of them are
+    seeds, or, counting only finds that weigh ``min_score``, seeds and finds. Sums are combined before
+    each shuffle.
     """
-    has_word = F.length("left") > 0
-    seeds = (found.where(~F.col("kind").isin("token", "run") & has_word).select("left", "m", "kind").distinct())
-    kinds = seeds.groupBy("left", "kind").agg(F.count("*").alias("seeds")).where(
-        F.col("seeds") >= min_seeds)
-    known = seeds.select("left", "m").distinct()
-    size = (known.unionAll(unknown.where(has_word).select("left", "m").distinct())
-            .groupBy("left").agg(F.count("*").alias("n")))
-    base = kinds.join(size, "left").withColumn("score", F.col("seeds") / F.col("n"))
-    open_ = (unknown.where(has_word).select("left", "m").distinct()
-             .join(kinds.select("left", "kind"), "left").where(_fits(F.col("kind"), F.col("m"))))
-    score = base
+    def edges(rows, *columns):
+        return rows.select(F.explode("ctx").alias("p"), "m", *columns).distinct()
+
+    seeds = edges(found.where(~F.col("kind").isin("token", "run")), "kind")
+    open_ = edges(unknown)
+    size = (seeds.select("p", "m").distinct().unionAll(open_).groupBy("p").agg(F.count("*").alias("n")))
+    seeded = seeds.groupBy("p", "kind").agg(F.count("*").alias("seeds"))
+    fitting = F.filter(F.array(*map(F.lit, KINDS)), lambda k: _fits(k, F.col("m")))
+    open_ = stored(open_.select("p", "m", F.explode(fitting).alias("kind")), "open")
+    counted = stored(open_.select("p", "kind").unionAll(seeded.select("p", "kind")).distinct()
+                     .join(seeded, ["p", "kind"], "left").join(size, "p")
+                     .select("p", "kind", F.coalesce("seeds", F.lit(0)).alias("seeds"), "n"), "counted")
+    trusted = F.lit(str(min_score)).cast(WEIGHT)
+
+    def scored(weight: Column) -> Column:
+        return (weight / F.col("n")).cast(WEIGHT).alias("score")
+
+    score = counted.where(F.col("seeds") >= min_seeds).select(
+        "p", "kind", scored(F.col("seeds").cast("decimal(20,0)")))
     for _ in range(rounds):
-        weight = (open_.join(score.select("left", "kind", "score"), ["left", "kind"])
-                  .groupBy("kind", "m").agg(F.max("score").alias("w")))
-        gain = (open_.join(weight, ["kind", "m"]).groupBy("left", "kind")
-                .agg(F.sum("w").alias("w")))
-        score = (base.drop("score").join(gain, ["left", "kind"], "left")
-                 .withColumn("score", (F.col("seeds") + F.coalesce("w", F.lit(0.0))) / F.col("n"))
-                 .drop("w"))
-        score = stored(score, "patterns")
-    return score.where(F.col("score") >= min_score).select("left", "kind")
+        weight = open_.join(score, ["p", "kind"]).groupBy("kind", "m").agg(F.max("score").alias("w"))
+        gain = open_.join(weight, ["kind", "m"]).groupBy("p", "kind").agg(
+            F.sum("w").alias("all"), F.sum(F.when(F.col("w") >= trusted, F.col("w"))).alias("sure"),
+            F.count(F.when(F.col("w") >= trusted, 1)).alias("finds"))
+        both = counted.join(gain, ["p", "kind"], "left").na.fill(0, ["finds"])
+        own = F.col("seeds") >= min_seeds
+        added = F.coalesce(F.when(own, F.col("all")).otherwise(F.col("sure")), F.lit(0))
+        score = stored(both.where(own | (F.col("seeds") + F.col("finds") >= min_seeds)).select(
+            "p", "kind", scored(F.col("seeds") + added)), "patterns")
+    return score.where(F.col("score") >= trusted).select("p", "kind")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
@@ -195,7 +228,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     unknown = stored(unseen(found), "unseen")
     trusted = patterns(found, unknown, rounds, min_seeds, min_score)
     order = _order(F.col("kind"))
-    added = (unknown.drop("kind").join(trusted, "left").where(_fits(F.col("kind"), F.col("m")))
+    around = unknown.drop("kind").withColumn("p", F.explode("ctx")).drop("ctx")
+    added = (around.join(trusted, "p").where(_fits(F.col("kind"), F.col("m")))
              .groupBy("id", "h", "s", "e", "m").agg(F.min_by("kind", order).alias("kind")))
     cols = ["id", "h", "kind", "s", "e", "m"]
     return (found.where("kind NOT IN ('token', 'run')").select(*cols, F.lit(True).alias("base"))

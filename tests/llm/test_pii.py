@@ -1,7 +1,7 @@
 """Personal data: base patterns against Python's matcher, and what bootstrapping adds."""
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 from ledgerflow.llm import pii
 
@@ -83,3 +83,73 @@ def test_bootstrapping_with_punctuation_and_blanks(spark):
     got = {r.doc_id: r.spans for r in pii.spans_per_document(df).collect()}
     assert [got[300 + i] for i in range(len(odd))] == [f"phone:{w}" for w in want]
     assert all(got[200 + i] == "phone:5:16" for i in range(30))
+
+
+def plain_bootstrap(rows, rounds=4, least=8, high=0.9):
+    """Scores over sets of words, one identifier a text: (left words, identifier, kind or None, right words)."""
+    def general(w):
+        return re.sub("[0-9]+", "0", w.lower())
+
+    edges = defaultdict(dict)
+    for left, m, kind, right in rows:
+        words = [general(w) for w in left.split()]
+        after = general(right.split()[0]) if right.split() else ""
+        contexts = []
+        if words:
+            contexts += [("left", words[-1])] + [("two", *words[-2:])] * (len(words) > 1)
+        if after:
+            contexts.append(("right", after))
+            if words:
+                contexts.append(("both", words[-1], after))
+        for c in contexts:
+            edges[c][m] = kind
+    score = {}
+    fits = {k: re.compile(p) for k, p in pii.SHAPES.items()}
+    for r in range(rounds + 1):
+        weight = defaultdict(float)
+        for (c, k), x in score.items():
+            for m, own in edges[c].items():
+                if own is None and fits[k].search(m):
+                    weight[m, k] = max(weight[m, k], x)
+        score = {}
+        for c, ms in edges.items():
+            for k in pii.KINDS:
+                seeds = sum(own == k for own in ms.values())
+                ws = [weight[m, k] for m, own in ms.items() if own is None and fits[k].search(m)]
+                sure = [w for w in ws if w >= high]
+                if seeds >= least:
+                    score[c, k] = (seeds + sum(ws)) / len(ms)
+                elif r and seeds + len(sure) >= least:
+                    score[c, k] = (seeds + sum(sure)) / len(ms)
+    found = set()
+    for (c, k), x in score.items():
+        if x >= high:
+            found |= {(m, k) for m, own in edges[c].items() if own is None and fits[k].search(m)}
+    return found
+
+
+def test_finds_induce_patterns_that_find_more(spark):
+    """Numbers after ``Tel:`` are finds of the first rounds; the word on their right is learnt from them
+    and finds numbers that stand after other words. Decoys after untrusted words are left alone."""
+    rnd = random.Random(12)
+    parts = [("Tel:", f"+1 269 555 {1000 + i}", "phone", f"w{chr(97 + i % 26)}x") for i in range(150)]
+    parts += [("Tel:", f"030-555{i:04d}", None, "durchwahl") for i in range(80)]
+    parts += [(f"v{chr(97 + i)}y", f"0441-77{i:04d}", None, "durchwahl") for i in range(4)]
+    parts += [("order", f"4111-1111-{i:04d}", None, "shipped") for i in range(30)]
+    parts += [("the", f"10.0.0.{i}", "ip", "host") for i in range(20)]
+    parts += [("the", f"u{i}@x.org", "email", "host") for i in range(20)]
+    parts += [("the", "1.2.3", None, "host"), ("see", "room 12", None, "x")]
+    rnd.shuffle(parts)
+    rows = [(i, f"{left} {m} {right}") for i, (left, m, _, right) in enumerate(parts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = set()
+    for r in pii.spans_per_document(df).collect():
+        base, text = set(r.base.split(",")), rows[r.doc_id][1]
+        for span in filter(None, r.spans.split(",")):
+            if span not in base:
+                kind, s, e = span.split(":")
+                got.add((text[int(s):int(e)], kind))
+    want = plain_bootstrap([(left, m, k, right) for left, m, k, right in parts if m != "room 12"])
+    assert got == want
+    assert {(f"0441-77{i:04d}", "phone") for i in range(4)} <= got
+    assert not any(m.startswith("4111-") for m, _ in got) and ("1.2.3", "ip") not in got
