@@ -17,8 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from ledgerflow import workloads  # noqa: E402
 from ledgerflow.session import get_session, scale_conf  # noqa: E402
 
-# Every query of the reference's operators.
-HEADLINE = list(workloads.REGISTRY)
+# Every batch query of the reference's operators (a stream's time is mostly its start and its commits).
+HEADLINE = [n for n in workloads.REGISTRY if not n.startswith("stream_")]
 
 
 def main():

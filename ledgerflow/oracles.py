@@ -408,3 +408,28 @@ ORACLES["offset_ledger"] = """
 SELECT 'events' AS topic, CAST(user_id % 8 AS INTEGER) AS partition, max(event_id) + 1 AS next_offset
 FROM events GROUP BY ALL
 """
+
+# ---------------------------------------------------------------- streams
+ORACLES["src_mark_lines"] = """
+SELECT CAST(user_id AS VARCHAR) AS name, CAST(value AS DECIMAL(18,2)) AS mark FROM events
+"""
+
+# A stream without further rows stops at the latest event time: what lies beyond has not closed.
+ORACLES["stream_early_fire"] = "SELECT * FROM (" + ORACLES["early_fire"].replace(
+    "CAST(user_id AS VARCHAR) AS id", "CAST(user_id % 8 AS VARCHAR) AS id") + \
+    ") WHERE fire_time < (SELECT date_trunc('millisecond', max(ts)) FROM events)"
+
+ORACLES["stream_sliding"] = "SELECT * FROM (" + ORACLES["marketing_sliding"] + \
+    ") WHERE window_end < (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type <> 'error')"
+
+ORACLES["stream_segments"] = ORACLES["purge_segments"]
+
+ORACLES["stream_uv_running"] = f"""
+WITH v AS (SELECT user_id, event_id AS seq, time_bucket(INTERVAL 1 DAY, ts) AS window_start, {POLY_HASH} AS h
+           FROM events WHERE event_type = 'view'),
+f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY window_start, h ORDER BY seq) = 1
+                     THEN 1 ELSE 0 END AS new FROM v)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, seq, user_id,
+       CAST(sum(new) OVER (PARTITION BY window_start ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS uv
+FROM f
+"""

@@ -50,4 +50,9 @@ DEVICE = T.StructType([
     T.StructField("ts_ms", T.LongType(), True),
 ])
 
+MARK = T.StructType([
+    T.StructField("name", S, True),
+    T.StructField("mark", T.DecimalType(18, 2), True),
+])
+
 MONEY = T.DecimalType(38, 2)

@@ -8,6 +8,7 @@ result independently; column names are aliased identically on both sides.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,8 @@ from .functions.parse import (DC_RENAME, IN_CODES, OUT_CODES, classify_dc, epoch
                               uuid_nodash)
 from .operators import (behavior, cells, flows, joins, lateness, ledger, lookup, patterns, routing,
                         triggers)
-from .schemas import ORDER_EVENT, USER_BEHAVIOR
+from .schemas import MARK, ORDER_EVENT, USER_BEHAVIOR
+from .session import scratch_path
 from .sources import tables as tb
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +108,14 @@ def q_src_order_lines(spark, sf_dir):
     return parsed.withColumn("ts", epoch_to_ts("event_time", "s").cast("timestamp_ntz"))
 
 
+@query("src_mark_lines")
+def q_src_mark_lines(spark, sf_dir):
+    """events -> ``name,mark`` lines -> parsed back, the mark as exact cents."""
+    m = tb.events_as_marks(_events(spark, sf_dir))
+    line = F.concat(F.col("name"), F.lit(", "), F.col("mark").cast("string"))
+    return parse_csv_lines(m.select(line.alias("value")), MARK)
+
+
 @query("src_device_lines")
 def q_src_device_lines(spark, sf_dir):
     """events -> device CSV lines -> parsed back, with the event time from epoch milliseconds."""
@@ -422,3 +432,60 @@ def q_offset_ledger(spark, sf_dir):
     first = e.where("offset % 4 < 2")
     second = e.where("offset % 4 >= 2").unionByName(e.where("offset % 4 = 1"))
     return ledger.advance(ledger.advance(None, first), second)
+
+
+# ---------------------------------------------------------------- streams
+def _event_stream(spark, sf_dir):
+    """``events`` as a stream through the file source; as a pattern, the path may be a file or a folder."""
+    return spark.readStream.schema(_events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parque[t]")
+
+
+def _stream_folder(spark) -> str:
+    return scratch_path(spark, "streams", uuid.uuid4().hex)
+
+
+def _run_to_end(df: DataFrame) -> DataFrame:
+    """Run a stream over what is there and read what it wrote; times as in the tables."""
+    from . import streaming
+    spark, root = df.sparkSession, _stream_folder(df.sparkSession)
+    streaming.start(df, "run", checkpoint=f"{root}/checkpoint", fmt="parquet", path=f"{root}/out").awaitTermination()
+    return _wall_times(spark.read.schema(df.schema).parquet(f"{root}/out"))
+
+
+def _wall_times(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+
+
+@query("stream_early_fire")
+def q_stream_early_fire(spark, sf_dir):
+    """Early and final firings of eight device groups in one streaming query, as far as the watermark goes."""
+    from .streaming import early_firing_stream
+    d = tb.events_as_devices(_event_stream(spark, sf_dir)).withColumn(
+        "id", (F.col("id").cast("long") % 8).cast("string"))
+    return _run_to_end(early_firing_stream(d, "id", "ts", "1 day", "6 hours"))
+
+
+@query("stream_sliding")
+def q_stream_sliding(spark, sf_dir):
+    """Sliding counts of the closed windows from rings of panes."""
+    from .streaming import sliding_ring_stream
+    m = tb.events_as_marketing(_event_stream(spark, sf_dir)).where(F.col("behavior") != "error")
+    return _run_to_end(sliding_ring_stream(m, "ts", MARKETING_SIZE, MARKETING_SLIDE, ["channel", "behavior"]))
+
+
+@query("stream_segments")
+def q_stream_segments(spark, sf_dir):
+    """Condition-fired segments with their best element, on a stream."""
+    from .streaming import purge_segments_stream
+    return _run_to_end(purge_segments_stream(tb.events_as_marks(_event_stream(spark, sf_dir)), threshold=80))
+
+
+@query("stream_uv_running")
+def q_stream_uv_running(spark, sf_dir):
+    """Distinct (hashed) users of its window so far, for every view of a stream."""
+    from .streaming import read_uv_running, uv_running_sink
+    v = _event_stream(spark, sf_dir).where(F.col("event_type") == "view").select(
+        "ts", "user_id", F.col("event_id").alias("seq"))
+    root = _stream_folder(spark)
+    uv_running_sink(v, "ts", "user_id", "1 day", f"{root}/out", checkpoint=f"{root}/checkpoint").awaitTermination()
+    return _wall_times(read_uv_running(spark, f"{root}/out"))
