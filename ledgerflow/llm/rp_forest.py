@@ -9,7 +9,9 @@ distances by which a path has crossed to the far side of its hyperplanes. It fir
 they hold ``first`` times k entries; the k-th distance there gives the reach: leaves are then taken
 while their sum is at most ``reach`` times that distance squared. How many leaves this needs is a
 matter of the data: few where vectors have structure, most of them where distances are all alike.
-No candidate of a taken leaf is left out, and all are ranked by exact distance.
+No candidate of a taken leaf is left out, and all are ranked by exact distance, each once: of the trees in
+which an entry lies in a leaf taken by the query, the first one ranks it. A query goes to a block of leaves
+as one row, with its vector and a bit for each leaf that it takes in any tree.
 
 Equal vectors are one index entry that holds the k + 1 smallest ids of its rows.
 """
@@ -32,7 +34,7 @@ TREES = 12
 LEAF = 32
 SAMPLE_ROWS = 20_000
 FIRST = 10
-REACH = 0.012
+REACH = 0.01
 GROUP_ROWS = 16_384
 
 
@@ -147,7 +149,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     vector_kind = valid.schema["vector"].dataType.simpleString()
     placed = entries.select("entry", "vector").mapInArrow(
         place, f"entry {id_kind}, vector {vector_kind}, leaves array<bigint>")
-    index = (placed.select("entry", "vector", F.posexplode("leaves").alias("tree", "leaf"))
+    index = (placed.select("entry", "vector", "leaves", F.posexplode("leaves").alias("tree", "leaf"))
              .withColumn("salt", F.pmod(F.xxhash64("entry"), F.lit(salts)).cast("int"))
              .withColumn("block", F.shiftright("leaf", block)))
     index = stored(index, "index")
@@ -157,14 +159,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     counts = spark.sparkContext.broadcast(sizes)
     asked = clean(queries).where(F.size("vector") == dims).dropDuplicates(["id", "vector"])
 
+    width = 2 ** depth
+
     def taken(batches):
-        """Leaves to look into: without a distance those of the first step, else all in reach."""
+        """Leaves to look into: without a distance those of the first step, else all in reach. One row per
+        query and block of leaves, each with all bits of the query."""
         for whole in batches:
-            for b in rows(whole, 256):
-                out, who = [], []
+            for b in rows(whole, 64):
+                who, places, bits = [], [], []
                 limits = b.column(2).to_pylist()
                 for i, q in enumerate(matrix(b.column(1))):
-                    have = 0
+                    have, own = 0, np.zeros((trees, width), dtype=bool)
                     for far, tree, leaf in forest.value.nearest_leaves(q):
                         if limits[i] is None:
                             if have >= first * k:
@@ -172,43 +177,45 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
                             have += counts.value[tree, leaf]
                         elif far > reach * limits[i] ** 2:
                             break
-                        out.append((tree, leaf))
-                        who.append(i)
-                places = np.array(out, dtype="i8").reshape(-1, 2)
+                        own[tree, leaf] = True
+                    tree, leaf = np.nonzero(own)
+                    where = np.unique(np.stack([tree, leaf >> block], axis=1), axis=0)
+                    packed = np.packbits(own).tobytes()
+                    who += [i] * len(where)
+                    places += where.tolist()
+                    bits += [packed] * len(where)
+                places = np.array(places, dtype="i8").reshape(-1, 2)
                 at = pa.array(np.array(who, dtype="i8"))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(at), b.column(1).take(at), pa.array(places[:, 0]),
-                     pa.array(places[:, 1])], names=["query_id", "vector", "tree", "leaf"])
+                    [b.column(0).take(at), b.column(1).take(at), pa.array(places[:, 0]), pa.array(places[:, 1]),
+                     pa.array(bits, pa.binary())], names=["query_id", "vector", "tree", "block", "bits"])
 
     def look(key, held, asks):
-        """Exact distances of each query to the entries of its leaves in this group."""
+        """Exact distances of each query to the entries that this tree ranks for it in this group."""
         out = []
         if len(held) and len(asks):
-            leaves = held["leaf"].to_numpy()
+            tree = int(key[0])
+            leaves = np.array(held["leaves"].tolist(), dtype="i8")
             points = np.array(held["vector"].tolist(), dtype="f8")
             names = held["entry"].to_numpy()
-            order = np.lexsort((names, leaves))
-            leaves, points, names = leaves[order], points[order], names[order]
-            for query, own in asks.groupby("query_id", sort=False):
-                q = np.asarray(own["vector"].iloc[0], dtype="f8")
-                wanted = np.unique(own["leaf"].to_numpy())
-                lo, hi = np.searchsorted(leaves, wanted), np.searchsorted(leaves, wanted, side="right")
-                at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])
+            upto = np.arange(tree)
+            for query, vector, bits in zip(asks["query_id"], asks["vector"], asks["bits"]):
+                own = np.unpackbits(np.frombuffer(bits, dtype="u1"), count=trees * width).reshape(trees, width)
+                at = np.nonzero(own[tree, leaves[:, tree]])[0]
+                at = at[~own[upto, leaves[at, :tree]].any(axis=1)]
                 if not len(at):
                     continue
-                far = np.sqrt(((points[at] - q) ** 2).sum(axis=1))
+                far = np.sqrt(((points[at] - np.asarray(vector, dtype="f8")) ** 2).sum(axis=1))
                 best = np.lexsort((names[at], far))[:k + 1]
-                out.append(pd.DataFrame({"query_id": query, "entry": names[at][best],
-                                         "score": far[best]}))
+                out.append(pd.DataFrame({"query_id": query, "entry": names[at][best], "score": far[best]}))
         if not out:
             return pd.DataFrame({"query_id": [], "entry": [], "score": []})
         return pd.concat(out)
 
     def ranked(limits: DataFrame) -> DataFrame:
         probes = (limits.select("id", "vector", "limit").mapInArrow(
-            taken, f"query_id {id_kind}, vector {vector_kind}, tree bigint, leaf bigint")
+            taken, f"query_id {id_kind}, vector {vector_kind}, tree bigint, block bigint, bits binary")
             .withColumn("tree", F.col("tree").cast("int"))
-            .withColumn("block", F.shiftright("leaf", block))
             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
         near = (index.groupBy("tree", "block", "salt").cogroup(probes.groupBy("tree", "block", "salt"))
                 .applyInPandas(look, f"query_id {id_kind}, entry {id_kind}, score double"))
