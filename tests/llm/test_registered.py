@@ -1,0 +1,110 @@
+"""The registered queries on a small folder of tables, with their exact columns, against the libraries and
+plain Python."""
+import base64
+import hashlib
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+import tiktoken
+
+from ledgerflow.llm import queries
+
+TEXTS = [None, "", " \n\t", "Hello, world. " * 3, "naïve café 漢字 😀", "a\r\n\r\nb  c", "word " * 6000, "x" * 9000,
+         "mail a@b.co, call +1 269 555 3296 or 10.0.0.1; card 4111 1111 1111 1111", "<s> </s> <|endoftext|>", "1234567 89"]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("tables"))
+    rnd = random.Random(6)
+    texts = TEXTS + [" ".join(rnd.choice(["alpha", "beta", "Gamma.", "7", "δ", "\n"]) for _ in range(rnd.randint(1, 80)))
+                     for _ in range(150)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(None, "no id", None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(
+        f"{root}/documents.parquet")
+    labels = [(i, int(len(t or "") % 2), 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(labels, "doc_id long, quality long, toxic long").write.parquet(f"{root}/labels.parquet")
+    vectors = [(i, [float(x) for x in np.random.default_rng(i).standard_normal(8)], i % 3) for i in range(220)]
+    vectors += [(900, None, 1), (1000, [0.0] * 8, 1), (1100, [float("nan")] * 8, 1)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label long").write.parquet(f"{root}/embeddings.parquet")
+    return root, {r[0]: r[1] or "" for r in rows}
+
+
+def rows(spark, folder, name):
+    df = queries.REGISTRY[name](spark, folder[0])
+    return df.columns, df.collect()
+
+
+def test_token_counts(spark, folder):
+    columns, got = rows(spark, folder, "op7_token_counts")
+    assert columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"] and len(got) == len(folder[1])
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in got:
+        n = len(library.encode(folder[1][r.doc_id]))
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(folder[1][r.doc_id].encode()), n, n > 4096)
+    assert {r.over_limit for r in got} == {True, False}
+
+
+def test_byte_bpe(spark, folder):
+    columns, got = rows(spark, folder, "op8_byte_bpe")
+    assert columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and len(got) == len(folder[1])
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in got:
+        text = folder[1][r.doc_id]
+        ids = [i for m in re_findall(text) for i in library.encode_ordinary(m)]
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def re_findall(text):
+    import regex
+    return regex.findall(public_tokenizers.PATTERN, text)
+
+
+def test_quality(spark, folder):
+    columns, got = rows(spark, folder, "op2_quality")
+    assert columns == ["doc_id", "held_out", "score", "predicted"] and len(got) == len(folder[1])
+    for r in got:
+        if r.doc_id is not None:
+            assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_pii(spark, folder):
+    columns, got = rows(spark, folder, "op9_pii")
+    assert columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    by_id = {r.doc_id: r for r in got}
+    text = folder[1][8]
+    want = [(m.start(), k, f"{k}:{m.start()}:{m.end()}") for k, p in (
+        ("email", r"a@b\.co"), ("phone", r"\+1 269 555 3296"), ("ip", r"10\.0\.0\.1"), ("card", r"4111( 1111){3}"))
+        for m in re.finditer(p, text)]
+    line = ",".join(x[2] for x in sorted(want))
+    assert tuple(by_id[8])[1:] == (1, 1, 1, 1, hashlib.sha256(line.encode()).hexdigest(), line)
+    assert tuple(by_id[0])[1:] == (0, 0, 0, 0, hashlib.sha256(b"").hexdigest(), "")
+
+
+def test_nearest(spark, folder):
+    columns, got = rows(spark, folder, "op1_rp_forest")
+    assert columns == ["query_id", "rank", "vec_id", "score"]
+    x = {i: np.random.default_rng(i).standard_normal(8).astype("f4").astype("f8") for i in range(220)}
+    found = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        found.setdefault(r.query_id, []).append(r.vec_id)
+        assert abs(r.score - np.sqrt(((x[r.query_id] - x[r.vec_id]) ** 2).sum())) < 1e-12
+    assert set(found) == {0, 100, 200} and all(len(v) == 10 for v in found.values())
+    hits = sum(len(set(v) & set(sorted(x.keys() - {q}, key=lambda i: (np.sqrt(((x[q] - x[i]) ** 2).sum()), i))[:10]))
+               for q, v in found.items())
+    assert hits >= 27
+
+
+def test_every_operator_has_a_query():
+    assert {int(n[2:].split("_")[0]) for n in queries.REGISTRY} == set(range(1, 14))
