@@ -103,7 +103,12 @@ def test_hot_group_is_spread_over_its_blocks(spark):
     df = spark.range(20000).select(F.lit("hot").alias("k"), F.when(F.col("id") % 3 > 0, "create").otherwise("pay").alias("kind"),
                                    F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.col("id").alias("seq"))
     n = patterns.next_follow(df, "k", "kind", "create", "pay", "2 minutes")
-    per_task = n.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:  # at this size all partitions would be merged into one task
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        per_task = n.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
     assert sum(r["count"] for r in per_task) == 13333 and max(r["count"] for r in per_task) < 13333 / 3
     wrong = n.where((F.col("next_seq") != F.col("seq") + 3 - F.col("seq") % 3) & (F.col("seq") < 19998)).count()
     assert wrong == 0
