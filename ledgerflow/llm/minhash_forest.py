@@ -4,23 +4,28 @@ Every distinct shingle set (documents with the same set are one node, the smalle
 signature of ``60`` minhashes. A tree of the forest is a sorted order of the nodes by a rotation of
 the signature; nodes with a long common prefix in a tree are candidates.
 
-* Regions of a tree are the runs with a common prefix of three values. With 20 trees on disjoint
-  starts, two sets of similarity 0.75 miss every common region with probability (1 - 0.75^3)^20,
-  about 2 in 100,000; the more similar, the less.
+* Regions of a tree are the runs of its order with a common prefix of ``DEPTH`` values. With 20 trees
+  on disjoint starts, two sets of similarity 0.75 miss every common region with probability
+  (1 - 0.75^3)^20, about 2 in 100,000; the more similar, the less. Counting the prefixes first leaves
+  nodes without company out of the orders.
 * In a first pass each member of a region is checked against one of them, the most central: the one
   whose regions in all trees are the largest together, as is the text that copies were made from.
   This settles groups of copies, of any size, with about one check per member, and no region is
   gathered.
-* What is still in different groups within a region is paired next. Where that would be more than
-  ``LEAF`` members, the region is cut by a longer prefix, again and again: the depth adapts to how
-  crowded the order is there. This finds most links, not all.
+* Regions that are still not one group are put in order: one range partitioning by (tree, rotated
+  signature) sorts all trees, and the common prefix of each place with the next one is read off. A
+  region of at most ``LEAF`` members is paired as it is and is never cut by the partitioning. A
+  larger one is cut where the common prefix is shortest, again and again, until each run has at most
+  ``LEAF`` members: the depth adapts to how crowded the order is there, and a node meets the
+  neighbours with which it has the longest prefix. This finds most links of such a region, not all.
 * Regions of more than ``LEAF`` members that are still not one group are then compared in full,
   blocks of members against blocks: every pair of different groups is checked on its full sets, in
   the first region that it shares. The largest group of a region is not compared with itself. The
   work grows with the square of what is left in such a region, spread over tasks of bounded size.
 
 The texts of documents with company in some region are kept as a table for the checks: a set is
-made once per task and compared with those that were sent to it, in portions of bounded size.
+made once per task and compared with those that were sent to it, in portions of bounded size. Ids may
+be of any type with an order that groups and joins, such as integers and texts.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +42,9 @@ from .common import bounded_batches, components, rows, stored, unused, utf8
 from .words import shingles
 
 HASHES = 60
-DEPTHS = (3, 5, 8, 13, 21, 34, 60)
+DEPTH = 3
 LEAF = 64
+RUN = 1 << 14
 PORTION = 256
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 21
@@ -130,10 +137,104 @@ def confirm(edges: DataFrame, texts: DataFrame, percent: int, shingle: int) -> D
     return sent.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def _region(tree, start: int, stop: int):
-    """Key of the region: the values ``start`` to ``stop`` of the tree's rotation of the signature."""
-    return [F.element_at("sig", (F.pmod(tree * DEPTHS[0] + i, F.lit(HASHES)) + 1).cast("int"))
-            for i in range(start, stop)]
+def rotated(tree, values: int = HASHES):
+    """The first ``values`` of the tree's rotation of the signature, its key in the tree's order."""
+    start = tree * DEPTH
+    if values == DEPTH:
+        return F.slice("sig", start + 1, DEPTH)
+    return F.concat(F.slice("sig", start + 1, HASHES - start), F.slice("sig", F.lit(1), start))
+
+
+def common_prefix(keys: np.ndarray) -> np.ndarray:
+    """For each row of ``keys`` but the last, how many leading values it shares with the next."""
+    differ = keys[1:] != keys[:-1]
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), keys.shape[1])
+
+
+def cut(prefix: np.ndarray, leaf: int = LEAF) -> np.ndarray:
+    """Where runs start among sorted keys whose neighbours share ``prefix`` values: everything is cut
+    at its shortest common prefixes until no run has more than ``leaf`` members. A run of equal keys
+    is cut into pieces of ``leaf``."""
+    starts, todo = [], [(0, len(prefix) + 1)]
+    while todo:
+        lo, hi = todo.pop()
+        inner = prefix[lo:hi - 1]
+        if hi - lo <= leaf:
+            starts.append(lo)
+        elif inner.min() == inner.max() == HASHES:
+            starts += range(lo, hi, leaf)
+        else:
+            at = [lo, *(lo + 1 + np.flatnonzero(inner == inner.min())), hi]
+            todo += zip(at, at[1:])
+    return np.array(sorted(starts))
+
+
+def neighbours(members: DataFrame, sigs: DataFrame, percent: int, leaf: int = LEAF) -> DataFrame:
+    """Candidates (a, b), a < b, among ``members`` (region, n, tree, node, n_shingles, centre, part) of
+    regions with ``n`` members: pairs of different parts in one run of a tree's order, but for those
+    with the region's centre and those whose sizes rule a link out.
+
+    A crowded region may be cut by the partitioning, and is cut after ``RUN`` rows.
+    """
+    bounded_batches(members.sparkSession)
+    kind = members.schema["node"].dataType.simpleString()
+    crowded = F.col("n") > leaf
+    sent = (members.join(sigs, "node")
+            .select("tree", "region", "node", "part", "n_shingles",
+                    (F.col("node") == F.col("centre")).alias("central"),
+                    rotated(F.col("tree")).alias("key"),
+                    F.when(crowded, rotated(F.col("tree"))).otherwise(rotated(F.col("tree"), DEPTH))
+                    .alias("bound"), F.when(crowded, F.col("node")).alias("tie"))
+            .repartitionByRange("tree", "bound", "tie")
+            .sortWithinPartitions("tree", "key", "region", "node")
+            .select("region", "node", "part", "n_shingles", "central", "key"))
+
+    def pairs(rows_: pa.Table):
+        region, size, central = (rows_.column(c).to_numpy() for c in ("region", "n_shingles", "central"))
+        part = pa.compute.dictionary_encode(rows_.column("part").combine_chunks()).indices.to_numpy()
+        first = np.append(0, np.flatnonzero(region[1:] != region[:-1]) + 1)
+        lengths = np.diff(np.append(first, len(region)))
+        run = np.repeat(np.arange(len(first)), lengths)
+        if (lengths > leaf).any():
+            keys = rows_.column("key").combine_chunks()
+            starts = [first]
+            for lo, n in zip(first[lengths > leaf], lengths[lengths > leaf]):
+                own = keys.slice(lo, n).flatten().to_numpy().reshape(n, HASHES)
+                starts.append(lo + cut(common_prefix(own), leaf))
+            first = np.unique(np.concatenate(starts))
+            run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(region))))
+        left, right = [], []
+        for k in range(1, leaf):
+            near = run[k:] == run[:-k]
+            if not near.any():
+                break
+            i = np.flatnonzero(near & (part[k:] != part[:-k]) & ~central[k:] & ~central[:-k])
+            low, high = np.minimum(size[i], size[i + k]), np.maximum(size[i], size[i + k])
+            i = i[100 * low >= percent * high]
+            left.append(i)
+            right.append(i + k)
+        node = rows_.column("node").combine_chunks()
+        for i, j in zip(left, right):
+            if len(i):
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(j))],
+                                                 names=["x", "y"])
+
+    def run(batches):
+        kept = None
+        for b in batches:
+            held = pa.Table.from_batches([b])
+            held = held if kept is None else pa.concat_tables([kept, held]).combine_chunks()
+            region = held.column("region").to_numpy()
+            at = np.flatnonzero(region != region[-1]) if len(region) else []
+            at = len(region) if len(region) > RUN and not len(at) else int(at[-1]) + 1 if len(at) else 0
+            if at:
+                yield from pairs(held.slice(0, at))
+            kept = held.slice(at) if at < held.num_rows else None
+        if kept is not None:
+            yield from pairs(kept)
+
+    return (sent.mapInArrow(run, f"x {kind}, y {kind}")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
 
 
 class Block:
@@ -177,7 +278,7 @@ class Block:
         if not largest:
             ask &= self.nodes > node
         at = np.flatnonzero(ask)
-        same = (self.sigs[at] == sig).reshape(len(at), HASHES // DEPTHS[0], DEPTHS[0]).all(axis=2)
+        same = (self.sigs[at] == sig).reshape(len(at), HASHES // DEPTH, DEPTH).all(axis=2)
         at = at[same[:, tree] & ~same[:, :tree].any(axis=1)]
         if not len(at):
             return []
@@ -260,18 +361,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(some.groupBy("digest").agg(F.min("id").alias("node")), "sets")
     nodes = some.join(classes, (some["digest"] == classes["digest"]) & (F.col("id") == F.col("node"))
                       ).select("node", "n_shingles", "sig")
-    tree = F.explode(F.sequence(F.lit(0), F.lit(HASHES // DEPTHS[0] - 1))).alias("tree")
+    tree = F.explode(F.sequence(F.lit(0), F.lit(HASHES // DEPTH - 1))).alias("tree")
     at = nodes.select("node", "n_shingles", "sig", tree)
     regions = at.select("node", "n_shingles", "tree",
-                        F.xxhash64("tree", *_region(F.col("tree"), 0, DEPTHS[0])).alias("region"))
+                        F.xxhash64("tree", rotated(F.col("tree"), DEPTH)).alias("region"))
     crowd = regions.groupBy("region").agg(F.min("node").alias("low"), F.count("*").alias("n"),
                                           F.max("node").alias("high")).where("low < high")
     regions = stored(regions.join(crowd.select("region", "n"), "region"), "regions")
     central = regions.groupBy("node").agg(F.sum("n").alias("weight"))
     centres = (regions.join(central, "node").groupBy("region")
-               .agg(F.max(F.struct("weight", -F.col("node"))).alias("best"))
-               .select("region", (-F.col("best.col2")).alias("centre")))
-    regions = stored(regions.drop("n").join(centres, "region"), "centres")
+               .agg(F.min_by("node", F.struct(-F.col("weight"), "node")).alias("centre")))
+    regions = stored(regions.join(centres, "region"), "centres")
     texts = stored(docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text"))
                    .join(central.select("node"), "node", "left_semi"), "texts")
 
@@ -284,44 +384,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(links)
 
     # pairs that are in one region but not yet in one group
-    placed = (regions.join(found, "node", "left")
-              .select("node", "n_shingles", "tree", "region", "centre",
-                      F.coalesce("component", "node").alias("part")))
-    sizes = nodes.select("node", "sig")
-    level, pairs, crowded = placed, None, None
-    for depth, deeper in zip(DEPTHS, DEPTHS[1:] + (None,)):
-        open_ = (level.groupBy("region").agg(F.min("part").alias("p"), F.max("part").alias("q"),
-                                             F.count("*").alias("n")).where("p < q"))
-        level = stored(level.join(open_.select("region", "n"), "region"), "open")
-        leaf = level if deeper is None else level.where(F.col("n") <= LEAF)
-        x = leaf.select("region", "node", "part", "n_shingles", "centre")
-        y = x.select("region", F.col("node").alias("node2"), F.col("part").alias("part2"),
-                     F.col("n_shingles").alias("n2"))
-        near = (x.join(y, "region")
-                .where("node < node2 AND part != part2")
-                .where("centre IS NULL OR (node != centre AND node2 != centre)")
-                .where(100 * F.least("n_shingles", "n2") >= percent * F.greatest("n_shingles", "n2"))
-                .select(F.col("node").alias("a"), F.col("node2").alias("b")))
-        pairs = near if pairs is None else pairs.unionAll(near)
-        if deeper is None:
-            break
-        rest = level.where(F.col("n") > LEAF).drop("n")
-        if rest.isEmpty():
-            break
-        if crowded is None:
-            crowded = rest.select("region", "tree", "node", "n_shingles")
-        more = rest.join(sizes, "node")
-        level = more.select("node", "n_shingles", "tree", F.xxhash64(
-            "region", *_region(F.col("tree"), depth, deeper)).alias("region"), F.lit(None)
-            .cast(rest.schema["centre"].dataType).alias("centre"), "part")
+    placed = regions.join(found, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    several = (placed.groupBy("region").agg(F.min("part").alias("p"), F.max("part").alias("q"))
+               .where("p < q").select("region"))
+    level = stored(placed.drop("component").join(several, "region", "left_semi"), "open")
+    sigs = nodes.select("node", "sig")
+    pairs = neighbours(level, sigs, percent)
     pairs = stored(pairs.distinct(), "pairs")
     if not pairs.isEmpty():
         links = stored(links.unionAll(confirm(pairs, texts, percent, shingle)), "links")
         found = components(links)
-    if crowded is not None:
+    crowded = level.where(F.col("n") > LEAF).select("region", "tree", "node", "n_shingles")
+    if not crowded.isEmpty():
         crowd = stored(crowded.join(found, "node", "left")
                        .withColumn("part", F.coalesce("component", "node")).drop("component"), "crowd")
-        links3 = stored(confirm_crowded(crowd, sizes, texts, percent, shingle), "links")
+        links3 = stored(confirm_crowded(crowd, sigs, texts, percent, shingle), "links")
         if not links3.isEmpty():
             found = components(stored(links.unionAll(links3), "links"))
 

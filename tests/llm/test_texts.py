@@ -291,6 +291,37 @@ def test_minhash_template_against_sql(spark):
     assert multiset(minhash_forest.near_duplicates(df).collect()) == want
 
 
+def test_minhash_text_ids(docs):
+    """Ids of another type give the same groups, named by their smallest id in text order."""
+    as_text = docs.withColumn("doc_id", F.format_string("d%05d", "doc_id")).where("doc_id != 'dnull'")
+    want = [(f"d{d:05d}", n, f"d{c:05d}", k) for d, n, c, k in near_brute(rows_of(docs)).elements()
+            if d is not None]
+    assert sorted(map(tuple, minhash_forest.near_duplicates(as_text).collect())) == sorted(want)
+
+
+def test_forest_orders_are_cut_at_short_prefixes():
+    rnd = np.random.default_rng(3)
+    keys = rnd.integers(0, 3, (4000, minhash_forest.HASHES)).astype("i4")
+    keys[:300] = keys[0]
+    keys = keys[np.lexsort(keys.T[::-1])]
+    prefix = minhash_forest.common_prefix(keys)
+    brute = [next((p for p, (x, y) in enumerate(zip(a, b)) if x != y), len(a)) for a, b in zip(keys, keys[1:])]
+    assert prefix.tolist() == brute
+    starts = minhash_forest.cut(prefix, 16)
+    ends = np.append(starts[1:], len(keys))
+    assert starts[0] == 0 and (ends - starts).max() <= 16 and (ends > starts).all()
+    for lo, hi in zip(starts[1:], ends[1:]):  # no run could have been joined with the one before it at its depth
+        edge = prefix[lo - 1]
+        wide = lo - 1
+        while wide and prefix[wide - 1] >= edge:
+            wide -= 1
+        end = lo
+        while end < len(prefix) and prefix[end] >= edge:
+            end += 1
+        assert end - wide + 1 > 16
+    assert minhash_forest.cut(np.array([], dtype=int), 16).tolist() == [0]
+
+
 def test_keep_one(docs):
     out = minhash_forest.keep_one(docs)
     assert out.columns == docs.columns
