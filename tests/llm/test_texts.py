@@ -293,7 +293,7 @@ def test_minhash_template_against_sql(spark):
 
 def test_minhash_text_ids(docs):
     """Ids of another type give the same groups, named by their smallest id in text order."""
-    as_text = docs.withColumn("doc_id", F.format_string("d%05d", "doc_id")).where("doc_id != 'dnull'")
+    as_text = docs.where("doc_id IS NOT NULL").withColumn("doc_id", F.format_string("d%05d", "doc_id"))
     want = [(f"d{d:05d}", n, f"d{c:05d}", k) for d, n, c, k in near_brute(rows_of(docs)).elements()
             if d is not None]
     assert sorted(map(tuple, minhash_forest.near_duplicates(as_text).collect())) == sorted(want)
