@@ -6,7 +6,8 @@ no alternative of the pattern matches a non-space followed by white space, and i
 (``\\s+(?!\\S)``) only looks from white space to the right, so the matches left of the place are
 the same whether or not the rest is seen, and a new match starts there. Between an ASCII letter and
 an ASCII digit the same holds, as no match has both. A run without such a place stays whole, as it
-is one match.
+is one match. This holds for patterns that split as GPT-2's does: :func:`check_pattern` tries a pattern on
+pairs of signs of every kind around the places and refuses one that has a match across any of them.
 """
 
 from __future__ import annotations
@@ -37,6 +38,31 @@ def encoding(rank_file: str, pattern: str):
                              special_tokens={})
 
 
+#: signs of every kind that a pattern may tell apart: letters, marks, digits, punctuation, symbols, blanks
+KINDS = ("a", "Z", "é", "漢", "ʰ", "7", "٣", "Ⅷ", "½", ".", "'", "-", "(", "_", "!", "$", "+", "\u0301", "😀", "s", " ", "\n",
+         "\r", "\t")
+
+
+@functools.lru_cache(maxsize=4)
+def check_pattern(pattern: str) -> None:
+    """Raises ValueError if ``pattern`` has a match across a place that ``SAFE`` takes for a cut, tried on all
+    texts of up to two signs left and two right of the place."""
+    matcher = regex.compile(pattern)
+    sides = ["", *KINDS]
+    for before in sides:
+        for left in KINDS:
+            for right in KINDS:
+                if not SAFE.search(left + right):
+                    continue
+                for after in sides:
+                    text, cut = before + left + right + after, len(before) + 1
+                    whole = [m.span() for m in matcher.finditer(text)]
+                    parts = [m.span() for m in matcher.finditer(text[:cut])]
+                    parts += [(a + cut, b + cut) for a, b in (m.span() for m in matcher.finditer(text[cut:]))]
+                    if whole != parts:
+                        raise ValueError(f"pattern cannot be cut in long texts: {text!r} is matched across {cut}")
+
+
 def safe_parts(text: str, size: int = SPLIT_CHARS) -> Iterator[str]:
     """``text`` in parts of at least ``size`` characters (the last may be shorter), cut where no
     match of the pattern can span the cut."""
@@ -63,8 +89,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     """(``id_col``, ids array<long>) for each row of ``docs``, in one pass without a shuffle.
 
     A null or empty text gives an empty array; a null id and repeated rows stay as they are; other
-    columns are not read. ``rank_file`` must be readable at that path on every executor.
+    columns are not read. ``rank_file`` must be readable at that path on every executor. A ``pattern`` that
+    cannot be cut at the safe places is refused, see :func:`check_pattern`.
     """
+    check_pattern(pattern)
     bounded_batches(docs.sparkSession)
 
     def run(batches):
@@ -103,6 +131,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     """Encoding and decoding in one pass: (id, n_tokens, ids_sha256 of the ids as little-endian
     unsigned 32-bit integers, decoded_sha256 of the decoded bytes), and with ``with_ids`` the ids.
     Nulls, empty texts and repeated rows as in :func:`encode`."""
+    check_pattern(pattern)
     bounded_batches(docs.sparkSession)
 
     def run(batches):

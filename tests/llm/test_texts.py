@@ -104,6 +104,13 @@ def test_bpe_equals_library_and_round_trips(docs, empty):
     assert byte_bpe.round_trip(empty, RANKS, PATTERN, with_ids=True).count() == 0
 
 
+def test_bpe_refuses_patterns_that_match_across_cuts(docs):
+    byte_bpe.check_pattern(PATTERN)
+    for pattern in (r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+", r" ?[^\s\p{L}\p{N}]+[\r\n]*|\s*\p{L}+|\p{N}+|\s+", r"\S+\s*"):
+        with pytest.raises(ValueError, match="across"):
+            byte_bpe.encode(docs, RANKS, pattern)
+
+
 def test_bpe_safe_parts_on_odd_texts():
     enc, rnd = byte_bpe.encoding(RANKS, PATTERN), random.Random(4)
     for _ in range(400):
