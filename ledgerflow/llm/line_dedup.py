@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import bounded_batches, rows, stored, unused, utf8
+from .common import bounded_batches, rows, unused, utf8
 
 STRIP = b" \t\n\x0b\x0c\r"
 MIN_DOCS = 10
@@ -138,7 +138,7 @@ def line_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary())],
                                                  names=["id", "key"])
 
-    return (docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, key binary")
+    return (docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, key binary not null")
             .distinct())
 
 
@@ -169,6 +169,13 @@ def shard_count(refs: DataFrame) -> int:
     return 1 + refs.count() // KEYS_PER_SHARD
 
 
+def line_count(docs: DataFrame, text_col: str = "text") -> int:
+    """How many lines the texts have: at least as many as they have distinct digests."""
+    text = F.col(text_col).cast("string")
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    return docs.agg(F.sum(F.coalesce(feeds, F.lit(0)).cast("bigint") + 1)).first()[0] or 0
+
+
 def build_filters(refs: DataFrame, shards: int, min_docs: int = MIN_DOCS) -> DataFrame:
     """(shard, buckets): one cuckoo filter per shard, of its digests with ``min_docs`` documents."""
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -270,10 +277,15 @@ def drop_lines(docs: DataFrame, lines: DataFrame, frequent: DataFrame, id_col: s
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Build the state for ``docs`` and drop their frequent lines; see :func:`drop_lines`."""
-    lines = stored(line_digests(docs, id_col, text_col, min_chars), "lines")
-    refs = stored(references(lines), "refs")
-    shards = shard_count(refs)
+    """Build the state for ``docs`` and drop their frequent lines; see :func:`drop_lines`.
+
+    One plan without tables in between: digests and references are read again from their exchanges.
+    Only the number of lines, for the number of shards, is asked before.
+    """
+    lines = line_digests(docs, id_col, text_col, min_chars)
+    refs = references(lines)
+    shards = 1 + line_count(docs, text_col) // KEYS_PER_SHARD
     filters = build_filters(refs, shards, min_docs)
-    return drop_lines(docs, lines, frequent_lines(refs, refs, filters, shards, min_docs), id_col,
+    held = refs.where("refs > 0")  # all of them; with the counts, it reads the exchange of ``refs``
+    return drop_lines(docs, lines, frequent_lines(held, refs, filters, shards, min_docs), id_col,
                       text_col)

@@ -1,5 +1,6 @@
 """Operators on texts against brute force, on a corpus with every special case."""
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from ledgerflow.llm import (byte_bpe, line_dedup, minhash_forest, mixing, quality, substring_dedup,
                             token_counts)
 from ledgerflow.llm.fm_index import FmIndex
+from ledgerflow.session import checkpoint_root
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -174,6 +176,25 @@ def test_line_dedup_empty(empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_writes_no_tables_and_reads_its_exchanges_again(spark, tmp_path):
+    root = checkpoint_root(spark)
+    docs = spark.createDataFrame([(i, f"often\nbody {i}") for i in range(30)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    before = set(os.listdir(root))
+    out = line_dedup.dedup_lines(spark.read.parquet(str(tmp_path / "docs")))
+    assert multiset(out.collect()) == multiset((i, f"body {i}", 2, 1) for i in range(30))
+    assert set(os.listdir(root)) == before
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("MapInArrow") == 2  # one pass makes the digests, one drops the lines
+
+
+def test_line_count(docs, empty):
+    rows = rows_of(docs)
+    assert line_dedup.line_count(docs) == sum((t or "").count("\n") + 1 for _, t in rows)
+    assert line_dedup.line_count(docs.select(F.col("text").cast("binary").alias("t")), "t") == line_dedup.line_count(docs)
+    assert line_dedup.line_count(empty) == 0
+
+
 def test_line_dedup_is_reversible(spark, docs):
     one = docs.where("doc_id % 2 = 0 OR doc_id IS NULL")
     two = docs.where("doc_id % 2 = 1")
